@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlens.functions.util import as_list, sort_keys, to_col
+from demandlens.session import materialize
 
 _PID = "_dl_pid"
 _MID = "_dl_mid"
@@ -21,10 +22,14 @@ def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None
     Same numbering as ``ROW_NUMBER() OVER (ORDER BY order)`` (ascending, NULLs
     last), without moving the table into one partition:
 
-    1. range-partition on the order keys and sort inside each partition;
-    2. count rows per partition (one small row per partition);
-    3. running sum of those counts = offset of each partition, broadcast back
-       (its size is the partition count, not the data size);
+    1. range-partition on the order keys, sort inside each partition and tag each
+       row with (partition index, position);
+    2. write the tagged rows once to the shared checkpoint folder - the range
+       bounds come from a sample, so counting and numbering must read the *same*
+       partitioning, and the written copy also cuts the lineage;
+    3. count rows per partition (one small row per partition); the running sum
+       of those counts is each partition's offset, broadcast back (its size is
+       the partition count, not the data size);
     4. id = offset + position inside the partition + 1.
 
     Rows that tie on every order key get ids in arbitrary order among themselves;
@@ -34,10 +39,9 @@ def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None
     keys = sort_keys(order)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.select(
-        "*",
-        F.spark_partition_id().alias(_PID),
-        F.monotonically_increasing_id().alias(_MID),
+    tagged = materialize(
+        ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID)),
+        "dense_ids",
     )
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
