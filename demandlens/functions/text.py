@@ -41,13 +41,16 @@ def lstrip_ws(col) -> Column:
 def parse_mdy(col) -> Column:
     """``m/d/yy`` text to DATE; NULL when the text does not match or the day does not exist."""
     c = to_col(col)
-    month = F.regexp_extract(c, MDY_PATTERN, 1)
-    day = F.trim(F.regexp_extract(c, MDY_PATTERN, 2))
-    yy = F.regexp_extract(c, MDY_PATTERN, 3)
     matched = c.rlike(MDY_PATTERN)
-    year = F.when(yy.cast("int") < CENTURY_PIVOT, yy.cast("int") + 2000).otherwise(yy.cast("int") + 1900)
-    iso = F.concat_ws("-", year.cast("string"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(matched, F.try_to_date(iso, F.lit("yyyy-MM-dd")))
+    # Defaults keep the arithmetic valid on non-matching text (no exceptions on the hot path).
+    month = F.coalesce(F.regexp_extract(c, MDY_PATTERN, 1).try_cast("int"), F.lit(1))
+    day = F.coalesce(F.trim(F.regexp_extract(c, MDY_PATTERN, 2)).try_cast("int"), F.lit(1))
+    yy = F.coalesce(F.regexp_extract(c, MDY_PATTERN, 3).try_cast("int"), F.lit(0))
+    year = F.when(yy < CENTURY_PIVOT, yy + 2000).otherwise(yy + 1900)
+    # Day d of the month is the first of the month plus d - 1 days; it is a real
+    # date only if that stays in the same month (2/30 rolls into March).
+    candidate = F.date_add(F.make_date(year, month, F.lit(1)), day - 1)
+    return F.when(matched & (F.month(candidate) == month), candidate)
 
 
 def parse_date_range(col) -> Column:

@@ -19,6 +19,7 @@ from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
 from demandlens.plans import gold, silver, standins
 from demandlens.session import materialize
+from demandlens.sources.sections import parse_sections, sections_to_bronze
 
 # Fixed report time for the KPI report, so the result is reproducible.
 AS_OF = "2025-08-20 12:00:00"
@@ -196,6 +197,13 @@ def request_batches_q(spark, sf_dir):
     return request_batches(pending, "video_id", size=50)
 
 
+def section_lines_q(spark, sf_dir):
+    """Sectioned export lines -> header state, stop rule, score parsing -> first-wins de-duplication."""
+    lines = standins.section_lines(spark, sf_dir)
+    rows = parse_sections(lines, order=standins.SECTION_ORDER)
+    return sections_to_bronze(rows, order=standins.SECTION_ORDER, retrieved_at=standins.SECTIONS_RETRIEVED_AT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_insights": channel_insights,
     "business_kpis": business_kpis,
@@ -220,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_keywords": select_keywords,
     "pending_ids": pending_ids,
     "request_batches": request_batches_q,
+    "section_lines": section_lines_q,
 }
 
 # iso_duration_seconds is exercised through statistics_clean (duration_seconds).

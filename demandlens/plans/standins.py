@@ -157,3 +157,81 @@ def bronze_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     for header, expr, dtype in census_value_sql():
         cols.append(F.expr(expr).cast("bigint" if dtype == "bigint" else "double").alias(header))
     return agg.select(*cols)
+
+
+# Sectioned export stand-in: one file per (brand, ship year), one data line per
+# line item, split into "blocks" (file splits) by order-key range. Files of
+# STOP_YEAR get an empty-keyword header at the start of block STOP_BLOCK.
+TRENDS_DIR = "csv/google_trends/"
+PREAMBLE = "Category: All categories"
+ORDERS_PER_BLOCK = 2000
+STOP_YEAR = 2001
+STOP_BLOCK = 3
+SECTION_ORDER = ["kind", "k1", "k2", "k3", "k4", "k5"]
+SECTIONS_RETRIEVED_AT = "2025-08-19 07:00:00"
+
+
+def section_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(filename, block, kind, k1..k5, line): the text lines of sectioned export files."""
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders")
+    cust = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    j = (
+        li.join(part, li.l_partkey == part.p_partkey)
+        .join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(cust, orders.o_custkey == cust.c_custkey)
+        .join(nation, cust.c_nationkey == nation.n_nationkey)
+    )
+    year = F.year("l_shipdate")
+    filename = F.concat(F.lit(TRENDS_DIR), F.lower("p_brand"), F.lit("_"), year.cast("string"), F.lit(".csv"))
+    score = (
+        F.when(F.col("l_quantity") <= 2, F.lit("<1"))
+        .when(F.col("l_discount") == 0, F.lit(""))
+        .when(F.col("l_tax") == 0, F.lit("n/a"))
+        .otherwise(F.floor("l_quantity").cast("bigint").cast("string"))
+    )
+    eol = F.when(F.col("o_orderstatus") == "F", F.lit("\r")).otherwise(F.lit(""))
+    data = j.select(
+        filename.alias("filename"),
+        F.col("p_brand").alias("brand"),
+        year.alias("year"),
+        (F.floor(F.col("l_orderkey") / ORDERS_PER_BLOCK) + 1).cast("bigint").alias("block"),
+        F.lit(3).alias("kind"),
+        F.col("l_orderkey").alias("k1"),
+        F.col("l_partkey").alias("k2"),
+        F.col("l_suppkey").alias("k3"),
+        F.col("l_linenumber").alias("k4"),
+        F.col("l_shipdate").alias("k5"),
+        F.concat(F.col("n_name"), F.lit(","), score, eol).alias("line"),
+    )
+    files = data.select("filename", "brand", "year").distinct()
+    yy = F.lpad((F.col("year") % 100).cast("string"), 2, "0")
+
+    def extra(kind: int, block: int, line) -> DataFrame:
+        return files.select(
+            "filename", "brand", "year",
+            F.lit(block).cast("bigint").alias("block"),
+            F.lit(kind).alias("kind"),
+            F.lit(None).cast("bigint").alias("k1"),
+            F.lit(None).cast("bigint").alias("k2"),
+            F.lit(None).cast("bigint").alias("k3"),
+            F.lit(None).cast("int").alias("k4"),
+            F.lit(None).cast("timestamp_ntz").alias("k5"),
+            line.alias("line"),
+        )
+
+    header = F.concat(F.lit("Region,"), F.col("brand"), F.lit(": (1/1/"), yy, F.lit(" - 12/31/"), yy, F.lit(")"))
+    stop = F.concat(F.lit("Region,: (1/1/"), yy, F.lit(" - 12/31/"), yy, F.lit(")"))
+    parts = [
+        extra(0, 0, F.lit(PREAMBLE)),
+        extra(1, 0, F.lit("  ")),
+        extra(2, 0, header),
+        extra(0, STOP_BLOCK, stop).where(F.col("year") == STOP_YEAR),
+        data,
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("filename", "block", *SECTION_ORDER, "line")

@@ -15,6 +15,12 @@ from __future__ import annotations
 from demandlens.plans.census_columns import CENSUS_COLUMNS, header_for
 from demandlens.plans.standins import (
     CENSUS_YEAR,
+    ORDERS_PER_BLOCK,
+    PREAMBLE,
+    SECTIONS_RETRIEVED_AT,
+    STOP_BLOCK,
+    STOP_YEAR,
+    TRENDS_DIR,
     INGESTED_AT,
     KEYWORDS_FILE,
     SEGMENTS,
@@ -364,6 +370,116 @@ FROM (SELECT video_id, ROW_NUMBER() OVER (ORDER BY video_id) AS rn FROM ({_PENDI
 GROUP BY 1""", "b_search", "b_stats")
 
 
+# ---------------------------------------------------------------- sectioned exports
+WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+MDY = r"(1[0-2]|0[1-9]|[1-9])/(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/([0-9]{2})"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def _lstrip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+', '')"
+
+
+def _rstrip(x: str) -> str:
+    return f"regexp_replace({x}, '{WS}+$', '')"
+
+
+def _mdy(x: str) -> str:
+    def g(i: int) -> str:
+        return f"CAST(trim(regexp_extract({x}, '^{MDY}$', {i})) AS INTEGER)"
+
+    year = f"(CASE WHEN {g(3)} < 69 THEN 2000 + {g(3)} ELSE 1900 + {g(3)} END)"
+    return (f"(CASE WHEN regexp_full_match({x}, '{MDY}') THEN "
+            f"TRY_CAST(printf('%04d-%02d-%02d', {year}, {g(1)}, {g(2)}) AS DATE) END)")
+
+
+_SCORE_TEXT = """CASE WHEN l_quantity <= 2 THEN '<1' WHEN l_discount = 0 THEN '' WHEN l_tax = 0 THEN 'n/a'
+      ELSE CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) END"""
+_YY = "lpad(CAST(year % 100 AS VARCHAR), 2, '0')"
+
+CTES["section_lines"] = ([], f"""SELECT filename, block, kind, k1, k2, k3, k4, k5, line FROM (
+    SELECT '{TRENDS_DIR}' || lower(p.p_brand) || '_' || CAST(year(l.l_shipdate) AS VARCHAR) || '.csv' AS filename,
+      p.p_brand AS brand, year(l.l_shipdate) AS year,
+      CAST(floor(l.l_orderkey / {ORDERS_PER_BLOCK}) + 1 AS BIGINT) AS block, 3 AS kind,
+      l.l_orderkey AS k1, l.l_partkey AS k2, l.l_suppkey AS k3, l.l_linenumber AS k4, l.l_shipdate AS k5,
+      nat.n_name || ',' || ({_SCORE_TEXT}) || (CASE WHEN o.o_orderstatus = 'F' THEN chr(13) ELSE '' END) AS line
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+    JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation nat ON c.c_nationkey = nat.n_nationkey
+  ) data
+  UNION ALL
+  SELECT filename, CAST(0 AS BIGINT), 0, NULL, NULL, NULL, NULL, NULL, '{PREAMBLE}' FROM files
+  UNION ALL
+  SELECT filename, CAST(0 AS BIGINT), 1, NULL, NULL, NULL, NULL, NULL, '  ' FROM files
+  UNION ALL
+  SELECT filename, CAST(0 AS BIGINT), 2, NULL, NULL, NULL, NULL, NULL,
+    'Region,' || brand || ': (1/1/' || {_YY} || ' - 12/31/' || {_YY} || ')' FROM files
+  UNION ALL
+  SELECT filename, CAST({STOP_BLOCK} AS BIGINT), 0, NULL, NULL, NULL, NULL, NULL,
+    'Region,: (1/1/' || {_YY} || ' - 12/31/' || {_YY} || ')' FROM files WHERE year = {STOP_YEAR}""")
+CTES["files"] = ([], f"""SELECT DISTINCT '{TRENDS_DIR}' || lower(p.p_brand) || '_' || CAST(year(l.l_shipdate) AS VARCHAR) || '.csv'
+      AS filename, p.p_brand AS brand, year(l.l_shipdate) AS year
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation nat ON c.c_nationkey = nat.n_nationkey""")
+CTES["section_lines"] = (["files"], CTES["section_lines"][1])
+
+SECTION_BODY = f"""SELECT keyword, region, interest_score, begin_date, end_date, filename,
+  '{SECTIONS_RETRIEVED_AT}' AS retrieved_at
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY keyword, region, begin_date, end_date ORDER BY filename, ln) AS pick
+  FROM (
+    SELECT filename, ln, keyword, begin_date, end_date,
+      {_strip("substr(t, 1, length(t) - rp)")} AS region,
+      CASE WHEN {_strip("substr(t, length(t) - rp + 2)")} = '<1' THEN CAST(1 AS BIGINT)
+           WHEN regexp_full_match({_strip("substr(t, length(t) - rp + 2)")}, '[+-]?[0-9]+')
+             THEN TRY_CAST({_strip("substr(t, length(t) - rp + 2)")} AS BIGINT) END AS interest_score
+    FROM (
+      SELECT s.filename, s.ln, h.kw AS keyword, h.bd AS begin_date, h.ed AS end_date,
+        {_strip("s.line")} AS t, strpos(reverse({_strip("s.line")}), ',') AS rp
+      FROM state s JOIN dated h ON h.filename = s.filename AND h.ln = s.hdr_ln
+      WHERE s.stopped = 0
+    ) WHERE t <> '' AND rp > 0
+  ) WHERE interest_score IS NOT NULL
+) WHERE pick = 1"""
+
+CTES["numbered"] = (["section_lines"], """SELECT *, ROW_NUMBER() OVER (PARTITION BY filename
+      ORDER BY block, kind, k1, k2, k3, k4, k5) AS ln
+  FROM section_lines""")
+CTES["edges"] = (["numbered"], f"""SELECT filename, min(ln) FILTER (WHERE {_strip("line")} <> '') AS f,
+    max(ln) FILTER (WHERE {_strip("line")} <> '') AS l
+  FROM numbered GROUP BY filename""")
+CTES["adjusted"] = (["numbered", "edges"], f"""SELECT n.*, CASE
+      WHEN n.ln = e.f AND n.ln = e.l THEN {_strip("n.line")}
+      WHEN n.ln = e.f THEN {_lstrip("n.line")}
+      WHEN n.ln = e.l THEN {_rstrip("n.line")}
+      ELSE n.line END AS raw
+  FROM numbered n LEFT JOIN edges e ON n.filename = e.filename""")
+CTES["headers"] = (["adjusted"], f"""SELECT *,
+    (starts_with(raw, 'Region') AND contains(raw, '(') AND contains(raw, ')') AND contains(raw, ' - ')) AS is_h,
+    lower({_strip("split_part(" + _strip("substr(raw, 8)") + ", ':', 1)")}) AS kw0,
+    regexp_extract(raw, '\\(([^)]+)\\)', 1) AS rng
+  FROM adjusted""")
+CTES["dated"] = (["headers"], f"""SELECT *,
+    CASE WHEN is_h AND contains(raw, ':') AND kw0 <> '' THEN kw0 END AS kw,
+    is_h AND NOT (contains(raw, ':') AND kw0 <> '') AS stop,
+    CASE WHEN ok THEN b END AS bd, CASE WHEN ok THEN e END AS ed
+  FROM (
+    SELECT *, (b IS NOT NULL AND e IS NOT NULL) AS ok FROM (
+      SELECT *,
+        CASE WHEN rng <> '' AND len(string_split(rng, ' - ')) = 2
+          THEN {_mdy(_strip("string_split(rng, ' - ')[1]"))} END AS b,
+        CASE WHEN rng <> '' AND len(string_split(rng, ' - ')) = 2
+          THEN {_mdy(_strip("string_split(rng, ' - ')[2]"))} END AS e
+      FROM headers))""")
+CTES["state"] = (["dated"], """SELECT *,
+    max(CASE WHEN stop THEN 1 ELSE 0 END) OVER w AS stopped,
+    max(CASE WHEN kw IS NOT NULL THEN ln END) OVER w AS hdr_ln
+  FROM dated
+  WINDOW w AS (PARTITION BY filename ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "channel_insights": CHANNEL_INSIGHTS,
@@ -389,4 +505,5 @@ def oracle_sql() -> dict[str, str]:
         "select_keywords": SELECT_KEYWORDS,
         "pending_ids": PENDING_IDS,
         "request_batches": REQUEST_BATCHES,
+        "section_lines": with_ctes(SECTION_BODY, "numbered", "state"),
     }
