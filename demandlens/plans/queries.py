@@ -19,6 +19,7 @@ from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
 from demandlens.plans import gold, silver, standins
 from demandlens.session import materialize
+from demandlens.sources.responses import ingest_search, ingest_statistics
 from demandlens.sources.sections import parse_sections, sections_to_bronze
 
 # Fixed report time for the KPI report, so the result is reproducible.
@@ -204,6 +205,18 @@ def section_lines_q(spark, sf_dir):
     return sections_to_bronze(rows, order=standins.SECTION_ORDER, retrieved_at=standins.SECTIONS_RETRIEVED_AT)
 
 
+def flatten_search_q(spark, sf_dir):
+    """Search responses -> items with relevance position -> one row per video (first wins)."""
+    resp = standins.search_responses(spark, sf_dir)
+    return ingest_search(resp, ["keyword", *standins.RESPONSE_KEYS], searched_at=standins.SEARCHED_AT)
+
+
+def flatten_statistics_q(spark, sf_dir):
+    """Statistics responses -> counters (missing = 0) -> one row per video (first wins)."""
+    resp = standins.statistics_responses(spark, sf_dir)
+    return ingest_statistics(resp, standins.RESPONSE_KEYS, retrieved_at=standins.STATS_RETRIEVED_AT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_insights": channel_insights,
     "business_kpis": business_kpis,
@@ -229,6 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pending_ids": pending_ids,
     "request_batches": request_batches_q,
     "section_lines": section_lines_q,
+    "flatten_search": flatten_search_q,
+    "flatten_statistics": flatten_statistics_q,
 }
 
 # iso_duration_seconds is exercised through statistics_clean (duration_seconds).

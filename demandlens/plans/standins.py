@@ -235,3 +235,64 @@ def section_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("filename", "block", *SECTION_ORDER, "line")
+
+
+# API-response stand-ins: one JSON document per line item. Search responses of
+# returned items ("R") carry a second, empty item ({"id": {}}); statistics
+# responses of "N" items lack likeCount.
+RESPONSE_KEYS = ["o1", "o2", "o3", "o4", "o5"]
+SEARCHED_AT = "2025-08-18 09:00:00"
+STATS_RETRIEVED_AT = "2025-08-18 10:00:00"
+
+
+def _line_keys():
+    return [F.col(c).alias(a) for c, a in zip(
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"], RESPONSE_KEYS)]
+
+
+def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(keyword, o1..o5, body): a search response document per line item."""
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders")
+    j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    snippet = F.struct(
+        F.col("p_name").alias("title"),
+        F.col("p_type").alias("description"),
+        F.concat(F.lit("UC"), F.col("l_suppkey").cast("string")).alias("channelId"),
+        F.concat(F.lit("Channel "), F.col("l_suppkey").cast("string")).alias("channelTitle"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishTime"),
+    )
+    item = F.struct(F.struct(_video_id(F.col("l_orderkey")).alias("videoId")).alias("id"), snippet.alias("snippet"))
+    empty = F.struct(F.struct(F.lit(None).cast("string").alias("videoId")).alias("id"),
+                     F.lit(None).cast(snippet_type()).alias("snippet"))
+    items = F.when(F.col("l_returnflag") == "R", F.array(item, empty)).otherwise(F.array(item))
+    return j.select(F.lower("p_brand").alias("keyword"), *_line_keys(),
+                    F.to_json(F.struct(items.alias("items"))).alias("body"))
+
+
+def snippet_type() -> str:
+    return ("struct<title:string,description:string,channelId:string,channelTitle:string,"
+            "publishTime:string>")
+
+
+def statistics_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o1..o5, body): a statistics response document per line item."""
+    li = table(spark, sf_dir, "lineitem")
+    qty = F.floor("l_quantity").cast("bigint")
+    line = F.col("l_linenumber").cast("string")
+    duration = (
+        F.when(F.col("l_returnflag") == "A",
+               F.concat(F.lit("PT"), (F.col("l_linenumber") - 1).cast("string"), F.lit("H"), line, F.lit("M"),
+                        qty.cast("string"), F.lit("S")))
+        .when(F.col("l_returnflag") == "N", F.concat(F.lit("PT"), line, F.lit("M"), qty.cast("string"), F.lit("S")))
+        .otherwise(F.concat(F.lit("P"), line, F.lit("DT"), line, F.lit("M")))
+    )
+    counters = F.struct(
+        F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("bigint").cast("string").alias("viewCount"),
+        F.when(F.col("l_returnflag") != "N", (qty * F.lit(10)).cast("string")).alias("likeCount"),
+        F.col("l_linenumber").cast("bigint").cast("string").alias("commentCount"),
+    )
+    item = F.struct(_video_id(F.col("l_orderkey")).alias("id"), counters.alias("statistics"),
+                    F.struct(duration.alias("duration")).alias("contentDetails"))
+    return li.select(*_line_keys(), F.to_json(F.struct(F.array(item).alias("items"))).alias("body"))

@@ -21,6 +21,8 @@ from demandlens.plans.standins import (
     STOP_BLOCK,
     STOP_YEAR,
     TRENDS_DIR,
+    SEARCHED_AT,
+    STATS_RETRIEVED_AT,
     INGESTED_AT,
     KEYWORDS_FILE,
     SEGMENTS,
@@ -480,6 +482,70 @@ CTES["state"] = (["dated"], """SELECT *,
   WINDOW w AS (PARTITION BY filename ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 
 
+# ---------------------------------------------------------------- API responses
+_VID = "'v' || CAST(l.l_orderkey AS VARCHAR)"
+_KEYS = "l.l_orderkey AS o1, l.l_partkey AS o2, l.l_suppkey AS o3, l.l_linenumber AS o4, l.l_shipdate AS o5"
+_SEARCH_ITEM = f"""json_object('id', json_object('videoId', {_VID}), 'snippet', json_object(
+      'title', p.p_name, 'description', p.p_type,
+      'channelId', 'UC' || CAST(l.l_suppkey AS VARCHAR), 'channelTitle', 'Channel ' || CAST(l.l_suppkey AS VARCHAR),
+      'publishTime', strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%SZ')))"""
+
+FLATTEN_SEARCH = f"""WITH resp AS (
+  SELECT lower(p.p_brand) AS keyword, {_KEYS},
+    json_object('items', CASE WHEN l.l_returnflag = 'R'
+      THEN json_array({_SEARCH_ITEM}, json_object('id', json_object()))
+      ELSE json_array({_SEARCH_ITEM}) END) AS body
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+), items AS (
+  SELECT keyword, o1, o2, o3, o4, o5,
+    unnest(CAST(json_extract(body, '$.items') AS JSON[])) AS item,
+    unnest(range(CAST(json_array_length(body, '$.items') AS BIGINT))) AS position
+  FROM resp
+)
+SELECT video_id, search_keyword, title, description, channel_id, channel_title, publish_time, searched_at FROM (
+  SELECT item->'id'->>'videoId' AS video_id, keyword AS search_keyword,
+    item->'snippet'->>'title' AS title, item->'snippet'->>'description' AS description,
+    item->'snippet'->>'channelId' AS channel_id, item->'snippet'->>'channelTitle' AS channel_title,
+    item->'snippet'->>'publishTime' AS publish_time, '{SEARCHED_AT}' AS searched_at,
+    ROW_NUMBER() OVER (PARTITION BY item->'id'->>'videoId'
+      ORDER BY keyword, o1, o2, o3, o4, o5, position) AS pick
+  FROM items
+) WHERE pick = 1"""
+
+_STATS_COUNTERS = """'viewCount', CAST(CAST(floor(l.l_extendedprice * l.l_discount) AS BIGINT) AS VARCHAR)"""
+_STATS_DURATION = ("CASE WHEN l.l_returnflag = 'A' THEN 'PT' || CAST(l.l_linenumber - 1 AS VARCHAR) || 'H' || "
+                   "CAST(l.l_linenumber AS VARCHAR) || 'M' || CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || 'S' "
+                   "WHEN l.l_returnflag = 'N' THEN 'PT' || CAST(l.l_linenumber AS VARCHAR) || 'M' || "
+                   "CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || 'S' "
+                   "ELSE 'P' || CAST(l.l_linenumber AS VARCHAR) || 'DT' || CAST(l.l_linenumber AS VARCHAR) || 'M' END")
+_LIKES = "'likeCount', CAST(CAST(floor(l.l_quantity) AS BIGINT) * 10 AS VARCHAR)"
+_COMMENTS = "'commentCount', CAST(CAST(l.l_linenumber AS BIGINT) AS VARCHAR)"
+
+FLATTEN_STATISTICS = f"""WITH resp AS (
+  SELECT {_KEYS},
+    json_object('items', json_array(json_object('id', {_VID},
+      'statistics', CASE WHEN l.l_returnflag <> 'N'
+        THEN json_object({_STATS_COUNTERS}, {_LIKES}, {_COMMENTS})
+        ELSE json_object({_STATS_COUNTERS}, {_COMMENTS}) END,
+      'contentDetails', json_object('duration', {_STATS_DURATION})))) AS body
+  FROM lineitem l
+), items AS (
+  SELECT o1, o2, o3, o4, o5,
+    unnest(CAST(json_extract(body, '$.items') AS JSON[])) AS item,
+    unnest(range(CAST(json_array_length(body, '$.items') AS BIGINT))) AS position
+  FROM resp
+)
+SELECT video_id, view_count, like_count, comment_count, duration, retrieved_at FROM (
+  SELECT item->>'id' AS video_id,
+    COALESCE(CAST(item->'statistics'->>'viewCount' AS BIGINT), 0) AS view_count,
+    COALESCE(CAST(item->'statistics'->>'likeCount' AS BIGINT), 0) AS like_count,
+    COALESCE(CAST(item->'statistics'->>'commentCount' AS BIGINT), 0) AS comment_count,
+    item->'contentDetails'->>'duration' AS duration, '{STATS_RETRIEVED_AT}' AS retrieved_at,
+    ROW_NUMBER() OVER (PARTITION BY item->>'id' ORDER BY o1, o2, o3, o4, o5, position) AS pick
+  FROM items
+) WHERE pick = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "channel_insights": CHANNEL_INSIGHTS,
@@ -506,4 +572,6 @@ def oracle_sql() -> dict[str, str]:
         "pending_ids": PENDING_IDS,
         "request_batches": REQUEST_BATCHES,
         "section_lines": with_ctes(SECTION_BODY, "numbered", "state"),
+        "flatten_search": FLATTEN_SEARCH,
+        "flatten_statistics": FLATTEN_STATISTICS,
     }
