@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from demandlens.functions.durations import iso_duration_seconds
 from demandlens.functions.rates import comment_rate, engagement_rate, like_rate
+from demandlens.operators.checks import check_not_null, check_references, check_unique, union_checks
 from demandlens.operators.incremental import pending_keys, select_keys
 from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
@@ -217,6 +218,22 @@ def flatten_statistics_q(spark, sf_dir):
     return ingest_statistics(resp, standins.RESPONSE_KEYS, retrieved_at=standins.STATS_RETRIEVED_AT)
 
 
+def data_checks(spark, sf_dir):
+    """Not-null, uniqueness and reference checks over the silver tables, one aggregate job each."""
+    s = Silver(spark, sf_dir)
+    return union_checks([
+        check_not_null(s.search, ["video_id", "keyword_id", "searched_at"], "silver_search_results"),
+        check_not_null(s.stats, ["video_id", "retrieved_at"], "silver_video_statistics"),
+        check_unique(s.keywords, ["keyword_id"], "silver_keywords"),
+        check_unique(s.keywords, ["keyword"], "silver_keywords"),
+        check_unique(s.search, ["search_result_id"], "silver_search_results"),
+        check_unique(s.stats, ["video_id", "retrieved_at"], "silver_video_statistics"),
+        check_references(s.search, s.keywords, "keyword_id", "silver_search_results"),
+        check_references(s.trends, s.census, "region_id", "silver_google_trends"),
+        check_references(s.stats, s.search, "video_id", "silver_video_statistics"),
+    ])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_insights": channel_insights,
     "business_kpis": business_kpis,
@@ -244,6 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "section_lines": section_lines_q,
     "flatten_search": flatten_search_q,
     "flatten_statistics": flatten_statistics_q,
+    "data_checks": data_checks,
 }
 
 # iso_duration_seconds is exercised through statistics_clean (duration_seconds).

@@ -546,6 +546,40 @@ SELECT video_id, view_count, like_count, comment_count, duration, retrieved_at F
 ) WHERE pick = 1"""
 
 
+# ---------------------------------------------------------------- data checks
+def _nn(table: str, cte: str, col: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{col}' AS columns, "
+            f"CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failures FROM {cte}")
+
+
+def _uq(table: str, cte: str, cols: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'unique' AS check_name, '{cols}' AS columns, "
+            f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS failures "
+            f"FROM (SELECT COUNT(*) AS n FROM {cte} GROUP BY {cols} HAVING COUNT(*) > 1)")
+
+
+def _ref(table: str, child: str, parent: str, key: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'references' AS check_name, '{key}' AS columns, "
+            f"CAST(COUNT(*) AS BIGINT) AS failures FROM {child} c "
+            f"WHERE c.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{key})")
+
+
+DATA_CHECKS_BODY = "\nUNION ALL\n".join([
+    _nn("silver_search_results", "s_search", "video_id"),
+    _nn("silver_search_results", "s_search", "keyword_id"),
+    _nn("silver_search_results", "s_search", "searched_at"),
+    _nn("silver_video_statistics", "s_stats", "video_id"),
+    _nn("silver_video_statistics", "s_stats", "retrieved_at"),
+    _uq("silver_keywords", "s_keywords", "keyword_id"),
+    _uq("silver_keywords", "s_keywords", "keyword"),
+    _uq("silver_search_results", "s_search", "search_result_id"),
+    _uq("silver_video_statistics", "s_stats", "video_id,retrieved_at"),
+    _ref("silver_search_results", "s_search", "s_keywords", "keyword_id"),
+    _ref("silver_google_trends", "s_trends", "s_census", "region_id"),
+    _ref("silver_video_statistics", "s_stats", "s_search", "video_id"),
+])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "channel_insights": CHANNEL_INSIGHTS,
@@ -574,4 +608,5 @@ def oracle_sql() -> dict[str, str]:
         "section_lines": with_ctes(SECTION_BODY, "numbered", "state"),
         "flatten_search": FLATTEN_SEARCH,
         "flatten_statistics": FLATTEN_STATISTICS,
+        "data_checks": with_ctes(DATA_CHECKS_BODY, "s_search", "s_stats", "s_keywords", "s_trends", "s_census"),
     }
