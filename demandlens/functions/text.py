@@ -9,9 +9,10 @@ from demandlens.functions.util import to_col
 
 # The characters Python's str.strip() removes (str.isspace()).
 # Spark's trim() only removes spaces, so "\r" from CRLF files would survive it.
-WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Month / day / two-digit year as accepted by the "%m/%d/%y" format.
@@ -30,12 +31,17 @@ INTEGER_PATTERN = r"\A[+-]?[0-9]+\z"
 
 
 def strip_ws(col) -> Column:
-    """Python-style strip(): remove leading and trailing whitespace incl. CR and tabs."""
-    return F.regexp_replace(to_col(col), rf"\A{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+\z", "")
+    """Python-style strip(): remove leading and trailing whitespace incl. CR and tabs
+    (a character-set trim, no regular expression)."""
+    return F.btrim(to_col(col), F.lit(WHITESPACE_CHARS))
 
 
 def lstrip_ws(col) -> Column:
-    return F.regexp_replace(to_col(col), rf"\A{WHITESPACE_CLASS}+", "")
+    return F.ltrim(to_col(col), F.lit(WHITESPACE_CHARS))
+
+
+def rstrip_ws(col) -> Column:
+    return F.rtrim(to_col(col), F.lit(WHITESPACE_CHARS))
 
 
 def parse_mdy(col) -> Column:

@@ -7,6 +7,7 @@ all the work after that is the library's own silver / gold / operator code.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,49 +74,84 @@ class Silver:
         return self._get("top", lambda: materialize(gold.latest_searches_top_k(self.search), "latest_top_k"))
 
 
+class SilverLayer:
+    """The silver tables and the shared latest top-k table, each written once per
+    session and scale dir to the shared checkpoint folder and read back - the
+    materialized silver layer the gold reports read (as the models do)."""
+
+    _layers: dict[tuple[str, str], "SilverLayer"] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._silver = Silver(spark, sf_dir)
+        self._tables: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "SilverLayer":
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        if key not in cls._layers:
+            cls._layers[key] = cls(spark, sf_dir)
+        return cls._layers[key]
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            if name == "top":
+                frame = gold.latest_searches_top_k(self.search)
+            else:
+                frame = getattr(self._silver, name)
+            self._tables[name] = materialize(frame, f"silver_{name}")
+        return self._tables[name]
+
+    keywords = property(lambda self: self._get("keywords"))
+    census = property(lambda self: self._get("census"))
+    trends = property(lambda self: self._get("trends"))
+    search = property(lambda self: self._get("search"))
+    stats = property(lambda self: self._get("stats"))
+    top = property(lambda self: self._get("top"))
+
+
 # ---------------------------------------------------------------- gold reports
 def channel_insights(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_channel_insights(s.top, s.stats, s.keywords)
 
 
 def business_kpis(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_business_kpis(s.top, s.stats, s.keywords, as_of=AS_OF)
 
 
 def keyword_market(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_keyword_market_analysis(s.top, s.stats, s.keywords, s.trends)
 
 
 def geographic_insights(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_geographic_insights(s.top, s.trends, s.keywords, s.census)
 
 
 def geographic_insights_dedup(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_geographic_insights(s.top, s.trends, s.keywords, s.census, dedupe=True)
 
 
 def trending(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_trending_analysis(s.search, s.stats, s.keywords, growth_over="joined")
 
 
 def trending_snapshots(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_trending_analysis(s.search, s.stats, s.keywords, growth_over="snapshots")
 
 
 def video_time_series(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_video_performance_time_series(s.search, s.stats, s.keywords, growth_over="joined")
 
 
 def video_time_series_snapshots(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = SilverLayer.of(spark, sf_dir)
     return gold.gold_video_performance_time_series(s.search, s.stats, s.keywords, growth_over="snapshots")
 
 

@@ -88,12 +88,13 @@ def _with_header(df: DataFrame, line_col: str) -> DataFrame:
     line = F.col(line_col)
     df = df.select("*", lstrip_ws(line).alias("_dl_raw"), (strip_ws(line) != "").alias("_dl_nb"))
     raw = F.col("_dl_raw")
+    df = df.select("*", (raw != line).alias("_dl_lead"), is_section_header(raw).alias("_dl_is_h"))
+    # Everything below only runs for header lines.
+    is_h = F.col("_dl_is_h")
     df = df.select(
         "*",
-        (raw != line).alias("_dl_lead"),
-        is_section_header(raw).alias("_dl_is_h"),
-        header_keyword(raw).alias("_dl_kw"),
-        F.nullif(F.regexp_extract(raw, FIRST_PARENTHESES, 1), F.lit("")).alias("_dl_rng"),
+        F.when(is_h, header_keyword(raw)).alias("_dl_kw"),
+        F.when(is_h, F.nullif(F.regexp_extract(raw, FIRST_PARENTHESES, 1), F.lit(""))).alias("_dl_rng"),
     )
     df = df.select("*", F.split(F.col("_dl_rng"), RANGE_SEPARATOR, -1).alias("_dl_parts"))
     parts = F.col("_dl_parts")
@@ -103,9 +104,12 @@ def _with_header(df: DataFrame, line_col: str) -> DataFrame:
         strip_ws(F.get(parts, 0)).alias("_dl_btxt"),
         strip_ws(F.get(parts, 1)).alias("_dl_etxt"),
     )
-    df = df.select("*", parse_mdy(F.col("_dl_btxt")).alias("_dl_b"), parse_mdy(F.col("_dl_etxt")).alias("_dl_e"))
+    df = df.select(
+        "*",
+        F.when(F.col("_dl_shape"), parse_mdy(F.col("_dl_btxt"))).alias("_dl_b"),
+        F.when(F.col("_dl_shape"), parse_mdy(F.col("_dl_etxt"))).alias("_dl_e"),
+    )
     ok = F.col("_dl_shape") & F.col("_dl_b").isNotNull() & F.col("_dl_e").isNotNull()
-    is_h = F.col("_dl_is_h")
     kw = F.col("_dl_kw")
     df = df.select(
         "*",
