@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandlens.functions.util import as_list, sort_keys
 from demandlens.operators.keys import keep_last, not_null_all
+from demandlens.session import materialize
 
 
 def latest_batch_top_k(
@@ -61,7 +62,51 @@ def period_growth(
     value: str,
     tie=(),
     name: str = "growth",
+    skew_safe: bool = False,
+    num_partitions: int | None = None,
 ) -> DataFrame:
-    """``value - LAG(value)`` per entity in (time, *tie) order; NULL for the first row."""
-    w = Window.partitionBy(*as_list(entity)).orderBy(*sort_keys([time, *as_list(tie)]))
-    return df.withColumn(name, F.col(value) - F.lag(value).over(w))
+    """``value - LAG(value)`` per entity in (time, *tie) order; NULL for the first row.
+
+    The plain form is one window partitioned by entity: every row of an entity
+    goes to one task. ``skew_safe=True`` gives the same column for inputs where
+    one entity may hold a large share of the rows:
+
+    1. range-partition on (entity, time, tie) - the sample-based bounds split a
+       hot entity over several partitions - and write that once (so every later
+       step sees the same partitioning);
+    2. LAG inside each (entity, partition) chunk - chunks are bounded by the
+       partition size;
+    3. one summary row per chunk (its last value) and, over those small rows, the
+       previous chunk's last value per entity; joined back to patch the first row
+       of each chunk.
+    """
+    entity = as_list(entity)
+    order = [time, *as_list(tie)]
+    if not skew_safe:
+        w = Window.partitionBy(*entity).orderBy(*sort_keys(order))
+        return df.withColumn(name, F.col(value) - F.lag(value).over(w))
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pid = "_dl_chunk"
+    ranged = df.repartitionByRange(n, *sort_keys([*entity, *order]))
+    tagged = materialize(ranged.select("*", F.spark_partition_id().alias(pid)), "period_growth")
+    in_chunk = Window.partitionBy(pid, *entity).orderBy(*sort_keys(order))
+    local = tagged.select(
+        "*",
+        F.lag(value).over(in_chunk).alias("_dl_prev"),
+        (F.row_number().over(in_chunk) == 1).alias("_dl_head"),
+    )
+    ordering = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
+    chunk_last = tagged.groupBy(*entity, pid).agg(F.max_by(value, ordering).alias("_dl_last"))
+    carry = chunk_last.select(
+        *[F.col(c).alias(f"_dl_e{i}") for i, c in enumerate(entity)],
+        F.col(pid).alias("_dl_cpid"),
+        F.lag("_dl_last").over(Window.partitionBy(*entity).orderBy(pid)).alias("_dl_carry"),
+    )
+    cond = F.col(pid) == F.col("_dl_cpid")
+    for i, c in enumerate(entity):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_dl_e{i}"))
+    joined = local.join(carry, cond, "left")
+    prev = F.when(F.col("_dl_head"), F.col("_dl_carry")).otherwise(F.col("_dl_prev"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(value) - prev).alias(name))

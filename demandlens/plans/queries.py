@@ -202,7 +202,7 @@ def latest_snapshot_q(spark, sf_dir):
 
 def period_growth_q(spark, sf_dir):
     ev = standins.table(spark, sf_dir, "events")
-    return period_growth(ev, "user_id", "ts", "value", tie=["event_id"], name="growth")
+    return period_growth(ev, "user_id", "ts", "value", tie=["event_id"], name="growth", skew_safe=True)
 
 
 def dense_ids_q(spark, sf_dir):

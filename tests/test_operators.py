@@ -105,3 +105,19 @@ def test_period_growth_and_latest_snapshot(spark):
     assert [r.growth for r in g] == [None, 15, -5, None]
     last = sorted((r.video_id, r.views) for r in latest_snapshot(df, "video_id", "t").collect())
     assert last == [("v1", 20), ("v2", 5)]
+
+
+def test_period_growth_skew_safe_equals_plain(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):
+        e = "hot" if rnd.random() < 0.6 else rnd.choice(["a", "b", None])
+        t = None if rnd.random() < 0.01 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 500))
+        rows.append((i, e, t, rnd.choice([None, rnd.randint(0, 1000)])))
+    df = spark.createDataFrame(rows, "id int, e string, t timestamp_ntz, v long")
+    plain = period_growth(df, "e", "t", "v", tie=["id"], name="g")
+    safe = period_growth(df, "e", "t", "v", tie=["id"], name="g", skew_safe=True, num_partitions=7)
+    a = sorted((r.id, r.g) for r in plain.collect())
+    b = sorted((r.id, r.g) for r in safe.collect())
+    assert a == b
+    assert safe.columns == plain.columns
