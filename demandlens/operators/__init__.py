@@ -5,18 +5,21 @@ from demandlens.operators.incremental import pending_from_tables, pending_keys,
 from demandlens.operators.joins import bounded_broadcast, lookup
 from demandlens.operators.keys import dedupe_first, dense_ids, keep_last, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
+from demandlens.operators.metrics import dedup_report, observe_rows
 
 __all__ = [
     "bounded_broadcast",
     "check_not_null",
     "check_references",
     "check_unique",
+    "dedup_report",
     "dedupe_first",
     "dense_ids",
     "keep_last",
     "latest_batch_top_k",
     "latest_snapshot",
     "lookup",
+    "observe_rows",
     "pending_from_tables",
     "pending_keys",
     "period_growth",

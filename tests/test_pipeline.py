@@ -188,3 +188,29 @@ def test_growth_mode_validated(spark, growth_over):
     df = spark.createDataFrame([("v", 1)], "video_id string, keyword_id long")
     with pytest.raises(ValueError):
         G.gold_trending_analysis(df, df, df, growth_over=growth_over)
+
+
+def test_trend_ingest_metrics_and_kpi_latest_only(spark, tmp_dir):
+    from demandlens.plans.pipeline import ingest_trend_files
+
+    src = os.path.join(tmp_dir, "trends")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write("Region,Serum: (1/1/24 - 2/1/24)\nX,5\nX,6\nY,<1\n")
+    with open(os.path.join(src, "b.csv"), "w") as fh:
+        fh.write("Region,Serum: (1/1/24 - 2/1/24)\nX,9\n")
+    L = Layout(os.path.join(tmp_dir, "lake"))
+    report = ingest_trend_files(spark, src, L, retrieved_at="2025-01-01 00:00:00")
+    assert report == {"rows": 4, "kept": 2, "removed_duplicates": 2}
+    rows = sorted((r.region, r.interest_score) for r in spark.read.parquet(L.bronze("google_trends")).collect())
+    assert rows == [("X", 5), ("Y", 1)]
+
+    top = spark.createDataFrame([("v1", 1, "c1")], "video_id string, keyword_id long, channel_id string")
+    kw = spark.createDataFrame([(1, "serum")], "keyword_id long, keyword string")
+    stats = spark.createDataFrame(
+        [("v1", 100, 1, 1, 60, dt.datetime(2025, 1, 1)), ("v1", 300, 1, 1, 60, dt.datetime(2025, 1, 2))],
+        "video_id string, view_count long, like_count long, comment_count long, duration_seconds int, "
+        "retrieved_at timestamp_ntz")
+    all_rows = G.gold_business_kpis(top, stats, kw, as_of="2025-01-03 00:00:00").first()
+    latest = G.gold_business_kpis(top, stats, kw, as_of="2025-01-03 00:00:00", latest_only=True).first()
+    assert (all_rows.total_ecosystem_views, latest.total_ecosystem_views) == (400, 300)
