@@ -236,8 +236,11 @@ def request_batches_q(spark, sf_dir):
 
 
 def section_lines_q(spark, sf_dir):
-    """Sectioned export lines -> header state, stop rule, score parsing -> first-wins de-duplication."""
-    lines = standins.section_lines(spark, sf_dir)
+    """Sectioned export lines -> header state, stop rule, score parsing -> first-wins de-duplication.
+
+    The stand-in lines are written once, as export files sit in storage; the
+    parser reads its input twice (summary pass, row pass)."""
+    lines = materialize(standins.section_lines(spark, sf_dir), "section_lines")
     rows = parse_sections(lines, order=standins.SECTION_ORDER)
     return sections_to_bronze(rows, order=standins.SECTION_ORDER, retrieved_at=standins.SECTIONS_RETRIEVED_AT)
 
