@@ -121,3 +121,15 @@ def test_period_growth_skew_safe_equals_plain(spark):
     b = sorted((r.id, r.g) for r in safe.collect())
     assert a == b
     assert safe.columns == plain.columns
+
+
+def test_bounded_broadcast_measures_rows_and_bytes(spark):
+    from demandlens.operators.joins import bounded_broadcast, measured_size
+
+    df = spark.createDataFrame([("abc", 1), ("de", None), (None, 3)], "s string, n long")
+    rows, size = measured_size(df)
+    assert rows == 3 and size == 3 * (8 + 8) + 5
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(bounded_broadcast(df)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(df, max_bytes=10)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(df, max_rows=2)).lower()
