@@ -20,7 +20,7 @@ from demandlens.operators.incremental import pending_keys, select_keys
 from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
 from demandlens.plans import gold, silver, standins
-from demandlens.session import materialize
+from demandlens.session import materialize, session_key
 from demandlens.sources.responses import ingest_search, ingest_statistics
 from demandlens.sources.sections import parse_sections, sections_to_bronze
 
@@ -87,7 +87,7 @@ class SilverLayer:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "SilverLayer":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (session_key(spark), os.path.abspath(sf_dir))
         if key not in cls._layers:
             cls._layers[key] = cls(spark, sf_dir)
         return cls._layers[key]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.plans.census_columns import AREA_NAME_HEADER, CENSUS_COLUMNS, GEOGRAPHY_ID_HEADER, header_for
+from demandlens.session import default_parallelism
 
 KEYWORDS_FILE = "csv/keywords.csv"
 INGESTED_AT = "2025-08-01 00:00:00"
@@ -32,9 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session's cores so the work after it runs in parallel (inputs with many files
     or row groups are left as they are)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_KEYS and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, SPREAD_KEYS[name])
+    if name in SPREAD_KEYS:
+        cores = default_parallelism(spark)
+        try:
+            parts = df.rdd.getNumPartitions()
+        except Exception:  # no RDD access (Spark Connect): leave the scan as it is
+            parts = cores
+        if parts < cores:
+            df = df.repartition(cores, SPREAD_KEYS[name])
     return df
 
 

@@ -59,17 +59,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when neither is set - local runs and tests - a fresh temporary folder is
     registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             root = tempfile.mkdtemp(prefix="demandlens-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
+def session_key(spark: SparkSession) -> str:
+    """An id of the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
