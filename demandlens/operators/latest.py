@@ -9,6 +9,9 @@ from demandlens.functions.util import as_list, sort_keys
 from demandlens.operators.keys import keep_last, not_null_all
 from demandlens.session import materialize
 
+# Rows of one entity above which period_growth(skew_safe="auto") splits it over tasks.
+HOT_ENTITY_ROWS = 2_000_000
+
 
 def latest_batch_top_k(
     df: DataFrame,
@@ -62,8 +65,9 @@ def period_growth(
     value: str,
     tie=(),
     name: str = "growth",
-    skew_safe: bool = False,
+    skew_safe: bool | str = False,
     num_partitions: int | None = None,
+    hot_rows: int = HOT_ENTITY_ROWS,
 ) -> DataFrame:
     """``value - LAG(value)`` per entity in (time, *tie) order; NULL for the first row.
 
@@ -79,9 +83,16 @@ def period_growth(
     3. one summary row per chunk (its last value) and, over those small rows, the
        previous chunk's last value per entity; joined back to patch the first row
        of each chunk.
+
+    ``skew_safe="auto"`` first finds the largest entity with one aggregate pass
+    (partial counts per map task) and uses the split form only when it holds more
+    than ``hot_rows`` rows.
     """
     entity = as_list(entity)
     order = [time, *as_list(tie)]
+    if skew_safe == "auto":
+        hottest = df.groupBy(*entity).count().agg(F.max("count")).first()[0] or 0
+        skew_safe = hottest > hot_rows
     if not skew_safe:
         w = Window.partitionBy(*entity).orderBy(*sort_keys(order))
         return df.withColumn(name, F.col(value) - F.lag(value).over(w))

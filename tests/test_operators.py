@@ -133,3 +133,16 @@ def test_bounded_broadcast_measures_rows_and_bytes(spark):
     assert "broadcast" in plan(bounded_broadcast(df)).lower()
     assert "broadcast" not in plan(bounded_broadcast(df, max_bytes=10)).lower()
     assert "broadcast" not in plan(bounded_broadcast(df, max_rows=2)).lower()
+
+
+def test_period_growth_auto_picks_split_for_hot_entity(spark):
+    rows = [(i, "hot" if i % 4 else "cold", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i * 3 % 17)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, e string, t timestamp_ntz, v long")
+    plain = sorted((r.id, r.g) for r in period_growth(df, "e", "t", "v", name="g").collect())
+    auto_split = period_growth(df, "e", "t", "v", name="g", skew_safe="auto", hot_rows=100, num_partitions=5)
+    auto_plain = period_growth(df, "e", "t", "v", name="g", skew_safe="auto", hot_rows=10_000)
+    assert "_dl_chunk" in auto_split._jdf.queryExecution().analyzed().toString()
+    assert "_dl_chunk" not in auto_plain._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.id, r.g) for r in auto_split.collect()) == plain
+    assert sorted((r.id, r.g) for r in auto_plain.collect()) == plain
