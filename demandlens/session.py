@@ -56,8 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set - local runs and tests - a fresh temporary folder is
-    registered as the checkpoint dir.
+    Only when neither is set and the master is local (tests, local runs) a fresh
+    temporary folder is registered; on a cluster a missing setting is an error,
+    never a machine-local folder.
     """
     try:
         sc = spark.sparkContext
@@ -67,6 +68,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not str(master).startswith("local"):
+                raise RuntimeError(
+                    "set spark.checkpoint.dir to a folder every executor can reach; "
+                    "intermediate tables are written there")
             root = tempfile.mkdtemp(prefix="demandlens-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
