@@ -189,6 +189,18 @@ def engagement_rates(spark, sf_dir):
     )
 
 
+def iso_durations(spark, sf_dir):
+    """ISO-8601 durations to seconds, the established rule and the strict-days variant."""
+    stats = standins.bronze_video_statistics(spark, sf_dir)
+    return stats.select(
+        "video_id",
+        "retrieved_at",
+        "duration",
+        iso_duration_seconds("duration").alias("duration_seconds"),
+        iso_duration_seconds("duration", strict_days=True).alias("duration_seconds_strict"),
+    )
+
+
 def latest_top_k(spark, sf_dir):
     """Latest ship-date batch per return flag (three very large groups), first 20 lines."""
     li = standins.table(spark, sf_dir, "lineitem")
@@ -289,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_facts": search_facts,
     "statistics_clean": statistics_clean,
     "engagement_rates": engagement_rates,
+    "iso_duration_seconds": iso_durations,
     "latest_top_k": latest_top_k,
     "latest_snapshot": latest_snapshot_q,
     "period_growth": period_growth_q,
@@ -303,5 +316,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "data_checks": data_checks,
 }
 
-# iso_duration_seconds is exercised through statistics_clean (duration_seconds).
-__all__ = ["QUERIES", "Silver", "iso_duration_seconds"]
+__all__ = ["QUERIES", "Silver", "SilverLayer"]

@@ -59,10 +59,13 @@ def mean2(expr: str) -> str:
     return f"(CAST(SUM(CAST(round({expr} * 100.0, 0) AS BIGINT)) AS DOUBLE) / CAST(COUNT({expr}) AS DOUBLE) / 100.0)"
 
 
-def duration_seconds(col: str) -> str:
+def duration_seconds(col: str, strict_days: bool = False) -> str:
     def part(p: str) -> str:
         return f"COALESCE(CAST(NULLIF(regexp_extract({col}, '{p}', 1), '') AS INTEGER), 0)"
 
+    if strict_days:
+        return (f"({part('P(\\d+)D')} * 86400 + {part('T(\\d+)H')} * 3600 + {part('(\\d+)M')} * 60"
+                f" + {part('(\\d+)S')})")
     return f"({part('PT(\\d+)H')} * 3600 + {part('(\\d+)M')} * 60 + {part('(\\d+)S')})"
 
 
@@ -328,6 +331,11 @@ ENGAGEMENT_RATES = with_ctes(f"""SELECT vs.video_id, vs.retrieved_at, vs.view_co
   {LIKE} AS like_rate, {COMMENT} AS comment_rate, {ENGAGE} AS engagement_rate
 FROM s_stats vs""", "s_stats")
 
+ISO_DURATIONS = with_ctes(f"""SELECT video_id, retrieved_at, duration,
+  {duration_seconds('duration')} AS duration_seconds,
+  {duration_seconds('duration', strict_days=True)} AS duration_seconds_strict
+FROM b_stats""", "b_stats")
+
 LATEST_TOP_K = """SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l.l_returnflag
     ORDER BY l.l_orderkey NULLS LAST, l.l_partkey NULLS LAST, l.l_suppkey NULLS LAST, l.l_linenumber NULLS LAST) AS rn
 FROM lineitem l
@@ -592,6 +600,7 @@ def oracle_sql() -> dict[str, str]:
         "search_facts": SILVER_SEARCH,
         "statistics_clean": SILVER_STATS,
         "engagement_rates": ENGAGEMENT_RATES,
+        "iso_duration_seconds": ISO_DURATIONS,
         "latest_top_k": LATEST_TOP_K,
         "latest_snapshot": LATEST_SNAPSHOT,
         "period_growth": PERIOD_GROWTH,

@@ -146,3 +146,14 @@ def test_period_growth_auto_picks_split_for_hot_entity(spark):
     assert "_dl_chunk" not in auto_plain._jdf.queryExecution().analyzed().toString()
     assert sorted((r.id, r.g) for r in auto_split.collect()) == plain
     assert sorted((r.id, r.g) for r in auto_plain.collect()) == plain
+
+
+def test_lookup_exact_and_normalized(spark):
+    from demandlens.operators.joins import lookup
+
+    fact = spark.createDataFrame([("serum",), ("SERUM ",), ("toner",)], "kw string")
+    dim = spark.createDataFrame([(1, "serum")], "keyword_id long, keyword string")
+    exact = lookup(fact, dim, "kw", "keyword", ["keyword_id"]).collect()
+    assert [(r.kw, r.keyword_id) for r in exact] == [("serum", 1)]
+    norm = sorted((r.kw, r.keyword_id) for r in lookup(fact, dim, "kw", "keyword", ["keyword_id"], normalize=True).collect())
+    assert norm == [("SERUM ", 1), ("serum", 1)]
