@@ -49,6 +49,10 @@ def normalize(cols: list[str], rows) -> list[tuple]:
     return sorted(out, key=_key)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
 def compare(name: str, sdf, con, sql: str, rel_tol: float = 0.0) -> dict:
     t0 = time.time()
     srows = [tuple(r) for r in sdf.collect()]
@@ -57,11 +61,14 @@ def compare(name: str, sdf, con, sql: str, rel_tol: float = 0.0) -> dict:
     t0 = time.time()
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
+    otypes = {d[0]: str(d[1]) for d in res.description}
     orows = res.fetchall()
     t_duck = time.time() - t0
     out = {"name": name, "spark_rows": len(srows), "oracle_rows": len(orows), "spark_s": round(t_spark, 2),
            "duck_s": round(t_duck, 2)}
     out["columns_match"] = sorted(scols) == sorted(ocols)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    out["type_diffs"] = {c: (stypes[c], otypes.get(c)) for c in stypes if stypes[c] != otypes.get(c)}
     if not out["columns_match"]:
         out["spark_only"] = sorted(set(scols) - set(ocols))
         out["oracle_only"] = sorted(set(ocols) - set(scols))

@@ -26,6 +26,7 @@ def test_query_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+    assert not r["type_diffs"], r
 
 
 def test_every_query_has_an_oracle():
