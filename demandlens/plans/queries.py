@@ -241,6 +241,18 @@ def pending_ids(spark, sf_dir):
     return pending_keys(search, _stats_done(spark, sf_dir), "video_id", limit=2000)
 
 
+STALE_AS_OF = "2001-06-01 00:00:00"
+STALE_AFTER_DAYS = 365
+
+
+def pending_ids_stale(spark, sf_dir):
+    """Videos whose newest snapshot is older than as_of - 365 days (or that have none)."""
+    search = standins.bronze_search_results(spark, sf_dir)
+    stats = silver.silver_video_statistics(standins.bronze_video_statistics(spark, sf_dir))
+    return pending_keys(search, stats, "video_id", mode="stale", time_col="retrieved_at",
+                        as_of=STALE_AS_OF, max_age_days=STALE_AFTER_DAYS)
+
+
 def request_batches_q(spark, sf_dir):
     search = standins.bronze_search_results(spark, sf_dir)
     pending = pending_keys(search, _stats_done(spark, sf_dir), "video_id")
@@ -309,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_first": dedupe_first_q,
     "select_keywords": select_keywords,
     "pending_ids": pending_ids,
+    "pending_ids_stale": pending_ids_stale,
     "request_batches": request_batches_q,
     "section_lines": section_lines_q,
     "flatten_search": flatten_search_q,

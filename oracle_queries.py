@@ -369,6 +369,12 @@ WHERE sr.video_id IS NOT NULL AND vs.video_id IS NULL"""
 
 PENDING_IDS = with_ctes(f"SELECT video_id FROM ({_PENDING}) ORDER BY video_id LIMIT 2000", "b_search", "b_stats")
 
+PENDING_STALE = with_ctes("""SELECT DISTINCT sr.video_id FROM b_search sr
+WHERE sr.video_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM s_stats vs WHERE vs.video_id = sr.video_id
+  GROUP BY vs.video_id HAVING max(vs.retrieved_at) >= TIMESTAMP '2001-06-01 00:00:00' - INTERVAL 365 DAY)""",
+    "b_search", "s_stats")
+
 REQUEST_BATCHES = with_ctes(f"""SELECT CAST(floor((rn - 1) / 50) AS BIGINT) AS batch_id,
   string_agg(video_id, ',' ORDER BY video_id) AS ids, COUNT(*) AS n_ids
 FROM (SELECT video_id, ROW_NUMBER() OVER (ORDER BY video_id) AS rn FROM ({_PENDING}))
@@ -608,6 +614,7 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_first": DEDUPE_FIRST,
         "select_keywords": SELECT_KEYWORDS,
         "pending_ids": PENDING_IDS,
+        "pending_ids_stale": PENDING_STALE,
         "request_batches": REQUEST_BATCHES,
         "section_lines": with_ctes(SECTION_BODY, "numbered", "state"),
         "flatten_search": FLATTEN_SEARCH,
