@@ -95,6 +95,37 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Paths written by materialize() in this process, in order.
+_WRITTEN: list[tuple[str, str]] = []
+
+
+def materialized_mark() -> int:
+    """A position in the list of written intermediates (see drop_materialized)."""
+    return len(_WRITTEN)
+
+
+def drop_materialized(spark: SparkSession, since: int = 0) -> int:
+    """Delete intermediate tables written by materialize() after ``since`` (a mark).
+
+    Call it only when no DataFrame still reads them (e.g. after a pipeline run has
+    written its result tables elsewhere). Returns the number of folders removed."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return 0
+    removed = 0
+    app = session_key(spark)
+    for owner, folder in _WRITTEN[since:]:
+        if owner != app:
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path) and fs.delete(path, True):
+            removed += 1
+    return removed
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -105,4 +136,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/demandlens/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append((session_key(spark), path))
     return spark.read.parquet(path)

@@ -214,3 +214,14 @@ def test_trend_ingest_metrics_and_kpi_latest_only(spark, tmp_dir):
     all_rows = G.gold_business_kpis(top, stats, kw, as_of="2025-01-03 00:00:00").first()
     latest = G.gold_business_kpis(top, stats, kw, as_of="2025-01-03 00:00:00", latest_only=True).first()
     assert (all_rows.total_ecosystem_views, latest.total_ecosystem_views) == (400, 300)
+
+
+def test_build_all_removes_only_its_intermediates(spark, tmp_dir):
+    from demandlens.session import _WRITTEN, materialize
+
+    keep = materialize(spark.range(3), "keep_me")
+    _bronze(spark, tmp_dir)
+    before = len(_WRITTEN)
+    build_all(spark, tmp_dir, as_of="2025-01-10 00:00:00")
+    assert len(_WRITTEN) > before
+    assert keep.count() == 3
