@@ -5,7 +5,7 @@ import os
 import random
 import re
 
-from demandlens.sources.sections import parse_sections, read_sections, sections_to_bronze
+from demandlens.sources.sections import parse_sections, read_lines, read_sections, sections_to_bronze
 
 FIXTURE = "\n".join([
     "Category: All",
@@ -138,3 +138,32 @@ def test_read_sections_from_files(spark, tmp_dir):
     got = {(r.keyword, r.region, r.interest_score, r.begin_date, r.end_date, r.filename) for r in out.collect()}
     assert got == brute_force(EDGE_FILES)
     assert out.columns == ["keyword", "region", "interest_score", "begin_date", "end_date", "filename", "retrieved_at"]
+
+
+def test_read_sections_with_files_cut_into_many_splits(spark, tmp_dir):
+    rnd = random.Random(21)
+    files = {}
+    for f in range(3):
+        lines = ["  Region,First{}: (1/1/24 - 2/1/24)".format(f)] if f == 0 else ["Intro"]
+        for i in range(300):
+            r = rnd.random()
+            if r < 0.03:
+                lines.append(f"Region,Kw{i}: ({rnd.randint(1, 12)}/{rnd.randint(1, 28)}/2{rnd.randint(0, 9)} - 3/1/25)")
+            elif r < 0.04 and f == 2:
+                lines.append("Region,: (1/1/24 - 2/1/24)")
+            else:
+                lines.append(f"Area {rnd.randint(1, 40)},{rnd.choice(['<1', str(rnd.randint(0, 100)), 'x'])}")
+        files[f"f{f}.csv"] = "\n".join(lines) + "\n"
+    for name, content in files.items():
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(content)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        lines = read_lines(spark, tmp_dir)
+        assert lines.select("filename", "block").distinct().count() > 10  # files really are split
+        out = read_sections(spark, tmp_dir, retrieved_at="2025-01-01 00:00:00", filename_prefix=f"file:{tmp_dir}/")
+        got = {(r.keyword, r.region, r.interest_score, r.begin_date, r.end_date, r.filename) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == brute_force(files)
