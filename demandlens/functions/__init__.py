@@ -19,6 +19,8 @@ from demandlens.functions.text import (
     parse_date_range,
     parse_mdy,
     parse_score,
+    rstrip_ws,
+    section_header,
     split_last,
     strip_ws,
 )
@@ -39,7 +41,9 @@ __all__ = [
     "parse_score",
     "rate_pct",
     "round_half_away",
+    "rstrip_ws",
     "safe_divide",
+    "section_header",
     "split_last",
     "strip_ws",
 ]

@@ -119,3 +119,15 @@ def split_last(col, sep: str = ",") -> Column:
     tail = F.substring_index(c, sep, -1)
     head = c.substr(F.lit(1), F.length(c) - F.length(tail) - F.lit(len(sep)))
     return F.when(c.contains(sep), F.struct(head.alias("head"), tail.alias("tail")))
+
+
+def section_header(raw_line) -> Column:
+    """struct(keyword, begin_date, end_date) of a header line; NULL for other lines.
+
+    A header whose keyword is missing gives struct(NULL, ...) - the stop marker.
+    """
+    c = to_col(raw_line)
+    dates = header_dates(c)
+    return F.when(is_section_header(c), F.struct(
+        header_keyword(c).alias("keyword"), dates["begin_date"].alias("begin_date"),
+        dates["end_date"].alias("end_date")))

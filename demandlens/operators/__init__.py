@@ -6,12 +6,14 @@ from demandlens.operators.joins import bounded_broadcast, lookup
 from demandlens.operators.keys import dedupe_first, dense_ids, keep_last, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
 from demandlens.operators.metrics import dedup_report, observe_rows
+from demandlens.operators.wide import clean_wide
 
 __all__ = [
     "bounded_broadcast",
     "check_not_null",
     "check_references",
     "check_unique",
+    "clean_wide",
     "dedup_report",
     "dedupe_first",
     "dense_ids",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from demandlens.functions.durations import iso_duration_seconds
 from demandlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup
 from demandlens.operators.keys import dense_ids
+from demandlens.operators.wide import clean_wide
 from demandlens.plans.census_columns import (
     AREA_NAME_HEADER,
     CENSUS_COLUMNS,
@@ -58,20 +59,20 @@ def silver_census(bronze_census: DataFrame, on_error: str = "fail") -> DataFrame
     the result is empty, with the full schema.
     """
     year = survey_year(bronze_census.columns)
-    src = bronze_census
+    keep = [(GEOGRAPHY_ID_HEADER, "geography_id"), (AREA_NAME_HEADER, "geographic_area_name")]
     if year is None:
-        src = bronze_census.where(F.lit(False))
-    cols = [
-        F.col(f"`{GEOGRAPHY_ID_HEADER}`").cast("string").alias("geography_id"),
-        F.col(f"`{AREA_NAME_HEADER}`").cast("string").alias("geographic_area_name"),
-        F.lit(year).cast("int").alias("survey_year"),
-    ]
-    for suffix, name, dtype in CENSUS_COLUMNS:
-        if year is None:
-            cols.append(F.lit(None).cast(dtype).alias(name))
-        else:
-            cols.append(_cast(F.col(f"`{header_for(year, suffix)}`"), dtype, on_error).alias(name))
-    base = src.select(*cols)
+        cols = [F.col(f"`{src}`").cast("string").alias(name) for src, name in keep]
+        cols.append(F.lit(None).cast("int").alias("survey_year"))
+        cols += [F.lit(None).cast(dtype).alias(name) for _, name, dtype in CENSUS_COLUMNS]
+        base = bronze_census.where(F.lit(False)).select(*cols)
+    else:
+        wide = clean_wide(bronze_census, CENSUS_COLUMNS, prefix=header_for(year, ""), keep=keep, on_error=on_error)
+        base = wide.select(
+            F.col("geography_id").cast("string").alias("geography_id"),
+            F.col("geographic_area_name").cast("string").alias("geographic_area_name"),
+            F.lit(year).cast("int").alias("survey_year"),
+            *[name for _, name, _ in CENSUS_COLUMNS],
+        )
     return dense_ids(base, ["geography_id", "geographic_area_name", "total_population"], "region_id")
 
 

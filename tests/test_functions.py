@@ -80,3 +80,22 @@ def test_split_last(spark):
     rows = [('"East, Upper",7',), ("no comma",), ("a,",)]
     out = spark.createDataFrame(rows, "s string").select(split_last("s").alias("p")).collect()
     assert [(r.p.head, r.p.tail) if r.p else None for r in out] == [('"East, Upper"', "7"), None, ("a", "")]
+
+
+def test_section_header_struct(spark):
+    from demandlens.functions import section_header
+
+    rows = [("Region,Serum: (1/1/24 - 2/1/24)",), ("Region,: (1/1/24 - 2/1/24)",), ("X,5",)]
+    out = spark.createDataFrame(rows, "s string").select(section_header("s").alias("h")).collect()
+    assert out[0].h.keyword == "serum" and out[0].h.begin_date == dt.date(2024, 1, 1)
+    assert out[1].h.keyword is None and out[2].h is None
+
+
+def test_clean_wide(spark):
+    from demandlens.operators import clean_wide
+
+    df = spark.createDataFrame([("g1", "12", "4.5", "x")], "`ID!!a` string, `P!!n` string, `P!!f` string, `P!!bad` string")
+    out = clean_wide(df, [("n", "n", "bigint"), ("f", "f", "float")], prefix="P!!", keep=[("ID!!a", "id")]).first()
+    assert (out.id, out.n, out.f) == ("g1", 12, 4.5)
+    bad = clean_wide(df, [("bad", "b", "int")], prefix="P!!", on_error="null").first()
+    assert bad.b is None
