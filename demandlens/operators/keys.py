@@ -14,6 +14,7 @@ _PID = "_dl_pid"
 _MID = "_dl_mid"
 _CNT = "_dl_cnt"
 _OFF = "_dl_off"
+_SALT = "_dl_salt"
 
 
 def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None = None) -> DataFrame:
@@ -32,13 +33,18 @@ def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None
        the partition count, not the data size);
     4. id = offset + position inside the partition + 1.
 
-    Rows that tie on every order key get ids in arbitrary order among themselves;
-    order by enough columns to make the order total.
+    Rows that tie on every order key get ids in arbitrary order among themselves
+    (order by enough columns to make the order total); a large group of such ties
+    is still spread over several partitions unless the rows are identical.
     """
     spark = df.sparkSession
-    keys = sort_keys(order)
+    # Rows that tie on every order key are interchangeable; a hash of the whole row
+    # as the last key lets the range bounds split a large group of such ties over
+    # several partitions (deterministic, so a re-run map task places rows the same way).
+    salted = df.withColumn(_SALT, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    keys = [*sort_keys(order), F.col(_SALT)]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = salted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = materialize(
         ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID)),
         "dense_ids",

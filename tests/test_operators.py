@@ -157,3 +157,13 @@ def test_lookup_exact_and_normalized(spark):
     assert [(r.kw, r.keyword_id) for r in exact] == [("serum", 1)]
     norm = sorted((r.kw, r.keyword_id) for r in lookup(fact, dim, "kw", "keyword", ["keyword_id"], normalize=True).collect())
     assert norm == [("SERUM ", 1), ("serum", 1)]
+
+
+def test_dense_ids_split_a_huge_tie_group(spark):
+    df = spark.createDataFrame([(1 if i % 10 else 2, i) for i in range(2000)], "a int, b int")
+    out = dense_ids(df, ["a"], "id", num_partitions=6)
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    rows = sorted((r.id, r.a) for r in out.collect())
+    assert [i for i, _ in rows] == list(range(1, 2001))
+    assert [a for _, a in rows] == sorted(a for a in [1 if i % 10 else 2 for i in range(2000)])
+    assert len(per_part) > 1
