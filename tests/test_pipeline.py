@@ -225,3 +225,14 @@ def test_build_all_removes_only_its_intermediates(spark, tmp_dir):
     build_all(spark, tmp_dir, as_of="2025-01-10 00:00:00")
     assert len(_WRITTEN) > before
     assert keep.count() == 3
+
+
+def test_command_line_jobs(spark, tmp_dir, capsys):
+    from demandlens.__main__ import main
+
+    _bronze(spark, tmp_dir)
+    main(["build", "--root", tmp_dir, "--as-of", "2025-01-10 00:00:00"])
+    built = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert "gold_channel_insights" in built
+    main(["requests", "--root", tmp_dir])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"batches": 1}
