@@ -236,3 +236,7 @@ def test_command_line_jobs(spark, tmp_dir, capsys):
     assert "gold_channel_insights" in built
     main(["requests", "--root", tmp_dir])
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"batches": 1}
+    main(["export", "--root", tmp_dir, "--url", "jdbc:derby:memory:clitest;create=true",
+          "--properties", '{"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}'])
+    exported = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert exported["gold_geographic_insights"] == 4 and len(exported) == 6
