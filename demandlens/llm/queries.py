@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from demandlens.llm.bpe import op9_byte_bpe
 from demandlens.llm.entropy_mix import op2_entropy_mix
+from demandlens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from demandlens.llm.quality_rules import op10_quality_rules
 from demandlens.llm.sharding import OP1_SQL, op1_lookup_sharding
 
 QUERIES = {
     "op1_lookup_sharding": op1_lookup_sharding,
     "op2_entropy_mix": op2_entropy_mix,
+    "op7_line_dedup": op7_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL = {
     "op1_lookup_sharding": OP1_SQL,
+    "op7_line_dedup": OP7_SQL,
 }
