@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from demandlens.llm.bpe import op9_byte_bpe
 from demandlens.llm.entropy_mix import op2_entropy_mix
 from demandlens.llm.line_dedup import OP7_SQL, op7_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
