@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 
@@ -95,46 +97,43 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Paths written by materialize() in this process, in order.
-_WRITTEN: list[tuple[str, str]] = []
+# Open scratch scopes, innermost last; each lists the folders written inside it.
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("demandlens_scratch", default=())
 
 
-def materialized_mark() -> int:
-    """A position in the list of written intermediates (see drop_materialized)."""
-    return len(_WRITTEN)
-
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Own the intermediate tables of a job: those that materialize() writes inside this
+    scope (in this thread) are deleted when it ends, also by an error. Frames that read
+    them must have been consumed by then."""
+    folders: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), folders))
+    try:
+        yield folders
+    finally:
+        _SCOPES.reset(token)
+        delete_folders(spark, folders)
 
-def drop_materialized(spark: SparkSession, since: int = 0) -> int:
-    """Delete intermediate tables written by materialize() after ``since`` (a mark).
 
-    Call it only when no DataFrame still reads them (e.g. after a pipeline run has
-    written its result tables elsewhere). Returns the number of folders removed."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:
-        return 0
-    removed = 0
-    app = session_key(spark)
-    for owner, folder in _WRITTEN[since:]:
-        if owner != app:
-            continue
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path) and fs.delete(path, True):
-            removed += 1
-    return removed
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
-    Cuts lineage (a lost executor re-reads the files instead of recomputing the
-    plan) and gives the planner exact file sizes, so later joins pick broadcast or
-    shuffle from real statistics.
+    Cuts lineage (a lost executor re-reads the files instead of recomputing the plan) and
+    gives the planner exact file sizes, so later joins pick broadcast or shuffle from real
+    statistics. The folder belongs to the innermost open scratch() scope; outside of one
+    the caller's frame still reads it, and it stays until the checkpoint folder is cleared.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/demandlens/{name}-{uuid.uuid4().hex}"
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append((session_key(spark), path))
     return spark.read.parquet(path)

@@ -1,17 +1,27 @@
 """CSV landing: every CSV under a prefix becomes a Parquet table (bronze).
 
-Each file is its own table (keywords.csv -> keywords/), so the files are
-listed once on the driver (metadata only) and each is read and written by a
-Spark job; the data never passes through the driver.
+Each file is its own table (keywords.csv -> keywords), so the files are listed once on the
+driver (metadata only) and their jobs run side by side; the data never passes through the
+driver. Quoted fields may hold doubled quotes and line breaks: a file in which some line
+has an odd number of quotes is read as a whole by one task, any other in splits.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import io
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Physical lines that may hold the first two records of a file (quoted line breaks included).
+HEAD_LINES = 200
+# Files landed at the same time.
+PARALLEL_FILES = 8
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> list[str]:
@@ -31,45 +41,87 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> list[str
     return sorted(out)
 
 
+def breaks_lines(spark: SparkSession, path: str) -> bool:
+    """Does a quoted field of the file hold a line break? (Some line has an odd number of quotes.)"""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1).limit(1).count() > 0
+
+
+def head_records(spark: SparkSession, path: str, n: int) -> list[list[str]]:
+    """The first ``n`` records of a file."""
+    lines = [r.value for r in spark.read.text(path).head(HEAD_LINES)]
+    records = csv.reader(io.StringIO("\n".join(lines)), strict=False)
+    return [r for r, _ in zip(records, range(n))]
+
+
+def unique_labels(labels: list[str]) -> list[str]:
+    """Column names from a label row: blank ones named by position, repeated ones numbered
+    ("x", "x.1", ...). Names that differ in case only count as repeated, as table columns do."""
+    taken: set[str] = set()
+    out = []
+    for i, label in enumerate(labels):
+        base = label if label.strip() else f"Unnamed: {i}"
+        name, k = base, 0
+        while name.lower() in taken:
+            k += 1
+            name = f"{base}.{k}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _reader(spark: SparkSession, path: str):
+    return (
+        spark.read.option("header", "true").option("quote", '"').option("escape", '"')
+        .option("multiLine", str(breaks_lines(spark, path)).lower())
+    )
+
+
 def read_csv(spark: SparkSession, path: str, infer_schema: bool = True, schema=None) -> DataFrame:
-    """Header CSV with type inference (or a declared schema, preferred at scale)."""
-    reader = spark.read.option("header", "true").option("multiLine", "false")
+    """Header CSV with type inference (a second pass over the file) or a declared schema."""
+    reader = _reader(spark, path)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "true" if infer_schema else "false")
-    return reader.csv(path)
+        return reader.schema(schema).csv(path)
+    df = reader.option("inferSchema", "true" if infer_schema else "false").csv(path)
+    head = head_records(spark, path, 1)
+    labels = unique_labels(head[0]) if head else []
+    return df.toDF(*labels) if len(labels) == len(df.columns) else df
 
 
 def read_csv_label_row(spark: SparkSession, path: str) -> DataFrame:
     """CSV whose first row is a preamble and whose *second* row holds the column names.
 
-    Spark takes row 1 as the header; the label row is then the first data row.
-    It is fetched (one row) and removed, and its values become the column names.
-    Values stay text; the silver model casts them.
+    The names come from the second record, however wide the preamble is. The preamble is
+    dropped as the header line, the label row by its place: the first row of the file's
+    first split that equals the labels. Values stay text; the silver model casts them.
     """
-    df = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-    first = df.first()
-    if first is None:
-        return df
-    labels = [str(v) if v is not None else f"_c{i}" for i, v in enumerate(first)]
-    is_label_row = None
-    for c, v in zip(df.columns, first):
-        cond = F.col(f"`{c}`").isNull() if v is None else (F.col(f"`{c}`") == F.lit(v))
-        is_label_row = cond if is_label_row is None else (is_label_row & cond)
-    body = df.where(~F.coalesce(is_label_row, F.lit(False)))
-    return body.toDF(*labels)
-
-
-def target_path(src_root: str, dst_root: str, file_path: str) -> str:
-    """csv/<rel>.csv -> parquet/<rel>.parquet under the destination root."""
+    head = head_records(spark, path, 2)
+    if len(head) < 2:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in unique_labels(head[0] if head else [])]))
+    labels = head[1]
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(labels))])
+    rows = _reader(spark, path).schema(schema).csv(path)
+    placed = rows.select(
+        "*", F.monotonically_increasing_id().alias("_dl_place"), (F.col("_metadata.file_block_start") == 0).alias("_dl_first")
+    )
+    is_labels = F.col("_dl_first")
+    for i, label in enumerate(labels):
+        is_labels = is_labels & (F.coalesce(F.col(f"_c{i}"), F.lit("")) == F.lit(label))
+    at = placed.where(is_labels).agg(F.min("_dl_place")).first()[0]
+    body = placed if at is None else placed.where(F.col("_dl_place") != at)
+    return body.drop("_dl_place", "_dl_first").toDF(*unique_labels(labels))
+
+
+def target_path(src_root: str, dst_root: str, file_path: str, suffix: str = ".parquet") -> str:
+    """csv/<rel>.csv -> <destination root>/<rel><suffix>."""
     src = src_root.rstrip("/")
     rel = file_path[len(src) + 1:] if file_path.startswith(src + "/") else posixpath.basename(file_path)
     if src.startswith("/") and file_path.startswith("file:"):
         local = file_path[len("file:"):]
         rel = local[len(src) + 1:] if local.startswith(src + "/") else posixpath.basename(local)
     if rel.endswith(".csv"):
-        rel = rel[: -len(".csv")] + ".parquet"
+        rel = rel[: -len(".csv")] + suffix
     return f"{dst_root.rstrip('/')}/{rel}"
 
 
@@ -81,29 +133,43 @@ def land_csv(
     exclude_prefixes=("google_trends",),
     ingested_at: str | None = None,
     add_provenance: bool = True,
+    suffix: str = ".parquet",
+    schemas: dict | None = None,
 ) -> dict[str, str]:
     """Convert every CSV under ``src_root`` to Parquet under ``dst_root``.
 
-    ``label_row_files`` (base names) use the preamble + label-row layout;
-    paths below any of ``exclude_prefixes`` (relative) are skipped - the sectioned
-    interest exports live next to the CSVs but are not CSV. With
-    ``add_provenance`` each table gets ``filename`` and ``ingested_at`` columns.
+    ``label_row_files`` (base names) use the preamble + label-row layout; paths below any of
+    ``exclude_prefixes`` (relative) are skipped - the sectioned interest exports live next to
+    the CSVs but are not CSV. With ``add_provenance`` each table gets ``filename`` and
+    ``ingested_at`` columns. ``suffix=""`` with a bronze folder as ``dst_root`` puts the
+    tables where the models read them. ``schemas`` ({base name: schema}) spares inference.
     Returns {source file: written path}.
     """
     stamp = ingested_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    written = {}
-    for path in list_files(spark, src_root):
-        dst = target_path(src_root, dst_root, path)
-        rel = dst[len(dst_root.rstrip("/")) + 1:]
-        if any(rel.startswith(p.rstrip("/") + "/") for p in exclude_prefixes):
-            continue
-        if posixpath.basename(path) in label_row_files:
+
+    def land(path: str) -> tuple[str, str] | None:
+        dst = target_path(src_root, dst_root, path, suffix)
+        name = target_path(src_root, "", path, ".csv").lstrip("/")
+        if any(name.startswith(p.rstrip("/") + "/") for p in exclude_prefixes):
+            return None
+        base = posixpath.basename(path)
+        if base in label_row_files:
             df = read_csv_label_row(spark, path)
         else:
-            df = read_csv(spark, path)
+            df = read_csv(spark, path, schema=(schemas or {}).get(base))
         if add_provenance:
-            df = df.withColumn("filename", F.lit(rel[: -len(".parquet")] + ".csv")).withColumn(
-                "ingested_at", F.lit(stamp))
+            df = df.withColumn("filename", F.lit(name)).withColumn("ingested_at", F.lit(stamp))
         df.write.mode("overwrite").parquet(dst)
-        written[path] = dst
-    return written
+        return path, dst
+
+    with ThreadPoolExecutor(PARALLEL_FILES) as pool:
+        return dict(r for r in pool.map(land, list_files(spark, src_root)) if r)
+
+
+def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -> list[str]:
+    """Catalog tables of ``database`` over written Parquet folders ({table: path})."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in paths.items():
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+    return sorted(paths)

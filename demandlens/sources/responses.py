@@ -2,7 +2,9 @@
 
 One input row per response document. Documents are parsed with a declared
 schema (no inference pass), items are exploded with their position (the
-relevance rank), and missing paths give NULL.
+relevance rank), and missing paths give NULL. A document that is not valid JSON
+or whose ``items`` is no list fails the job; :func:`split_malformed` sets such
+documents aside first where a run should go on without them.
 """
 
 from __future__ import annotations
@@ -32,11 +34,8 @@ SEARCH_RESPONSE_SCHEMA = T.StructType([
 STATISTICS_RESPONSE_SCHEMA = T.StructType([
     T.StructField("items", T.ArrayType(T.StructType([
         T.StructField("id", _S),
-        T.StructField("statistics", T.StructType([
-            T.StructField("viewCount", _S),
-            T.StructField("likeCount", _S),
-            T.StructField("commentCount", _S),
-        ])),
+        # a map, so that an absent counter and a null one differ
+        T.StructField("statistics", T.MapType(_S, _S)),
         T.StructField("contentDetails", T.StructType([T.StructField("duration", _S)])),
     ]))),
 ])
@@ -46,6 +45,18 @@ SEARCH_COLUMNS = ["video_id", "search_keyword", "title", "description", "channel
 STATISTICS_COLUMNS = ["video_id", "view_count", "like_count", "comment_count", "duration", "retrieved_at"]
 
 
+STRICT = {"mode": "FAILFAST"}
+_CORRUPT = "_corrupt_record"
+
+
+def split_malformed(responses: DataFrame, schema: T.StructType, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(documents that parse, the others) of ``responses``, both with its own columns."""
+    lenient = T.StructType([*schema.fields, T.StructField(_CORRUPT, _S)])
+    parsed = F.from_json(body, lenient, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    bad = F.coalesce(parsed[_CORRUPT].isNotNull(), F.lit(False))
+    return responses.where(~bad), responses.where(bad)
+
+
 def _stamp(value):
     if value is None:
         return F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
@@ -60,7 +71,7 @@ def flatten_search(df: DataFrame, body: str = "body", keyword: str = "keyword",
     names input columns carried along (e.g. the response order).
     """
     keep = as_list(keep)
-    parsed = df.select(*keep, F.col(keyword).alias("_dl_kw"), F.from_json(body, SEARCH_RESPONSE_SCHEMA).alias("_dl_r"))
+    parsed = df.select(*keep, F.col(keyword).alias("_dl_kw"), F.from_json(body, SEARCH_RESPONSE_SCHEMA, STRICT).alias("_dl_r"))
     items = parsed.select(*keep, "_dl_kw", F.posexplode("_dl_r.items").alias("position", "_dl_item"))
     it = F.col("_dl_item")
     return items.select(
@@ -78,15 +89,19 @@ def flatten_search(df: DataFrame, body: str = "body", keyword: str = "keyword",
 
 
 def flatten_statistics(df: DataFrame, body: str = "body", retrieved_at=None, keep=()) -> DataFrame:
-    """One row per ``items[]`` entry: counters as BIGINT (missing counter = 0; a
-    counter that is not a number fails the job, as a strict cast), duration text."""
+    """One row per ``items[]`` entry: counters as BIGINT (absent counter = 0; a counter
+    that is null or not a number fails the job, as a strict cast), duration text."""
     keep = as_list(keep)
-    parsed = df.select(*keep, F.from_json(body, STATISTICS_RESPONSE_SCHEMA).alias("_dl_r"))
+    parsed = df.select(*keep, F.from_json(body, STATISTICS_RESPONSE_SCHEMA, STRICT).alias("_dl_r"))
     items = parsed.select(*keep, F.posexplode("_dl_r.items").alias("position", "_dl_item"))
     it = F.col("_dl_item")
 
     def counter(name: str):
-        return F.coalesce(it["statistics"][name].cast("bigint"), F.lit(0).cast("bigint"))
+        stats = it["statistics"]
+        there = F.coalesce(F.map_contains_key(stats, name), F.lit(False))
+        value = F.try_element_at(stats, F.lit(name))
+        missing = F.raise_error(F.concat(F.lit(f"{name} is null for "), F.coalesce(it["id"], F.lit("?")))).cast("bigint")
+        return F.when(~there, F.lit(0).cast("bigint")).when(value.isNull(), missing).otherwise(value.cast("bigint"))
 
     return items.select(
         *keep,

@@ -216,15 +216,24 @@ def test_trend_ingest_metrics_and_kpi_latest_only(spark, tmp_dir):
     assert (all_rows.total_ecosystem_views, latest.total_ecosystem_views) == (400, 300)
 
 
-def test_build_all_removes_only_its_intermediates(spark, tmp_dir):
-    from demandlens.session import _WRITTEN, materialize
+def _intermediates(spark):
+    from demandlens.session import checkpoint_root
+
+    root = os.path.join(checkpoint_root(spark).removeprefix("file:"), "demandlens")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_build_all_removes_its_intermediates(spark, tmp_dir):
+    from demandlens.session import materialize
 
     keep = materialize(spark.range(3), "keep_me")
     _bronze(spark, tmp_dir)
-    before = len(_WRITTEN)
+    before = _intermediates(spark)
     build_all(spark, tmp_dir, as_of="2025-01-10 00:00:00")
-    assert len(_WRITTEN) > before
-    assert keep.count() == 3
+    assert _intermediates(spark) == before and keep.count() == 3
+    with pytest.raises(Exception):  # a failing build leaves nothing either
+        build_all(spark, tmp_dir, as_of="no time at all")
+    assert _intermediates(spark) == before
 
 
 def test_command_line_jobs(spark, tmp_dir, capsys):
@@ -235,8 +244,113 @@ def test_command_line_jobs(spark, tmp_dir, capsys):
     built = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert "gold_channel_insights" in built
     main(["requests", "--root", tmp_dir])
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"batches": 1}
+    printed = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert printed[-1] == {"batches": 1} and printed[0]["n_ids"] == len(printed[0]["ids"].split(","))
+    main(["requests", "--root", tmp_dir, "--out", os.path.join(tmp_dir, "requests")])
+    assert spark.read.json(os.path.join(tmp_dir, "requests")).count() == 1
+    capsys.readouterr()
     main(["export", "--root", tmp_dir, "--url", "jdbc:derby:memory:clitest;create=true",
           "--properties", '{"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}'])
     exported = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert exported["gold_geographic_insights"] == 4 and len(exported) == 6
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as fh:
+        fh.write(text)
+
+
+def test_csv_dialect(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.csv", 'k,v,K\n"say ""hi"", you",1,x\n"two\nlines",2,y\n"",3,\n')
+    _write(f"{tmp_dir}/in/sub/b.csv", "k,v,k,\na,1,2,3\n")
+    land_csv(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", add_provenance=False)
+    a = spark.read.parquet(f"{tmp_dir}/out/a.parquet")
+    assert a.columns == ["k", "v", "K.1"] and a.schema["v"].dataType.simpleString() == "int"
+    assert sorted((r[0] or "", r[1], r[2]) for r in a.collect()) == [("", 3, None), ('say "hi", you', 1, "x"), ("two\nlines", 2, "y")]
+    assert spark.read.parquet(f"{tmp_dir}/out/sub/b.parquet").columns == ["k", "v", "k.1", "Unnamed: 3"]
+
+
+def test_label_row_wider_than_preamble(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/census.csv", 'Census table DP05\nGeography,"Name, full",Name,Name\ng1,n1,1,2\nGeography,"Name, full",Name,Name\ng2,"n\n2",3,4\n')
+    land_csv(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", add_provenance=False)
+    got = spark.read.parquet(f"{tmp_dir}/out/census.parquet")
+    assert got.columns == ["Geography", "Name, full", "Name", "Name.1"]
+    # only the label row itself goes, not a data row that repeats it
+    assert sorted(tuple(r) for r in got.collect()) == [("Geography", "Name, full", "Name", "Name"), ("g1", "n1", "1", "2"), ("g2", "n\n2", "3", "4")]
+    _write(f"{tmp_dir}/in2/census.csv", "only a preamble\n")
+    land_csv(spark, f"{tmp_dir}/in2", f"{tmp_dir}/out2", add_provenance=False)
+    assert spark.read.parquet(f"{tmp_dir}/out2/census.parquet").count() == 0
+
+
+def test_malformed_responses_fail_or_are_set_aside(spark):
+    from demandlens.sources.responses import SEARCH_RESPONSE_SCHEMA, split_malformed
+
+    good = json.dumps({"items": [{"id": {"videoId": "v1"}}]})
+    rows = [("k", good), ("k", good[:-4]), ("k", '{"items": {"id": 1}}'), ("k", "{}"), ("k", None)]
+    df = spark.createDataFrame(rows, "keyword string, body string")
+    for bad in rows[1:3]:
+        with pytest.raises(Exception):
+            flatten_search(spark.createDataFrame([bad], df.schema)).collect()
+    fine, bad = split_malformed(df, SEARCH_RESPONSE_SCHEMA)
+    assert sorted(r.body for r in bad.collect()) == sorted(r[1] for r in rows[1:3])
+    assert [r.video_id for r in flatten_search(fine).collect()] == ["v1"]
+    null = spark.createDataFrame([('{"items": [{"id": "v", "statistics": {"viewCount": null}}]}',)], "body string")
+    with pytest.raises(Exception, match="viewCount is null for v"):
+        flatten_statistics(null).collect()
+
+
+def test_empty_trend_run_keeps_the_table(spark, tmp_dir):
+    from demandlens.plans.pipeline import ingest_trend_files
+
+    L = Layout(f"{tmp_dir}/lake")
+    _write(f"{tmp_dir}/t1/a.csv", "Region,Serum: (1/1/24 - 2/1/24)\nX,5\n")
+    _write(f"{tmp_dir}/t2/a.csv", "nothing here\n")
+    assert ingest_trend_files(spark, f"{tmp_dir}/t1", L)["kept"] == 1
+    assert ingest_trend_files(spark, f"{tmp_dir}/t2", L)["kept"] == 0
+    assert spark.read.parquet(L.bronze("google_trends")).count() == 1
+
+
+def test_raw_files_to_reports_by_command_line(spark, tmp_dir, capsys):
+    """CSV, sectioned exports and responses in, reports out, only by the jobs."""
+    from demandlens.__main__ import main
+    from demandlens.plans import census_columns as cc
+
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    labels = ["Geography", "Geographic Area Name", *[cc.header_for(2023, x) for x, _, _ in cc.CENSUS_COLUMNS]]
+    labels = list(dict.fromkeys(labels))
+    values = lambda g, n: [g, n, *["100" if "otal population" in x and "!!" + "Male" not in x else "10" for x in labels[2:]]]
+    line = lambda xs: ",".join('"' + x + '"' for x in xs) + "\n"
+    _write(f"{raw}/census.csv", "DP05\n" + line(labels) + line(values("g1", "Northland")) + line(values("g2", "Southland")))
+    _write(f"{raw}/keywords.csv", "keyword\nserum\ntoner\n")
+    _write(f"{raw}/google_trends/a.csv", "Region,Serum: (1/1/24 - 2/1/24)\nNorthland,80\nSouthland,20\n")
+    item = lambda v: {"id": {"videoId": v}, "snippet": {"title": v, "channelId": "c1", "channelTitle": "C", "publishTime": "2024-12-01T00:00:00Z"}}
+    _write(f"{tmp_dir}/search/s.json", json.dumps({"keyword": "serum", "items": [item("v1"), item("v2")]}) + "\n\n")
+    main(["land-csv", "--src", raw, "--root", lake, "--database", "landed"])
+    main(["ingest-trends", "--src", f"{raw}/google_trends", "--root", lake])
+    main(["ingest-search", "--src", f"{tmp_dir}/search", "--root", lake, "--stamp", "2025-01-01 00:00:00"])
+    capsys.readouterr()
+    main(["requests", "--root", lake])  # first run: there is no statistics table yet
+    assert json.loads(capsys.readouterr().out.splitlines()[0])["ids"] == "v1,v2"
+    _write(f"{tmp_dir}/stats/a.json", json.dumps({"items": [{"id": "v1", "statistics": {"viewCount": "100", "likeCount": "5"}, "contentDetails": {"duration": "PT1M"}}]}) + "\n")
+    main(["ingest-statistics", "--src", f"{tmp_dir}/stats", "--root", lake, "--stamp", "2025-01-02 00:00:00"])
+    main(["ingest-statistics", "--src", f"{tmp_dir}/stats", "--root", lake, "--stamp", "2025-01-03 00:00:00"])
+    L = Layout(lake)
+    assert spark.read.parquet(L.bronze("video_statistics")).count() == 2
+    capsys.readouterr()
+    main(["requests", "--root", lake])
+    assert json.loads(capsys.readouterr().out.splitlines()[0])["ids"] == "v2"
+    main(["build", "--root", lake, "--as-of", "2025-01-10 00:00:00"])
+    geo = spark.read.parquet(L.gold("geographic_insights")).collect()
+    assert {r.region_name for r in geo} == {"Northland", "Southland"}
+    assert spark.read.parquet(L.gold("trending_analysis")).count() == 2
+    # the same from a catalog database
+    from demandlens.sources.csv_landing import register_tables
+
+    register_tables(spark, "landed", {n: L.bronze(n) for n in ("google_trends", "search_results", "video_statistics")})
+    assert {t.name for t in spark.catalog.listTables("landed")} == {"census", "keywords", "google_trends", "search_results", "video_statistics"}
+    assert [r.video_id for r in pending_video_ids(spark, L, database="landed").collect()] == ["v2"]
+    assert len(build_all(spark, f"{tmp_dir}/lake2", as_of="2025-01-10 00:00:00", database="landed")) == 11
+    spark.sql("DROP TABLE landed.video_statistics")
+    assert pending_video_ids(spark, L, database="landed").count() == 2
+    spark.sql("DROP DATABASE landed CASCADE")
