@@ -43,8 +43,10 @@ def test_every_window_has_one_anchor_by_content():
     assert len(names[0] & names[1] & names[2] & names[3]) >= 1
 
 
-@pytest.mark.parametrize("batch", [10000, 3])
-def test_odd_rows_match_brute_force(spark, batch):
+@pytest.mark.parametrize("batch,crowd,many", [(10000, 2000, 8), (3, 2000, 8), (3, 0, 2), (7, 5, 3)])
+def test_odd_rows_match_brute_force(spark, monkeypatch, batch, crowd, many):
+    monkeypatch.setattr(sd, "CROWD", crowd)
+    monkeypatch.setattr(sd, "MANY_RUNS", many)
     rng = random.Random(batch)
     word = lambda n: "".join(rng.choices("abcdefgh é", k=n))
     passage, licence = word(400), word(150)

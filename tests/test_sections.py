@@ -1,9 +1,9 @@
-"""Sectioned export parsing vs a plain Python reading of the same rules (brute force)."""
+"""Sectioned export parsing: rows written out by hand, files built from known rows, and
+invariances (split sizes, trailing blanks)."""
 
 import datetime as dt
 import os
 import random
-import re
 
 from demandlens.sources.sections import parse_sections, read_lines, read_sections, sections_to_bronze
 
@@ -23,48 +23,37 @@ FIXTURE = "\n".join([
 ])
 
 
-def _dates(header):
-    m = re.search(r"\(([^)]+)\)", header)
-    if not m:
-        return None, None
-    pieces = m.group(1).split(" - ")
-    if len(pieces) != 2:
-        return None, None
-    try:
-        return tuple(dt.datetime.strptime(p.strip(), "%m/%d/%y").date() for p in pieces)
-    except ValueError:
-        return None, None
-
-
-def brute_force(files: dict[str, str]) -> set[tuple]:
-    """The ingest rules read straight off the rule list, one file after another."""
-    seen, out = set(), set()
-    for name in sorted(files):
-        current = None
-        for line in files[name].strip().split("\n"):
-            is_header = line.startswith("Region") and all(t in line for t in ("(", ")", " - "))
-            if is_header:
-                kw = line[7:].strip().split(":")[0].strip().lower() if ":" in line else ""
-                if not kw:
-                    break
-                current = (kw, *_dates(line))
-            text = line.strip()
-            if not text or "," not in text:
-                continue
-            region, score_text = (x.strip() for x in text.rsplit(",", 1))
-            if score_text == "<1":
-                score = 1
-            elif re.fullmatch(r"[+-]?[0-9]+", score_text):
-                score = int(score_text)
+D = dt.date
+
+
+def built_files(seed: int, n_files: int, n_rows: int, stops=()) -> tuple[dict[str, str], set[tuple]]:
+    """Files put together from known rows, and the rows that must come out: of each
+    (keyword, region, dates) the first in file and line order."""
+    rnd = random.Random(seed)
+    files, first = {}, {}
+    for f in range(n_files):
+        name, lines, section = f"file{f:02d}.csv", [], None
+        stopped = False
+        for i in range(rnd.randint(0, n_rows)):
+            kind = rnd.choices(["section", "undated", "row", "less", "bad", "blank", "note", "stop"], [3, 1, 14, 3, 2, 2, 1, 1 if f in stops else 0])[0]
+            if kind == "section":
+                begin, end = (D(2020 + rnd.randint(0, 9), rnd.randint(1, 9), rnd.randint(1, 9)) for _ in range(2))
+                section = (f"kw{rnd.randint(1, 6)}", begin, end)
+                lines.append(f"Region,Kw{section[0][2:]}: " + "({0.month}/{0.day}/{0:%y} - {1.month}/{1.day}/{1:%y})".format(begin, end))
+            elif kind == "undated":
+                section = (f"odd{i}", None, None)
+                lines.append(f"Region, ODD{i} : (13/1/24 - 2/1/24)")
+            elif kind in ("row", "less"):
+                region, score = f"N{rnd.randint(1, 9)}", rnd.randint(0, 100)
+                lines.append(f"{region},{score}" if kind == "row" else f" {region} , <1 ")
+                if section and not stopped:
+                    first.setdefault((section[0], region, *section[1:]), (score if kind == "row" else 1, name))
             else:
-                continue
-            if current is None:
-                continue
-            key = (current[0], region, current[1], current[2])
-            if key not in seen:
-                seen.add(key)
-                out.add((current[0], region, score, current[1], current[2], name))
-    return out
+                lines.append({"bad": f"N{rnd.randint(1, 9)}, x", "blank": " ", "note": "Note without a score", "stop": "Region, : (1/1/24 - 2/1/24)"}[kind])
+                stopped |= kind == "stop"
+        # a leading blank would be taken off the first line; begin with a plain one
+        files[name] = "\n".join(["Category: All categories", *lines])
+    return files, {(k, region, score, b, e, name) for (k, region, b, e), (score, name) in first.items()}
 
 
 def run_spark(spark, files: dict[str, str], block_lines: int | None = None, seed: int = 0):
@@ -93,7 +82,6 @@ def test_fixture_rows(spark):
         ("sunscreen", "Southland", 55, dt.date(2024, 8, 18), dt.date(2025, 8, 18), "f1"),
         ("serum (vit c)", "Northland", 9, None, None, "f1"),
     }
-    assert got == brute_force({"f1": FIXTURE})
 
 
 EDGE_FILES = {
@@ -107,25 +95,46 @@ EDGE_FILES = {
 }
 
 
-def test_edge_files_match_brute_force_across_splits(spark):
-    expected = brute_force(EDGE_FILES)
+# What each file above must give, written out by hand.
+EDGE_ROWS = {
+    # two-digit years turn over at 69; a header with blanks before it is no header but a row
+    # ("  Region,Beta: ..." has no number after its last comma), so Z still belongs to alpha
+    ("alpha", "X", 5, D(2068, 1, 1), D(1969, 1, 1), "a.csv"),
+    ("alpha", "Y", 1, D(2068, 1, 1), D(1969, 1, 1), "a.csv"),
+    ("alpha", "Z", 3, D(2068, 1, 1), D(1969, 1, 1), "a.csv"),
+    # blanks at the very start of a file do not count: gamma is a header; month 13 gives no
+    # dates; the second X of gamma is a repeat, and so is alpha's X, which a.csv holds
+    ("gamma", "X", 4, None, None, "b.csv"),
+    # leading empty lines do not count; February 30 gives no dates; +4 is a number, 1_000 and
+    # 4.7 are none; "Region,Eps" without brackets is a row without a number; an empty region
+    # is a region
+    ("delta", "Q", 4, None, None, "c.csv"),
+    ("delta", "", 8, None, None, "c.csv"),
+    # d.csv: a header without a keyword ends the file; f.csv is empty
+    # e.csv: eta has no brackets, so its line is a row without a number and A a repeat; theta
+    # has no colon, which ends the file
+    ("zeta", "A", 1, D(2024, 1, 1), D(2024, 2, 1), "e.csv"),
+    # a header may be a row as well; three dates are none
+    ("iota", "Region,Iota: (1/1/24 - 2/1/24)", 5, D(2024, 1, 1), D(2024, 2, 1), "g.csv"),
+    ("iota", "B", 2, D(2024, 1, 1), D(2024, 2, 1), "g.csv"),
+    ("kappa", "B", 3, None, None, "g.csv"),
+}
+
+
+def test_edge_files_across_splits(spark):
     for seed in range(4):
-        assert run_spark(spark, EDGE_FILES, seed=seed) == expected
-    assert run_spark(spark, EDGE_FILES, block_lines=1) == expected
-
-
-def test_random_files_match_brute_force(spark):
-    rnd = random.Random(11)
-    pool = ["Region,Kw{}: ({}/{}/2{} - {}/{}/2{})", "Region,: (1/1/24 - 2/1/24)", "N{},{}", "N{},<1", " ",
-            "N{}, x", "  Region,Lead{}: (1/1/24 - 2/1/24)", "Note: {}"]
-    files = {}
-    for f in range(12):
-        lines = []
-        for _ in range(rnd.randint(0, 25)):
-            tpl = rnd.choices(pool, weights=[3, 1, 12, 2, 2, 1, 1, 1])[0]
-            lines.append(tpl.format(*[rnd.randint(1, 9) for _ in range(tpl.count("{}"))]))
-        files[f"file{f:02d}.csv"] = "\n".join(lines)
-    expected = brute_force(files)
+        assert run_spark(spark, EDGE_FILES, seed=seed) == EDGE_ROWS
+    assert run_spark(spark, EDGE_FILES, block_lines=1) == EDGE_ROWS
+
+
+def test_trailing_blanks_change_nothing(spark):
+    padded = {name: text + "\n \n\t\r\n" for name, text in EDGE_FILES.items()}
+    assert run_spark(spark, padded, block_lines=2) == EDGE_ROWS
+
+
+def test_built_files_give_their_rows(spark):
+    files, expected = built_files(11, 12, 40, stops=(3, 5, 8))
+    assert len(expected) > 60
     for seed in range(3):
         assert run_spark(spark, files, seed=seed) == expected
 
@@ -136,24 +145,12 @@ def test_read_sections_from_files(spark, tmp_dir):
             fh.write(content)
     out = read_sections(spark, tmp_dir, retrieved_at="2025-01-01 00:00:00", filename_prefix=f"file:{tmp_dir}/")
     got = {(r.keyword, r.region, r.interest_score, r.begin_date, r.end_date, r.filename) for r in out.collect()}
-    assert got == brute_force(EDGE_FILES)
+    assert got == EDGE_ROWS
     assert out.columns == ["keyword", "region", "interest_score", "begin_date", "end_date", "filename", "retrieved_at"]
 
 
 def test_read_sections_with_files_cut_into_many_splits(spark, tmp_dir):
-    rnd = random.Random(21)
-    files = {}
-    for f in range(3):
-        lines = ["  Region,First{}: (1/1/24 - 2/1/24)".format(f)] if f == 0 else ["Intro"]
-        for i in range(300):
-            r = rnd.random()
-            if r < 0.03:
-                lines.append(f"Region,Kw{i}: ({rnd.randint(1, 12)}/{rnd.randint(1, 28)}/2{rnd.randint(0, 9)} - 3/1/25)")
-            elif r < 0.04 and f == 2:
-                lines.append("Region,: (1/1/24 - 2/1/24)")
-            else:
-                lines.append(f"Area {rnd.randint(1, 40)},{rnd.choice(['<1', str(rnd.randint(0, 100)), 'x'])}")
-        files[f"f{f}.csv"] = "\n".join(lines) + "\n"
+    files, expected = built_files(21, 3, 900, stops=(2,))
     for name, content in files.items():
         with open(os.path.join(tmp_dir, name), "w") as fh:
             fh.write(content)
@@ -166,4 +163,4 @@ def test_read_sections_with_files_cut_into_many_splits(spark, tmp_dir):
         got = {(r.keyword, r.region, r.interest_score, r.begin_date, r.end_date, r.filename) for r in out.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got == brute_force(files)
+    assert got == expected
