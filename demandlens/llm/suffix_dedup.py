@@ -10,12 +10,15 @@ and drops the positions whose rank is unique:
    anchors are 1 in 35 positions. The windows of an anchor are a run of starts; the name of
    the bytes they span tells whether all of them repeat an earlier run.
 2. Length LENGTH, only at the windows of anchors whose rank is shared by differing runs
-   (the edges of repeated passages): every one that is not the first of its rank goes.
+   (the edges of repeated passages): every one that is not the first of its rank goes. Equal
+   windows have equal anchors, so the bytes of such runs are sorted by the anchor's rank
+   once more and ranked where they meet.
 
-Equal runs and equal windows of one Arrow batch are reduced to their first before they are
-shuffled, and a rank with many differing runs in a batch is dealt by run, so a passage that
-a third of all documents share meets in no task. Texts travel compressed. Equality of
-strings is equality of 64-bit ranks.
+Equal runs of one Arrow batch are reduced to their first before they are shuffled. A rank
+with many differing runs (the edges of a passage that very many documents share) is dealt by
+run at first and by the ranks of its windows then, equal ones of a batch again reduced to
+their first, so it meets in no task. Texts travel compressed. Equality of strings is
+equality of 64-bit ranks.
 
 Defined results: a NULL text is empty; texts shorter than LENGTH stay whole; matches never
 cross documents; a NULL doc_id stands after all others; different texts of one doc_id are
@@ -44,6 +47,8 @@ LENGTH = 100
 SHORT = 32
 #: Differing runs of one rank in a batch from which on they are dealt by run.
 MANY_RUNS = 8
+#: Differing runs of one rank in all from which on their windows are dealt apart.
+CROWD = 2000
 
 _FIRST = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, 256, dtype=np.uint64)
 _DOUBLE = np.random.Generator(np.random.PCG64(8)).integers(0, 2**63, 64, dtype=np.uint64) * U64(2) + U64(1)
@@ -166,35 +171,97 @@ def _anchor_rows(batches):
         )
 
 
-_WINDOW = "rank bigint, doc bigint, at bigint, repeated boolean"
+_PIECE = "rank bigint, doc bigint, at bigint, piece binary, repeated boolean"
+_PIECES = pa.schema([("rank", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("piece", pa.binary()), ("repeated", pa.bool_())])
 
 
-def _window_rows(batches):
-    """Ranks of full length at the windows of a document's edge runs."""
+def _edge_rows(batches):
+    """The edge runs of each text: their bytes by the anchor's rank, or the full-length ranks
+    of their windows where the anchor's rank is crowded."""
     for batch in batches:
-        parts, held = [], 0
+        cold, parts, held = [], [], 0
         for doc, z, runs in zip(batch.column("doc").to_pylist(), batch.column("z").to_pylist(), batch.column("runs").to_pylist()):
-            runs = np.array(runs, np.int64)
-            r = ranks(np.frombuffer(zstandard.decompress(z), np.uint8), LENGTH)
-            first, more = (runs >> 8) & 0xFFFFFFFF, runs & 0xFF
-            n = more + 1
-            p = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            parts.append((r[p], np.full(len(p), doc, np.int64), pack(runs[0] >> 40, p, 0)))
-            held += len(p)
-            if held > 1 << 20:
-                yield _first_windows(parts)
-                parts, held = [], 0
-        if parts:
-            yield _first_windows(parts)
-
-
-def _first_windows(parts):
-    rank, doc, at = (np.concatenate(x) for x in zip(*parts))
-    order, head, later = _local_first(rank, doc, at)
-    keep = head | later
-    rank, doc, at, later = (x[keep] for x in (rank[order], doc[order], at[order], later))
-    rank = np.where(later, rank ^ mix(at.astype(np.uint64)), rank)  # what is settled is dealt anywhere
-    return pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(doc), pa.array(at), pa.array(later)], names=["rank", "doc", "at", "repeated"])
+            text = zstandard.decompress(z)
+            at = np.array([r["at"] for r in runs], np.int64)
+            crowded = np.array([r["crowded"] for r in runs], bool)
+            first, more = (at >> 8) & 0xFFFFFFFF, at & 0xFF
+            cold += [(r["rank"], doc, r["at"], text[f : f + m + LENGTH]) for r, f, m, c in zip(runs, first.tolist(), more.tolist(), crowded) if not c]
+            if crowded.any():
+                p = _windows(first[crowded], more[crowded])
+                parts.append((ranks(np.frombuffer(text, np.uint8), LENGTH)[p], np.full(len(p), doc, np.int64), pack(at[0] >> 40, p, 0)))
+                held += len(p)
+            if len(cold) + held > 1 << 19:
+                yield from _edge_batches(cold, parts)
+                cold, parts, held = [], [], 0
+        yield from _edge_batches(cold, parts)
+
+
+def _windows(first: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The window starts of some runs, in order."""
+    n = more + 1
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
+def _edge_batches(cold, parts):
+    if cold:
+        rank, doc, at, piece = zip(*cold)
+        yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(piece, pa.binary()), pa.array([False] * len(rank))], schema=_PIECES)
+    if parts:
+        rank, doc, at = (np.concatenate(x) for x in zip(*parts))
+        order, head, later = _local_first(rank, doc, at)
+        keep = head | later
+        rank, doc, at, later = (x[keep] for x in (rank[order], doc[order], at[order], later))
+        rank = np.where(later, rank ^ mix(at.astype(np.uint64)), rank)  # what is settled is dealt anywhere
+        yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(doc), pa.array(at), pa.nulls(len(rank), pa.binary()), pa.array(later)], schema=_PIECES)
+
+
+def _settle(batches):
+    """Of rows sorted by rank: the windows that are not the first of theirs, as runs."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rank = batch.column("rank").to_numpy()
+        new = int(np.searchsorted(rank, rank[-1]))  # the batch's last rank may go on
+        if held and (rank[0] != last or new):
+            own = int(np.searchsorted(rank, last, side="right")) if rank[0] == last else 0
+            yield from _repeats([*held, batch.slice(0, own)])
+            held = []
+            batch, new = batch.slice(own), new - own
+        if new > 0:
+            yield from _repeats([batch.slice(0, new)])
+            batch = batch.slice(new)
+        held.append(batch)
+        last = rank[-1]
+    if held:
+        yield from _repeats(held)
+
+
+def _repeats(batches):
+    rank, doc, at, repeated = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in batches]) for c in ("rank", "doc", "at", "repeated"))
+    pieces = [x for b in batches for x in b.column("piece").to_pylist()]
+    cold = np.array([x is not None for x in pieces], bool)
+    wr, wd, wa = [rank[~cold & ~repeated].view(np.uint64)], [doc[~cold & ~repeated]], [at[~cold & ~repeated]]
+    if cold.any():
+        own = [x for x in pieces if x is not None]
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in own])[:-1]]).astype(np.int64)
+        first, more = (at[cold] >> 8) & 0xFFFFFFFF, at[cold] & 0xFF
+        wr.append(ranks(np.frombuffer(b"".join(own), np.uint8), LENGTH)[_windows(starts, more)])
+        wd.append(np.repeat(doc[cold], more + 1))
+        wa.append(pack(np.repeat(at[cold] >> 40, more + 1), _windows(first, more), 0))
+    wr, wd, wa = np.concatenate(wr), np.concatenate(wd), np.concatenate(wa)
+    order, _, later = _local_first(wr, wd, wa)
+    d, a = np.concatenate([wd[order][later], doc[repeated]]), np.concatenate([wa[order][later], at[repeated]])
+    if not len(d):
+        return
+    # windows one after the other are one run (of 256 at most)
+    order = np.lexsort((a, d))
+    d, a = d[order], a[order]
+    cut_ = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1] + 256)])
+    lead = np.maximum.accumulate(np.where(cut_, np.arange(len(d)), 0))
+    head = np.flatnonzero((np.arange(len(d)) - lead) % 256 == 0)
+    more = np.diff(np.concatenate([head, [len(d)]])) - 1
+    yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(a[head] + more)], names=["doc", "at"])
 
 
 def _packed_texts(documents: DataFrame) -> DataFrame:
@@ -226,15 +293,20 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     runs = _ided(documents).mapInArrow(_anchor_rows, _ANCHOR)
     of_rank = Window.partitionBy("rank")
     of_run = Window.partitionBy("rank", "run").orderBy("doc", "at")
-    seen = runs.withColumn("first", F.first(place).over(of_run)).withColumn("least", F.min("run").over(of_rank)).withColumn("most", F.max("run").over(of_rank))
+    seen = runs.withColumn("first", F.first(place).over(of_run))
+    for name, value in (("least", F.min("run")), ("most", F.max("run")), ("marked", F.max(F.col("kind") == MARK)), ("size", F.count(F.lit(1)))):
+        seen = seen.withColumn(name, value.over(of_rank))
     repeated = (F.col("kind") == REPEATED) | (place != F.col("first"))
     edge = (F.col("kind") == DEALT) | (F.col("least") != F.col("most"))
-    settled = materialize(seen.where((F.col("kind") != MARK) & (repeated | edge)).select("doc", "at", repeated.alias("repeated")), "suffix_runs")
-
-    edges = _by_text(settled.where("not repeated").distinct(), "runs")
-    windows = _packed_texts(documents).join(edges, ["doc", "version"]).select("doc", "z", "runs").mapInArrow(_window_rows, _WINDOW)
-    seen = windows.withColumn("first", F.first(place).over(Window.partitionBy("rank").orderBy("doc", "at")))
-    more = seen.where(F.col("repeated") | (place != F.col("first"))).select("doc", "at")
+    crowded = (F.col("kind") == DEALT) | F.col("marked") | (F.col("size") > CROWD)
+    settled = seen.where((F.col("kind") != MARK) & (repeated | edge)).select(
+        "doc", "at", repeated.alias("repeated"), F.when(~repeated, F.col("rank")).alias("rank"), crowded.alias("crowded")
+    )
+    settled = materialize(settled, "suffix_runs")
+
+    edges = settled.where("not repeated").distinct().groupBy("doc", F.shiftright("at", 40).alias("version")).agg(F.collect_list(F.struct("at", "rank", "crowded")).alias("runs"))
+    pieces = _packed_texts(documents).join(edges, ["doc", "version"]).select("doc", "z", "runs").mapInArrow(_edge_rows, _PIECE)
+    more = pieces.repartition("rank").sortWithinPartitions("rank", "doc", "at").mapInArrow(_settle, "doc bigint, at bigint")
     return settled.where("repeated").select("doc", "at").union(more)
 
 
