@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlens.functions.util import as_list, sort_keys, to_col
-from demandlens.session import materialize
+from demandlens.session import materialize, partitions_for
 
 _PID = "_dl_pid"
 _MID = "_dl_mid"
@@ -37,13 +37,12 @@ def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None
     (order by enough columns to make the order total); a large group of such ties
     is still spread over several partitions unless the rows are identical.
     """
-    spark = df.sparkSession
     # Rows that tie on every order key are interchangeable; a hash of the whole row
     # as the last key lets the range bounds split a large group of such ties over
     # several partitions (deterministic, so a re-run map task places rows the same way).
     salted = df.withColumn(_SALT, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     keys = [*sort_keys(order), F.col(_SALT)]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df)
     ranged = salted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = materialize(
         ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID)),

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from demandlens.functions.util import as_list, sort_keys
 from demandlens.operators.keys import keep_last, not_null_all
-from demandlens.session import materialize
-
-# Rows of one entity above which period_growth(skew_safe="auto") splits it over tasks.
-HOT_ENTITY_ROWS = 2_000_000
+from demandlens.session import materialize, partitions_for
 
 
 def latest_batch_top_k(
@@ -65,42 +62,25 @@ def period_growth(
     value: str,
     tie=(),
     name: str = "growth",
-    skew_safe: bool | str = False,
     num_partitions: int | None = None,
-    hot_rows: int = HOT_ENTITY_ROWS,
 ) -> DataFrame:
     """``value - LAG(value)`` per entity in (time, *tie) order; NULL for the first row.
 
-    The plain form is one window partitioned by entity: every row of an entity
-    goes to one task. ``skew_safe=True`` gives the same column for inputs where
-    one entity may hold a large share of the rows:
-
-    1. range-partition on (entity, time, tie) - the sample-based bounds split a
-       hot entity over several partitions - and write that once (so every later
-       step sees the same partitioning);
-    2. LAG inside each (entity, partition) chunk - chunks are bounded by the
-       partition size;
-    3. one summary row per chunk (its last value) and, over those small rows, the
-       previous chunk's last value per entity; joined back to patch the first row
-       of each chunk.
+    A window partitioned by entity would send every row of an entity to one task. Here an
+    entity may hold any share of the rows:
 
-    ``skew_safe="auto"`` first finds the largest entity with one aggregate pass
-    (partial counts per map task) and uses the split form only when it holds more
-    than ``hot_rows`` rows.
+    1. range-partition on (entity, time, tie) - the sample-based bounds split a hot entity
+       over several partitions - and write that once (so every later step sees the same
+       partitioning);
+    2. LAG inside each (partition, entity) chunk - chunks are bounded by the partition size;
+    3. only the first entity of a partition can go on from the partition before. The last
+       row of every partition (one row each, so their number is the partition count) is
+       broadcast and patches the first row of that entity.
     """
     entity = as_list(entity)
     order = [time, *as_list(tie)]
-    if skew_safe == "auto":
-        hottest = df.groupBy(*entity).count().agg(F.max("count")).first()[0] or 0
-        skew_safe = hottest > hot_rows
-    if not skew_safe:
-        w = Window.partitionBy(*entity).orderBy(*sort_keys(order))
-        return df.withColumn(name, F.col(value) - F.lag(value).over(w))
-
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pid = "_dl_chunk"
-    ranged = df.repartitionByRange(n, *sort_keys([*entity, *order]))
+    pid, keys = "_dl_chunk", [f"_dl_e{i}" for i in range(len(entity))]
+    ranged = df.repartitionByRange(num_partitions or partitions_for(df), *sort_keys([*entity, *order]))
     tagged = materialize(ranged.select("*", F.spark_partition_id().alias(pid)), "period_growth")
     in_chunk = Window.partitionBy(pid, *entity).orderBy(*sort_keys(order))
     local = tagged.select(
@@ -108,16 +88,13 @@ def period_growth(
         F.lag(value).over(in_chunk).alias("_dl_prev"),
         (F.row_number().over(in_chunk) == 1).alias("_dl_head"),
     )
-    ordering = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
-    chunk_last = tagged.groupBy(*entity, pid).agg(F.max_by(value, ordering).alias("_dl_last"))
-    carry = chunk_last.select(
-        *[F.col(c).alias(f"_dl_e{i}") for i, c in enumerate(entity)],
-        F.col(pid).alias("_dl_cpid"),
-        F.lag("_dl_last").over(Window.partitionBy(*entity).orderBy(pid)).alias("_dl_carry"),
-    )
-    cond = F.col(pid) == F.col("_dl_cpid")
-    for i, c in enumerate(entity):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_dl_e{i}"))
-    joined = local.join(carry, cond, "left")
-    prev = F.when(F.col("_dl_head"), F.col("_dl_carry")).otherwise(F.col("_dl_prev"))
+    ordering = F.struct(*[f for c in [*entity, *order] for f in (F.col(c).isNull(), F.col(c))])
+    last = F.struct(*[F.col(c).alias(k) for c, k in zip(entity, keys)], F.col(value).alias("_dl_carry"))
+    ends = tagged.groupBy(pid).agg(F.max_by(last, ordering).alias("_dl_last"))
+    before = ends.select(pid, F.lag("_dl_last").over(Window.orderBy(pid)).alias("_dl_before")).select(pid, "_dl_before.*")
+    goes_on = F.col("_dl_head")
+    for c, k in zip(entity, keys):
+        goes_on = goes_on & F.col(c).eqNullSafe(F.col(k))
+    prev = F.when(goes_on, F.col("_dl_carry")).otherwise(F.col("_dl_prev"))
+    joined = local.join(F.broadcast(before), pid, "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(value) - prev).alias(name))

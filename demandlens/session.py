@@ -97,6 +97,22 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Bytes of input that one task of an explicit repartitioning should get.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partition count for an explicit repartitioning of ``df``: by its estimated size, and
+    not below the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no plan access (Spark Connect)
+        return least
+    # an estimate without statistics multiplies the sizes of joined inputs: keep it sane
+    return max(least, min(-(-size // TASK_BYTES), 100_000))
+
+
 # Open scratch scopes, innermost last; each lists the folders written inside it.
 _SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("demandlens_scratch", default=())
 

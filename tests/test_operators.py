@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -107,7 +108,9 @@ def test_period_growth_and_latest_snapshot(spark):
     assert last == [("v1", 20), ("v2", 5)]
 
 
-def test_period_growth_skew_safe_equals_plain(spark):
+def test_period_growth_equals_one_window(spark):
+
+
     rnd = random.Random(5)
     rows = []
     for i in range(3000):
@@ -115,12 +118,49 @@ def test_period_growth_skew_safe_equals_plain(spark):
         t = None if rnd.random() < 0.01 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 500))
         rows.append((i, e, t, rnd.choice([None, rnd.randint(0, 1000)])))
     df = spark.createDataFrame(rows, "id int, e string, t timestamp_ntz, v long")
-    plain = period_growth(df, "e", "t", "v", tie=["id"], name="g")
-    safe = period_growth(df, "e", "t", "v", tie=["id"], name="g", skew_safe=True, num_partitions=7)
-    a = sorted((r.id, r.g) for r in plain.collect())
-    b = sorted((r.id, r.g) for r in safe.collect())
-    assert a == b
-    assert safe.columns == plain.columns
+    w = Window.partitionBy("e").orderBy(F.col("t").asc_nulls_last(), "id")
+    plain = df.withColumn("g", F.col("v") - F.lag("v").over(w))
+    for n in (1, 7, 40):
+        split = period_growth(df, "e", "t", "v", tie=["id"], name="g", num_partitions=n)
+        assert sorted((r.id, r.g) for r in split.collect()) == sorted((r.id, r.g) for r in plain.collect())
+        assert split.columns == plain.columns
+    assert period_growth(df.limit(0), "e", "t", "v").count() == 0
+
+
+@pytest.mark.parametrize("growth_over", ["joined", "snapshots"])
+def test_hot_video_is_spread_over_tasks(spark, growth_over):
+    from demandlens.plans import gold as G
+    from demandlens.session import materialize
+
+    start = dt.datetime(2024, 1, 1)
+    ts = lambda c: F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=c.cast("int"))
+    ids = spark.range(24_000)
+    video = F.when(F.col("id") < 20_000, F.lit("hot")).otherwise(F.concat(F.lit("v"), (F.col("id") % 400).cast("string")))
+    stats = ids.select(video.alias("video_id"), F.col("id").alias("view_count"), F.lit(1).cast("long").alias("like_count"),
+                       F.lit(1).cast("long").alias("comment_count"), F.lit("PT1M").alias("duration"),
+                       F.lit(60).alias("duration_seconds"), ts(F.col("id")).alias("retrieved_at"))
+    search = spark.range(410).select(
+        F.when(F.col("id") < 10, F.lit("hot")).otherwise(F.concat(F.lit("v"), (F.col("id") - 10).cast("string"))).alias("video_id"),
+        F.lit(1).cast("long").alias("keyword_id"), F.lit("t").alias("title"), F.lit("c").alias("channel_id"),
+        F.lit("C").alias("channel_title"), ts(F.lit(0)).alias("publish_time"), F.col("id").alias("search_result_id"))
+    keywords = spark.createDataFrame([(1, "k")], "keyword_id long, keyword string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            # else this little input meets in one map task, which cannot be split
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = G.gold_trending_analysis(search, stats, keywords, growth_over=growth_over, ordered=False)
+        written = materialize(out.withColumn("task", F.spark_partition_id()), "hot_video")
+        per_task = [r["count"] for r in written.groupBy("task").count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 204_000
+    # one video makes 98 % of the rows; no task has a fifth of them
+    assert max(per_task) < sum(per_task) / 5, per_task
 
 
 def test_bounded_broadcast_measures_rows_and_bytes(spark):
@@ -135,18 +175,6 @@ def test_bounded_broadcast_measures_rows_and_bytes(spark):
     assert "broadcast" not in plan(bounded_broadcast(df, max_rows=2)).lower()
 
 
-def test_period_growth_auto_picks_split_for_hot_entity(spark):
-    rows = [(i, "hot" if i % 4 else "cold", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i * 3 % 17)
-            for i in range(400)]
-    df = spark.createDataFrame(rows, "id int, e string, t timestamp_ntz, v long")
-    plain = sorted((r.id, r.g) for r in period_growth(df, "e", "t", "v", name="g").collect())
-    auto_split = period_growth(df, "e", "t", "v", name="g", skew_safe="auto", hot_rows=100, num_partitions=5)
-    auto_plain = period_growth(df, "e", "t", "v", name="g", skew_safe="auto", hot_rows=10_000)
-    assert "_dl_chunk" in auto_split._jdf.queryExecution().analyzed().toString()
-    assert "_dl_chunk" not in auto_plain._jdf.queryExecution().analyzed().toString()
-    assert sorted((r.id, r.g) for r in auto_split.collect()) == plain
-    assert sorted((r.id, r.g) for r in auto_plain.collect()) == plain
-
 
 def test_lookup_exact_and_normalized(spark):
     from demandlens.operators.joins import lookup
