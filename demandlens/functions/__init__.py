@@ -12,15 +12,11 @@ from demandlens.functions.rates import (
     safe_divide,
 )
 from demandlens.functions.text import (
-    header_dates,
     header_keyword,
     is_section_header,
     lstrip_ws,
-    parse_date_range,
     parse_mdy,
     parse_score,
-    rstrip_ws,
-    section_header,
     split_last,
     strip_ws,
 )
@@ -29,21 +25,17 @@ __all__ = [
     "comment_rate",
     "engagement_rate",
     "exact_mean",
-    "header_dates",
     "header_keyword",
     "is_section_header",
     "iso_duration_seconds",
     "like_rate",
     "lstrip_ws",
     "mean_of_hundredths",
-    "parse_date_range",
     "parse_mdy",
     "parse_score",
     "rate_pct",
     "round_half_away",
-    "rstrip_ws",
     "safe_divide",
-    "section_header",
     "split_last",
     "strip_ws",
 ]

@@ -40,10 +40,6 @@ def lstrip_ws(col) -> Column:
     return F.ltrim(to_col(col), F.lit(WHITESPACE_CHARS))
 
 
-def rstrip_ws(col) -> Column:
-    return F.rtrim(to_col(col), F.lit(WHITESPACE_CHARS))
-
-
 def parse_mdy(col) -> Column:
     """``m/d/yy`` text to DATE; NULL when the text does not match or the day does not exist."""
     c = to_col(col)
@@ -59,21 +55,6 @@ def parse_mdy(col) -> Column:
     return F.when(matched & (F.month(candidate) == month), candidate)
 
 
-def parse_date_range(col) -> Column:
-    """``"m/d/yy - m/d/yy"`` to struct(begin_date, end_date).
-
-    Exactly one separator is required, and both sides must parse; otherwise both
-    dates are NULL.
-    """
-    c = to_col(col)
-    parts = F.split(c, RANGE_SEPARATOR, -1)
-    ok_shape = c.isNotNull() & (F.size(parts) == 2)
-    begin = parse_mdy(strip_ws(F.get(parts, 0)))
-    end = parse_mdy(strip_ws(F.get(parts, 1)))
-    both = ok_shape & begin.isNotNull() & end.isNotNull()
-    return F.struct(F.when(both, begin).alias("begin_date"), F.when(both, end).alias("end_date"))
-
-
 def is_section_header(raw_line) -> Column:
     """A header starts with "Region" (no leading blanks) and holds "(", ")" and " - "."""
     c = to_col(raw_line)
@@ -97,13 +78,6 @@ def header_keyword(raw_line) -> Column:
     return F.when(c.contains(":") & c.startswith(HEADER_PREFIX) & (keyword != ""), keyword)
 
 
-def header_dates(raw_line) -> Column:
-    """struct(begin_date, end_date) from the first parenthesised group of a header line."""
-    c = to_col(raw_line)
-    inner = F.regexp_extract(c, FIRST_PARENTHESES, 1)
-    return parse_date_range(F.nullif(inner, F.lit("")))
-
-
 def parse_score(col) -> Column:
     """Interest score text to BIGINT: "<1" is 1, an integer is itself, anything else NULL."""
     c = to_col(col)
@@ -119,15 +93,3 @@ def split_last(col, sep: str = ",") -> Column:
     tail = F.substring_index(c, sep, -1)
     head = c.substr(F.lit(1), F.length(c) - F.length(tail) - F.lit(len(sep)))
     return F.when(c.contains(sep), F.struct(head.alias("head"), tail.alias("tail")))
-
-
-def section_header(raw_line) -> Column:
-    """struct(keyword, begin_date, end_date) of a header line; NULL for other lines.
-
-    A header whose keyword is missing gives struct(NULL, ...) - the stop marker.
-    """
-    c = to_col(raw_line)
-    dates = header_dates(c)
-    return F.when(is_section_header(c), F.struct(
-        header_keyword(c).alias("keyword"), dates["begin_date"].alias("begin_date"),
-        dates["end_date"].alias("end_date")))

@@ -7,7 +7,6 @@ all the work after that is the library's own silver / gold / operator code.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +19,14 @@ from demandlens.operators.incremental import pending_keys, select_keys
 from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
 from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
 from demandlens.plans import gold, silver, standins
-from demandlens.session import materialize, session_key
+from demandlens.session import materialize
 from demandlens.sources.responses import ingest_search, ingest_statistics
 from demandlens.sources.sections import parse_sections, sections_to_bronze
 
 # Fixed report time for the KPI report, so the result is reproducible.
 AS_OF = "2025-08-20 12:00:00"
-# The statistics table "as it was" before this time is the already-fetched set
-# for the incremental selection queries.
+# Fixture of the anti-join queries (pending_ids, request_batches): the statistics table "as it
+# was" before this time is the already-fetched set; both reads are whole.
 STATS_DONE_BEFORE = "1998-01-01 00:00:00"
 LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
@@ -68,30 +67,17 @@ class Silver:
         return self._get("stats", lambda: silver.silver_video_statistics(
             standins.bronze_video_statistics(self.spark, self.sf_dir)))
 
-    @property
-    def top(self) -> DataFrame:
-        """Latest top-20 table, written once to the shared checkpoint folder (reused by the reports)."""
-        return self._get("top", lambda: materialize(gold.latest_searches_top_k(self.search), "latest_top_k"))
-
 
 class SilverLayer:
-    """The silver tables and the shared latest top-k table, each written once per
-    session and scale dir to the shared checkpoint folder and read back - the
-    materialized silver layer the gold reports read (as the models do)."""
-
-    _layers: dict[tuple[str, str], "SilverLayer"] = {}
+    """The silver tables and the shared latest top-k table, each written to the shared
+    checkpoint folder when first asked for and read back - the materialized silver layer
+    the gold reports read (as the models do). A report builds its own layer unless it is
+    given one."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._silver = Silver(spark, sf_dir)
         self._tables: dict[str, DataFrame] = {}
 
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> "SilverLayer":
-        key = (session_key(spark), os.path.abspath(sf_dir))
-        if key not in cls._layers:
-            cls._layers[key] = cls(spark, sf_dir)
-        return cls._layers[key]
-
     def _get(self, name: str) -> DataFrame:
         if name not in self._tables:
             if name == "top":
@@ -110,48 +96,48 @@ class SilverLayer:
 
 
 # ---------------------------------------------------------------- gold reports
-def channel_insights(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def channel_insights(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_channel_insights(s.top, s.stats, s.keywords)
 
 
-def business_kpis(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def business_kpis(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_business_kpis(s.top, s.stats, s.keywords, as_of=AS_OF)
 
 
-def keyword_market(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def keyword_market(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_keyword_market_analysis(s.top, s.stats, s.keywords, s.trends)
 
 
-def geographic_insights(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def geographic_insights(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_geographic_insights(s.top, s.trends, s.keywords, s.census)
 
 
-def geographic_insights_dedup(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def geographic_insights_dedup(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_geographic_insights(s.top, s.trends, s.keywords, s.census, dedupe=True)
 
 
-def trending(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def trending(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_trending_analysis(s.search, s.stats, s.keywords, growth_over="joined")
 
 
-def trending_snapshots(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def trending_snapshots(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_trending_analysis(s.search, s.stats, s.keywords, growth_over="snapshots")
 
 
-def video_time_series(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def video_time_series(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_video_performance_time_series(s.search, s.stats, s.keywords, growth_over="joined")
 
 
-def video_time_series_snapshots(spark, sf_dir):
-    s = SilverLayer.of(spark, sf_dir)
+def video_time_series_snapshots(spark, sf_dir, layer=None):
+    s = layer or SilverLayer(spark, sf_dir)
     return gold.gold_video_performance_time_series(s.search, s.stats, s.keywords, growth_over="snapshots")
 
 
@@ -259,12 +245,16 @@ def request_batches_q(spark, sf_dir):
     return request_batches(pending, "video_id", size=50)
 
 
-def section_lines_q(spark, sf_dir):
+def stored_section_lines(spark, sf_dir):
+    """The stand-in lines written once, as export files sit in storage."""
+    return materialize(standins.section_lines(spark, sf_dir), "section_lines")
+
+
+def section_lines_q(spark, sf_dir, lines=None):
     """Sectioned export lines -> header state, stop rule, score parsing -> first-wins de-duplication.
 
-    The stand-in lines are written once, as export files sit in storage; the
-    parser reads its input twice (summary pass, row pass)."""
-    lines = materialize(standins.section_lines(spark, sf_dir), "section_lines")
+    The parser reads its input twice (summary pass, row pass)."""
+    lines = lines or stored_section_lines(spark, sf_dir)
     rows = parse_sections(lines, order=standins.SECTION_ORDER)
     return sections_to_bronze(rows, order=standins.SECTION_ORDER, retrieved_at=standins.SECTIONS_RETRIEVED_AT)
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.plans.census_columns import AREA_NAME_HEADER, CENSUS_COLUMNS, GEOGRAPHY_ID_HEADER, header_for
-from demandlens.session import default_parallelism
 
 KEYWORDS_FILE = "csv/keywords.csv"
 INGESTED_AT = "2025-08-01 00:00:00"
@@ -28,24 +27,8 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Each test file is a single Parquet row group, which Spark can
-    only scan as one task; such a fact table is hash-spread by its key over the
-    session's cores so the work after it runs in parallel (inputs with many files
-    or row groups are left as they are)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SPREAD_KEYS:
-        cores = default_parallelism(spark)
-        try:
-            parts = df.rdd.getNumPartitions()
-        except Exception:  # no RDD access (Spark Connect): leave the scan as it is
-            parts = cores
-        if parts < cores:
-            df = df.repartition(cores, SPREAD_KEYS[name])
-    return df
-
-
-# Fact tables spread by key when a test file arrives as a single scan task.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bronze_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,21 +82,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def session_key(spark: SparkSession) -> str:
-    """An id of the running application (for per-session caches)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return f"session-{id(spark)}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 # Bytes of input that one task of an explicit repartitioning should get.
 TASK_BYTES = 128 * 1024 * 1024
 

@@ -77,7 +77,7 @@ def read_lines(spark: SparkSession, paths, recursive: bool = True, path_glob: st
     )
 
 
-def _with_header(df: DataFrame, line_col: str) -> DataFrame:
+def with_header(df: DataFrame, line_col: str) -> DataFrame:
     """Add the header reading of the left-stripped line, in stages.
 
     Columns added: _dl_nb (non-blank), _dl_lead (line has leading blanks),
@@ -145,7 +145,7 @@ def parse_sections(
     # Parse every line once. A line with leading blanks is never a header as
     # read; only as the file's first non-blank line (left-stripped) can it be one,
     # so one reading of the left-stripped line serves both cases.
-    lines = _with_header(lines, line_col)
+    lines = with_header(lines, line_col)
     nonblank = F.col("_dl_nb")
     raw_hdr = F.when(~F.col("_dl_lead"), F.col("_dl_hdr"))
     raw_stop = ~F.col("_dl_lead") & F.col("_dl_stop")
@@ -158,12 +158,13 @@ def parse_sections(
         F.max_by(raw_hdr, F.when(raw_hdr.isNotNull(), pos)).alias("_dl_raw_hdr"),
         F.max(raw_stop.cast("int")).alias("_dl_raw_stop"),
         F.min_by(F.struct(adj_hdr.alias("h"), adj_stop.alias("s")), F.when(nonblank, pos)).alias("_dl_first"),
+        F.min(F.when(nonblank, pos)).alias("_dl_first_pos"),
     )
     first_text_block = F.min(F.when(F.col("_dl_has_text") == 1, F.col(block_col))).over(Window.partitionBy(file_col))
     is_first = F.coalesce(F.col(block_col) == first_text_block, F.lit(False))
     blocks = summary.select(
         *fb,
-        is_first.alias("_dl_first_blk"),
+        F.when(is_first, F.col("_dl_first_pos")).alias("_dl_l0"),  # the file's first non-blank line
         # A raw header always follows the first non-blank line, so it wins when present.
         F.coalesce(F.col("_dl_raw_hdr"), F.when(is_first, F.col("_dl_first.h"))).alias("_dl_blk_hdr"),
         ((F.col("_dl_raw_stop") == 1) | (is_first & F.coalesce(F.col("_dl_first.s"), F.lit(False)))).alias("_dl_blk_stop"),
@@ -171,15 +172,14 @@ def parse_sections(
     earlier = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.select(
         *fb,
-        "_dl_first_blk",
+        "_dl_l0",
         F.last("_dl_blk_hdr", ignorenulls=True).over(earlier).alias("_dl_hdr_carry"),
         F.coalesce(F.max(F.col("_dl_blk_stop").cast("int")).over(earlier), F.lit(0)).alias("_dl_stop_carry"),
     )
 
     # Pass 2: line by line inside each split, plus the carried state.
-    in_block = Window.partitionBy(*fb)
-    main = lines.select("*", F.min(F.when(nonblank, pos)).over(in_block).alias("_dl_bfirst")).join(carry, fb, "left")
-    is_l0 = F.coalesce(F.col("_dl_first_blk"), F.lit(False)) & (pos == F.col("_dl_bfirst"))
+    main = lines.join(carry, fb, "left")
+    is_l0 = F.coalesce(pos == F.col("_dl_l0"), F.lit(False))
     row_hdr = F.when(is_l0, adj_hdr).otherwise(raw_hdr)
     row_stop = F.when(is_l0, adj_stop).otherwise(raw_stop)
     upto_here = Window.partitionBy(*fb).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

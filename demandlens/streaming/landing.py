@@ -4,22 +4,25 @@ Instead of listing every file on every run, a file-stream source remembers
 which files it has already taken (in its checkpoint). ``trigger(availableNow)``
 processes whatever arrived since the last run and stops, so a scheduler can
 start it like a batch job. Each micro-batch runs the batch ingest operators
-through ``foreachBatch`` and appends to the bronze table.
+through ``foreachBatch`` and writes a sub-folder of the bronze table that is named after
+the batch, so a batch that is tried again replaces its own rows.
 
-Difference to the batch job: the batch interest ingest de-duplicates across all
-files of a run; a micro-batch de-duplicates within the files it received.
+Difference to the batch job: the batch interest ingest replaces the table. A micro-batch
+de-duplicates within the files it received and drops keys that other batches hold already.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from demandlens.plans.pipeline import Layout
 from demandlens.sources.responses import ingest_search, ingest_statistics
-from demandlens.sources.sections import parse_sections, sections_to_bronze
-from demandlens.sources.sinks import save_table
+from demandlens.sources.sections import DEDUP_KEYS, parse_sections, sections_to_bronze
+from demandlens.sources.sinks import read_table, save_batch, table_exists
 
 
 def _line_stream(spark: SparkSession, src_dir: str, path_glob: str | None = None) -> DataFrame:
@@ -48,7 +51,12 @@ def stream_trend_files(spark: SparkSession, src_dir: str, layout: Layout, checkp
         lines = batch.withColumn("pos", F.monotonically_increasing_id())
         rows = sections_to_bronze(parse_sections(lines, order=["pos"]), order=["pos"],
                                   retrieved_at=retrieved_at, filename_prefix=filename_prefix)
-        save_table(rows, layout.bronze("google_trends"), mode="append")
+        path, name = layout.bronze("google_trends"), f"stream-{epoch_id}"
+        if table_exists(spark, path=path):
+            others = read_table(spark, path).where(~F.col("_metadata.file_path").contains(f"/{name}/")).select(*DEDUP_KEYS).distinct()
+            same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(others[k]) for k in DEDUP_KEYS])
+            rows = rows.join(others, same, "left_anti")
+        save_batch(rows, path, name)
 
     return _start(_line_stream(spark, src_dir), handle, checkpoint_location, available_now)
 
@@ -64,7 +72,7 @@ def stream_search_responses(spark: SparkSession, src_dir: str, layout: Layout, c
             F.get_json_object("line", "$.keyword").alias("keyword"), F.col("line").alias("body"),
         ).where(F.col("body") != "")
         rows = ingest_search(docs, ["filename", "block", "pos"], searched_at=searched_at)
-        save_table(rows, layout.bronze("search_results"), mode="append")
+        save_batch(rows, layout.bronze("search_results"), f"stream-{epoch_id}")
 
     return _start(_line_stream(spark, src_dir), handle, checkpoint_location, available_now)
 
@@ -77,6 +85,6 @@ def stream_statistics_responses(spark: SparkSession, src_dir: str, layout: Layou
         docs = batch.select("filename", "block", F.monotonically_increasing_id().alias("pos"),
                             F.col("line").alias("body")).where(F.col("body") != "")
         rows = ingest_statistics(docs, ["filename", "block", "pos"], retrieved_at=retrieved_at)
-        save_table(rows, layout.bronze("video_statistics"), mode="append")
+        save_batch(rows, layout.bronze("video_statistics"), f"stream-{epoch_id}")
 
     return _start(_line_stream(spark, src_dir), handle, checkpoint_location, available_now)

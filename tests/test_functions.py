@@ -7,7 +7,6 @@ from demandlens.functions import (
     iso_duration_seconds,
     like_rate,
     mean_of_hundredths,
-    parse_date_range,
     parse_mdy,
     parse_score,
     rate_pct,
@@ -64,11 +63,19 @@ def test_parse_mdy_pivot_and_invalid(spark):
         dt.date(2024, 8, 18), dt.date(2068, 1, 1), dt.date(1969, 1, 1), None, None, dt.date(2024, 2, 29), None, None]
 
 
-def test_parse_date_range_both_or_none(spark):
-    rows = [("8/18/24 - 8/18/25",), ("8/18/24 - 2/30/25",), ("vit c",), ("1/1/24 - 2/1/24 - 3/1/24",)]
-    out = spark.createDataFrame(rows, "s string").select(parse_date_range("s").alias("r")).collect()
-    assert [(r.r.begin_date, r.r.end_date) for r in out] == [
-        (dt.date(2024, 8, 18), dt.date(2025, 8, 18)), (None, None), (None, None), (None, None)]
+def _headers(spark, lines):
+    from demandlens.sources.sections import with_header
+
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    return with_header(rows, "line").orderBy("i").collect()
+
+
+def test_header_dates_both_or_none(spark):
+    ranges = ["8/18/24 - 8/18/25", "8/18/24 - 2/30/25", "vit c - ", "1/1/24 - 2/1/24 - 3/1/24", " 1/1/24 -  2/1/24 "]
+    out = _headers(spark, [f"Region,Serum: ({r})" for r in ranges])
+    assert [(r._dl_hdr.begin_date, r._dl_hdr.end_date) for r in out] == [
+        (dt.date(2024, 8, 18), dt.date(2025, 8, 18)), (None, None), (None, None), (None, None),
+        (dt.date(2024, 1, 1), dt.date(2024, 2, 1))]
 
 
 def test_parse_score(spark):
@@ -82,13 +89,11 @@ def test_split_last(spark):
     assert [(r.p.head, r.p.tail) if r.p else None for r in out] == [('"East, Upper"', "7"), None, ("a", "")]
 
 
-def test_section_header_struct(spark):
-    from demandlens.functions import section_header
-
-    rows = [("Region,Serum: (1/1/24 - 2/1/24)",), ("Region,: (1/1/24 - 2/1/24)",), ("X,5",)]
-    out = spark.createDataFrame(rows, "s string").select(section_header("s").alias("h")).collect()
-    assert out[0].h.keyword == "serum" and out[0].h.begin_date == dt.date(2024, 1, 1)
-    assert out[1].h.keyword is None and out[2].h is None
+def test_header_lines(spark):
+    out = _headers(spark, ["Region,Serum: (1/1/24 - 2/1/24)", "Region,: (1/1/24 - 2/1/24)", "X,5", "  Region,B: (a - b)", " "])
+    assert out[0]._dl_hdr.keyword == "serum" and out[0]._dl_hdr.begin_date == dt.date(2024, 1, 1)
+    assert [r._dl_stop for r in out] == [False, True, False, False, False] and out[2]._dl_hdr is None
+    assert [r._dl_lead for r in out] == [False, False, False, True, True] and [r._dl_nb for r in out] == [True] * 4 + [False]
 
 
 def test_clean_wide(spark):

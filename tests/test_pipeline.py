@@ -16,7 +16,7 @@ from demandlens.plans.pipeline import (
 from demandlens.plans.silver import silver_census
 from demandlens.sources.csv_landing import land_csv
 from demandlens.sources.responses import flatten_search, flatten_statistics
-from demandlens.sources.sinks import export_jdbc, save_table
+from demandlens.sources.sinks import export_jdbc, read_table, save_table
 
 CENSUS_CSV = """GEO_ID,NAME,X1,X2,X3
 Geography,Geographic Area Name,2023 Estimate!!SEX AND AGE!!Total population,2023 Estimate!!SEX AND AGE!!Total population!!Male,Other
@@ -163,7 +163,7 @@ def test_jdbc_export_in_process_derby(spark):
 
 
 def test_streaming_landing_available_now(spark, tmp_dir):
-    from demandlens.streaming.landing import stream_statistics_responses, stream_trend_files
+    from demandlens.streaming.landing import stream_search_responses, stream_statistics_responses, stream_trend_files
 
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
@@ -172,15 +172,29 @@ def test_streaming_landing_available_now(spark, tmp_dir):
     L = Layout(os.path.join(tmp_dir, "lake"))
     q = stream_trend_files(spark, src, L, os.path.join(tmp_dir, "ck1"), retrieved_at="2025-01-01 00:00:00")
     q.awaitTermination(120)
-    rows = spark.read.parquet(L.bronze("google_trends")).collect()
+    rows = read_table(spark, L.bronze("google_trends")).collect()
     assert [(r.keyword, r.region, r.interest_score) for r in rows] == [("serum", "X", 5)]
+    with open(os.path.join(src, "b.csv"), "w") as fh:
+        fh.write("Region,Serum: (1/1/24 - 2/1/24)\nX,9\nY,7\n")
+    for ck in ("ck1", "ck1b"):  # the next batch, and a second stream that takes all files as its batch 0
+        stream_trend_files(spark, src, L, os.path.join(tmp_dir, ck), retrieved_at="2025-01-01 00:00:00").awaitTermination(120)
+        got = sorted((r.region, r.interest_score) for r in read_table(spark, L.bronze("google_trends")).collect())
+        assert got == [("X", 5), ("Y", 7)]
     stats_src = os.path.join(tmp_dir, "stats")
     os.makedirs(stats_src)
     with open(os.path.join(stats_src, "r1.json"), "w") as fh:
         fh.write(json.dumps({"items": [{"id": "v1", "statistics": {"viewCount": "3"}}]}) + "\n")
-    q = stream_statistics_responses(spark, stats_src, L, os.path.join(tmp_dir, "ck2"))
-    q.awaitTermination(120)
-    assert [(r.video_id, r.view_count) for r in spark.read.parquet(L.bronze("video_statistics")).collect()] == [("v1", 3)]
+    for ck in ("ck2", "ck3"):  # a batch written again (its checkpoint was lost) leaves the same rows
+        q = stream_statistics_responses(spark, stats_src, L, os.path.join(tmp_dir, ck))
+        q.awaitTermination(120)
+        assert [(r.video_id, r.view_count) for r in read_table(spark, L.bronze("video_statistics")).collect()] == [("v1", 3)]
+    search_src = os.path.join(tmp_dir, "search")
+    os.makedirs(search_src)
+    with open(os.path.join(search_src, "s1.json"), "w") as fh:
+        fh.write(json.dumps({"keyword": "serum", "items": [{"id": {"videoId": "v1"}}, {"id": {"videoId": "v2"}}, {"id": {"videoId": "v1"}}]}) + "\n")
+    for ck in ("ck4", "ck5"):
+        stream_search_responses(spark, search_src, L, os.path.join(tmp_dir, ck), searched_at="2025-01-01 00:00:00").awaitTermination(120)
+        assert sorted((r.video_id, r.search_keyword) for r in read_table(spark, L.bronze("search_results")).collect()) == [("v1", "serum"), ("v2", "serum")]
 
 
 @pytest.mark.parametrize("growth_over", ["sideways"])
