@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import io
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +85,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of a session's executors, once: a zip of its
+    sources under the shared checkpoint folder, added as a Python file. Needed by jobs with
+    Python functions where the package is not installed on the executors."""
+    sc = spark.sparkContext
+    if getattr(sc, "_demandlens_shipped", False):
+        return
+    here = pathlib.Path(__file__).parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(here.rglob("*.py")):
+            z.write(source, str(source.relative_to(here.parent)))
+    target = f"{checkpoint_root(spark)}/demandlens-{uuid.uuid4().hex[:12]}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    sc._demandlens_shipped = True
+
+
 # Bytes of input that one task of an explicit repartitioning should get.
 TASK_BYTES = 128 * 1024 * 1024
 
