@@ -5,10 +5,12 @@ whose documents are toxic far more often than chance. It is stored in a trie and
 with the Levenshtein automata of its terms: the product is run as one automaton over the
 characters of a word, built as it is used, so a word that is near no term is left after a
 few characters. A hit counts by its term's weight, less by edit, and by its context window:
-quotation (quotation marks around it, or a word of reporting nearby) against address. A
+quotation (quotation marks around it, or a word of reporting nearby) against address. Words
+of clean documents that are near a term are ordinary words, not misspellings of it. A
 logistic regression on the document's sums of abusive and of quoted hits gives the score.
 
-Learning uses at most ``PER_CLASS`` labelled rows of each class; scoring reads whole texts.
+Learning uses at most ``PER_CLASS`` labelled rows of each class, one of each group of near
+copies. Scoring reads whole texts.
 Defined results: NULL and empty texts score like a text without hits; a NULL doc_id is not
 held out and never learned from; repeated rows score alike; without labels of both classes
 every score is 0; an empty table gives an empty result; only ``doc_id`` and ``text`` of the
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.llm.tables import labelled_sample, table
+from demandlens.llm.text import U64, Words, as_bytes, mix
 
 # Fixed values of the query.
 FOLDS, HELD_OUT = 3, 1
@@ -36,6 +39,8 @@ TOXIC_AT = 0.7
 #: Labelled rows of each class to learn from, and terms of the lexicon, at most.
 PER_CLASS = 6000
 MAX_TERMS = 2000
+#: Ordinary words near a term that are remembered, at most.
+MAX_ORDINARY = 5000
 #: Evidence that a term must give (log likelihood ratio) and its least log odds.
 EVIDENCE = 18.0
 LEAST_ODDS = 3.0
@@ -156,6 +161,7 @@ class LexiconAutomaton:
 @dataclass
 class ToxicityModel:
     terms: list[tuple[str, bool, float]]  # (term, is a stem, weight)
+    ordinary: frozenset[str] = frozenset()  # words that only look like a term
     bias: float = 0.0
     weights: tuple[float, ...] = (0.0, 0.0, 0.0)
 
@@ -168,8 +174,9 @@ class Scanner:
 
     REMEMBERED = 500_000
 
-    def __init__(self, terms):
+    def __init__(self, terms, ordinary=frozenset()):
         self.automaton = LexiconAutomaton(terms)
+        self.ordinary = ordinary
         self.hits: dict[str, tuple[float, int]] = {}
         self.clean: set[str] = set()
 
@@ -179,7 +186,7 @@ class Scanner:
         for word in words - self.clean:
             if word not in self.hits:
                 found = self.automaton.match(word)
-                if found:
+                if found and (not found[1] or word not in self.ordinary):
                     self.hits[word] = found
                 else:
                     self.clean.add(word)
@@ -268,40 +275,86 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
     return out[:MAX_TERMS]
 
 
-def _features(documents: DataFrame, terms, extra: str) -> DataFrame:
-    """(extra columns, f0, f1, f2) of every row."""
-    names = [c.split()[0] for c in extra.split(", ")]
+N_FEATURES = 3
+
+
+def _features(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """(y, f array) of every row (text, y)."""
 
     def run(batches):
-        scanner = Scanner(terms)
+        scanner = Scanner(model.terms, model.ordinary)
         for batch in batches:
-            f = [scanner.features(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *[pa.array([x[k] for x in f], pa.float64()) for k in range(3)]], names=[*names, "f0", "f1", "f2"])
+            f = [list(scanner.features(t or "")) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(f, pa.list_(pa.float64()))], names=["y", "f"])
+
+    return documents.select("y", "text").mapInArrow(run, "y int, f array<double>")
 
-    return documents.select(*names, "text").mapInArrow(run, f"{extra}, f0 double, f1 double, f2 double")
+
+def _ordinary_words(clean: DataFrame, terms) -> frozenset[str]:
+    """Words of clean documents that differ from a term by edits, the most frequent ones."""
+
+    def run(batches):
+        automaton = LexiconAutomaton(terms)
+        for batch in batches:
+            near = [w for t in batch.column("text").to_pylist() for w in set(WORD.findall((t or "").lower())) if (m := automaton.match(w)) and m[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["word"])
+
+    counted = clean.select("text").mapInArrow(run, "word string").groupBy("word").count()
+    return frozenset(r.word for r in counted.orderBy(F.col("count").desc(), "word").limit(MAX_ORDINARY).collect())
+
+
+def _signatures(batches):
+    """Three smallest hashes of each text's five-word runs: near copies share most of them."""
+    for batch in batches:
+        out = []
+        for text in as_bytes(batch.column("text").to_pylist()):
+            w = Words([text], lower=True)
+            h = w.shingles(5)[1]
+            h = h if len(h) else w.hash
+            out.append([int(mix(h + U64(k)).min().astype(np.int64)) for k in range(3)] if len(h) else [0, 0, 0])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "y", "h"])
+
+
+def _unlike(sample: DataFrame) -> DataFrame:
+    """(doc_id, y) of one document of each group of near copies in the sample (bounded: three
+    hashes of each sampled row reach the driver)."""
+    rows = sample.select("doc_id", "y", "text").mapInArrow(_signatures, "doc_id bigint, y int, h array<bigint>").collect()
+    seen: set[tuple[int, int]] = set()
+    kept: list[tuple[int, int]] = []
+    ids: set[int] = set()
+    for r in sorted(rows, key=lambda r: (r.y, r.doc_id)):
+        own = {(k, h) for k, h in enumerate(r.h)}
+        if r.doc_id not in ids and not own & seen:
+            kept.append((r.doc_id, r.y))
+            ids.add(r.doc_id)
+        seen |= own
+    return sample.sparkSession.createDataFrame(kept, "doc_id bigint, y int")
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", where=None, per_class: int = PER_CLASS) -> ToxicityModel:
     """Lexicon and score from the labelled rows that ``where`` allows."""
-    chosen = labelled_sample(labels, label, per_class, where)
-    sample = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", F.col("y").cast("int").alias("y"))
-    counts = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = labelled_sample(labels, label, per_class, where).select("doc_id", F.col("y").cast("int").alias("y"))
+    unlike = _unlike(texts.join(F.broadcast(chosen), "doc_id"))
+    sample = texts.join(F.broadcast(unlike), "doc_id").dropDuplicates(["doc_id"])
+    counts = {r.y: r["count"] for r in unlike.groupBy("y").count().collect()}
     terms = learn_lexicon(sample, counts.get(1, 0), counts.get(0, 0))
     if len(counts) < 2 or not terms:
-        return ToxicityModel(terms, -50.0)
-    rows = _features(sample, terms, "y int").collect()
-    rows.sort()
-    x = np.array([[r.f0, r.f1, r.f2, 1.0] for r in rows])
-    y = np.array([r.y for r in rows], float)
-    a = np.zeros(4)
-    ridge = np.diag([0.05, 0.05, 0.05, 1e-4])
-    for _ in range(60):
+        return ToxicityModel(terms, bias=-50.0)
+    model = ToxicityModel(terms, _ordinary_words(sample.where("y = 0"), terms))
+    rows = sorted((r.y, tuple(r.f)) for r in _features(sample, model).collect())
+    x = np.array([[*f, 1.0] for _, f in rows])
+    y = np.array([y for y, _ in rows], float)
+    # A ridge towards a prior: abusive hits count, quoted ones do not.
+    prior, ridge = np.array([1.5, 0.0, 3.0, -3.0]), np.diag([0.3, 0.3, 0.3, 1e-3])
+    a = prior.copy()
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ a, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ a)
-        a -= np.clip(step, -3, 3)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ (a - prior))
+        a -= np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
-    return ToxicityModel(terms, float(a[3]), tuple(float(v) for v in a[:3]))
+    return ToxicityModel(model.terms, model.ordinary, float(a[-1]), tuple(float(v) for v in a[:-1]))
 
 
 def toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -309,9 +362,9 @@ def toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS terms at most
 
     def run(batches):
-        scanner = Scanner(shared.value.terms)
+        scanner = Scanner(shared.value.terms, shared.value.ordinary)
         for batch in batches:
-            f = np.array([scanner.features(t or "") for t in batch.column("text").to_pylist()]).reshape(-1, 3)
+            f = np.array([scanner.features(t or "") for t in batch.column("text").to_pylist()]).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(shared.value.score(f), pa.float64())], names=["doc_id", "score"])
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")

@@ -57,7 +57,7 @@ def test_held_out_rows(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(i, ("you utter fool " if i % 4 == 0 else "plain words here ") + f"w{i}", int(i % 4 == 0)) for i in range(120)]
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(6)) + (" utter fool " if i % 4 == 0 else " plain words here ") + f"v{i}", int(i % 4 == 0)) for i in range(120)]
     df = spark.createDataFrame([(i, t, 0.5) for i, t, _ in rows], "doc_id long, text string, score double")
     model = tx.fit(df, spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (3, None), (5, 1), (500, 0)], "doc_id long, toxic int"))
     odd = spark.createDataFrame([(1, "utter fool", 0.0), (2, "utterr f00l", 0.0), (3, None, 0.0), (4, "", 0.0), (None, "plain", 0.0), (6, "plain " * 50000, 0.0), (1, "utter fool", 0.0)], df.schema)
