@@ -111,15 +111,19 @@ TASK_BYTES = 128 * 1024 * 1024
 
 
 def partitions_for(df: DataFrame) -> int:
-    """Partition count for an explicit repartitioning of ``df``: by its estimated size, and
-    not below the session's shuffle partitions."""
+    """Partition count for an explicit repartitioning of ``df``: by the bytes its plan scans
+    (estimates of joined sizes multiply and say nothing), and not below the session's
+    shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        size = 0
+        while leaves.hasNext():
+            size += int(str(leaves.next().stats().sizeInBytes()))
     except Exception:  # no plan access (Spark Connect)
         return least
-    # an estimate without statistics multiplies the sizes of joined inputs: keep it sane
-    return max(least, min(-(-size // TASK_BYTES), 100_000))
+    # a leaf without statistics claims an endless size
+    return least if size >= 1 << 60 else max(least, -(-size // TASK_BYTES))
 
 
 # Open scratch scopes, innermost last; each lists the folders written inside it.
