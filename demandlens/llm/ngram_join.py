@@ -30,6 +30,8 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -47,7 +49,7 @@ QUERY_WORDS, QUERY_PERCENT = 4, 85
 WORDS, PERCENT = 5, 80
 
 #: Sets of a chunk, and their elements together, about.
-CHUNK_SETS = 128
+CHUNK_SETS = 192
 CHUNK_ELEMENTS = 400_000
 
 
@@ -85,27 +87,30 @@ class Bands:
         self.percent = percent
         self.ends = [1]
 
+    def _more(self) -> None:
+        self.ends.append(max(self.ends[-1] + 1, self.ends[-1] * 100 // self.percent))
+
     def of(self, size: int) -> int:
         while self.ends[-1] < size:
-            self.ends.append(max(self.ends[-1] + 1, self.ends[-1] * 100 // self.percent))
-        return int(np.searchsorted(self.ends, size))
+            self._more()
+        return bisect_left(self.ends, size)
 
     def segments(self, band: int) -> int:
-        self.of(self.ends[-1] + 1) if band >= len(self.ends) else None
+        while len(self.ends) <= band:
+            self._more()
         return 2 * self.ends[band] * (100 - self.percent) // (100 + self.percent) + 1
 
 
 def route_hashes(s: np.ndarray, bands: Bands) -> np.ndarray:
     """The hashes that a set sends; linked sets have one in common at least."""
     own = bands.of(len(s))
-    bands.of(bands.ends[-1] + 1)
-    return np.concatenate([_segment_hashes(s, j, bands.segments(j)) for j in (own, own + 1)])
+    element = mix(s + U64(1))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(element)])
+    return np.concatenate([_segment_hashes(s, element, sums, j, bands.segments(j)) for j in (own, own + 1)])
 
 
-def _segment_hashes(s: np.ndarray, band: int, k: int) -> np.ndarray:
-    element = mix(s + U64(band))
-    cut = np.searchsorted(((s >> U64(32)) * U64(k)) >> U64(32), np.arange(k + 1))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(element)])
+def _segment_hashes(s: np.ndarray, element: np.ndarray, sums: np.ndarray, band: int, k: int) -> np.ndarray:
+    cut = np.searchsorted(((s >> U64(32)) * U64(k)) >> U64(32), np.arange(k + 1, dtype=np.uint64))
     total, count = sums[cut[1:]] - sums[cut[:-1]], np.diff(cut)
     place = mix(np.arange(k, dtype=np.uint64) + (U64(band + 1) << U64(32)))
     whole = mix(total + place * (count.astype(np.uint64) * U64(2) + U64(1)))
@@ -126,6 +131,19 @@ def needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+@dataclass
+class _Node:
+    """A merged path of the tree and the sets lo..hi (in tree order) below it."""
+
+    path: np.ndarray
+    lo: int
+    hi: int
+    end: int  # elements from the root to the end of the path
+    least: int  # sizes of the sets
+    most: int
+    children: list
+
+
 class PrefixTree:
     """Sorted sets in a prefix tree with merged paths."""
 
@@ -133,57 +151,58 @@ class PrefixTree:
         self.sets = sets
         keys = [s.astype(">u8").tobytes() for s in sets]
         self.order = sorted(range(len(sets)), key=keys.__getitem__)
-        sizes = np.array([len(sets[i]) for i in self.order])
         common = [0]
         for x, y in zip(self.order, self.order[1:]):
             a, b = sets[x], sets[y]
             n = min(len(a), len(b))
             differ = np.flatnonzero(a[:n] != b[:n])
             common.append(int(differ[0]) if len(differ) else n)
-        self.common = np.array(common)
-        self.sizes = sizes
-        self.root = self._node(0, len(sets), 0)
-
-    def _node(self, lo: int, hi: int, depth: int):
-        """(path, lo, hi, end depth, least size, most size, children) of the sets lo..hi in order."""
-        first = self.sets[self.order[lo]]
-        end = len(first) if hi - lo == 1 else int(min(self.common[lo + 1 : hi].min(), self.sizes[lo:hi].min()))
-        children = []
-        if hi - lo > 1:
-            # a set that ends here stands first; the others part where neighbours have no more in common
-            starts = [lo, *(lo + 1 + np.flatnonzero(self.common[lo + 1 : hi] <= end)), hi]
-            children = [(int(i), int(j)) for i, j in zip(starts, starts[1:])]
-        return [first[depth:end], lo, hi, end, int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max()), children]
-
-    def walk(self, x: np.ndarray, percent: int, skip, found) -> None:
-        """Call ``found(i)`` for the sets linked with ``x``; ``skip(lo, hi)`` tells that a
-        range of sets (in tree order) needs no look."""
-        todo = [(self.root, 0)]
+        self.common, self.sizes = np.array(common), np.array([len(sets[i]) for i in self.order])
+        self.root = _Node(np.zeros(0, np.uint64), 0, len(sets), 0, int(self.sizes.min()), int(self.sizes.max()), [])
+        todo = [self.root]
+        while todo:
+            node = todo.pop()
+            if node.hi - node.lo > 1:
+                # a set that ends here stands first; the others part where neighbours have no more in common
+                starts = [node.lo, *(node.lo + 1 + np.flatnonzero(self.common[node.lo + 1 : node.hi] <= node.end)).tolist(), node.hi]
+                node.children = [self._node(i, j, node.end) for i, j in zip(starts, starts[1:])]
+                todo += node.children
+
+    def _node(self, lo: int, hi: int, depth: int) -> _Node:
+        first, sizes = self.sets[self.order[lo]], self.sizes[lo:hi]
+        end = len(first) if hi - lo == 1 else min(int(self.common[lo + 1 : hi].min()), int(sizes.min()))
+        return _Node(first[depth:end], lo, hi, end, int(sizes.min()), int(sizes.max()), [])
+
+    def walk(self, at: int, percent: int, skip, found) -> None:
+        """Call ``found(i)`` for the sets before place ``at`` in tree order that are linked
+        with the one there; ``skip(lo, hi)`` tells that a range of places needs no look."""
+        x = self.sets[self.order[at]]
         n = len(x)
+        todo = [(self.root, 0, 0)]  # with the overlap so far and the elements of x passed
         while todo:
-            (path, lo, hi, end, least, most, children), overlap = todo.pop()
-            if 100 * least > (100 * n * 100) // percent + 100 or 100 * most < percent * n or skip(lo, hi):
+            node, overlap, passed = todo.pop()
+            if node.lo >= at or percent * node.least > 100 * n or 100 * node.most < percent * n or skip(node.lo, min(node.hi, at)):
                 continue
-            if len(path):
-                at = np.searchsorted(x, path)
-                overlap += int((x[np.minimum(at, n - 1)] == path).sum())
-                left = n - int(np.searchsorted(x, path[-1], side="right"))
-            else:
-                left = n if end == 0 else n - int(np.searchsorted(x, self.sets[self.order[lo]][end - 1], side="right"))
-            if overlap + min(left, most - end) < needed(n, least, percent):
+            if len(node.path):
+                rest = x[passed:]
+                place = rest.searchsorted(node.path)
+                hit = rest.take(place, mode="clip") == node.path if len(rest) else np.zeros(len(place), bool)
+                overlap += int(np.count_nonzero(hit))
+                passed += int(place[-1]) + int(hit[-1])
+            if overlap + min(n - passed, node.most - node.end) < needed(n, node.least, percent):
                 continue
-            if hi - lo == 1:
-                if 100 * overlap >= percent * (n + least - overlap):
-                    found(lo)
+            if not node.children:
+                if 100 * overlap >= percent * (n + node.least - overlap):
+                    found(node.lo)
                 continue
-            todo += [(self._node(i, j, end), overlap) for i, j in reversed(children)]
+            todo += [(child, overlap, passed) for child in reversed(node.children)]
 
 
 def tree_links(sets: list[np.ndarray], percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links (index pairs) that join the sets of a task to the components they form, given
     the components (``labels``) that they are in already."""
     tree = PrefixTree(sets)
-    parent = list(range(len(sets)))
+    parent = list(range(len(sets)))  # by place in the tree
 
     def top(i: int) -> int:
         while parent[i] != i:
@@ -193,21 +212,21 @@ def tree_links(sets: list[np.ndarray], percent: int, labels: list[int] | None =
 
     if labels is not None:
         first: dict[int, int] = {}
-        for i, label in enumerate(labels):
-            parent[top(i)] = top(first.setdefault(label, i))
+        for at, i in enumerate(tree.order):
+            parent[top(at)] = top(first.setdefault(labels[i], at))
     links = []
-    for i, x in enumerate(sets):
-        def skip(lo, hi, i=i):
-            own = top(i)
-            return all(top(j) == own for j in tree.order[lo:hi])
-
-        def found(at, i=i):
-            j = tree.order[at]
-            if top(i) != top(j):
-                links.append((i, j))
-                parent[top(i)] = top(j)
-
-        tree.walk(x, percent, skip, found)
+    for at in range(1, len(sets)):
+
+        def skip(lo, hi, at=at):
+            own = top(at)
+            return all(top(j) == own for j in range(lo, hi))
+
+        def found(j, at=at):
+            if top(at) != top(j):
+                links.append((tree.order[at], tree.order[j]))
+                parent[top(at)] = top(j)
+
+        tree.walk(at, percent, skip, found)
     return links
 
 
