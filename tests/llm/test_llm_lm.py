@@ -51,3 +51,20 @@ def test_good_documents_score_lower(spark):
     got = lm.op6_cross_entropy(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id")
     mean = {r.quality: r[1] for r in got.groupBy("quality").avg("score").collect()}
     assert mean[1] < mean[0] and got.count() == 399
+
+
+@pytest.mark.parametrize("kept", [(16, 1000), (16, 3, 5), (16, 0, 0)])
+def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, kept):
+    """More words and pairs than any table was given room for, kept by the tasks or joined."""
+    rows = [(i, " ".join(f"w{(i * k * k + k) % 211}" for k in range(40))) for i in range(60)] + ROWS[:6] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    targets = set(range(0, 60, 3))
+    got = lm.score(df, lm.count_models(df, spark.createDataFrame([(i,) for i in targets], "doc_id long"), *kept)).collect()
+    words = {w for _, t in rows for w in (t or "").lower().split()}
+    monkeypatch.setitem(globals(), "W", len(words))
+    got = sorted(((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in got), key=str)
+    want = brute(rows, targets)
+    assert len(got) == len(want) and len(words) > 200
+    for a, b in zip(got, want):
+        assert a[:2] == b[:2]
+        assert a[2:] == b[2:] if b[2] is None else a[2:] == pytest.approx(b[2:], rel=1e-6)
