@@ -232,7 +232,7 @@ def tree_links(sets: list[np.ndarray], percent: int, labels: list[int] | None =
 
 # ------------------------------------------------------------------ Spark
 def _classes(documents: DataFrame, words: int) -> DataFrame:
-    """(doc, n, class) of every row; an empty set has no class."""
+    """(doc, n, class, digest of the text) of every row; an empty set has no class."""
 
     def run(batches):
         for batch in batches:
@@ -240,15 +240,16 @@ def _classes(documents: DataFrame, words: int) -> DataFrame:
             for i, j in blocks(texts):
                 sets = ngram_sets(texts[i:j], words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[i:j], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc", "n", "class"],
+                    [pa.array(docs[i:j], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), batch.column("digest").slice(i, j - i)],
+                    names=["doc", "n", "class", "digest"],
                 )
 
-    return _ided(documents).mapInArrow(run, "doc bigint, n bigint, class bigint")
+    return _ided(documents).mapInArrow(run, "doc bigint, n bigint, class bigint, digest bigint")
 
 
 def _ided(documents: DataFrame) -> DataFrame:
-    return documents.select(order_id("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return documents.select(order_id("doc_id").alias("doc"), text.alias("text"), F.xxhash64(text).alias("digest"))
 
 
 def _routes(documents: DataFrame, words: int, percent: int) -> DataFrame:
@@ -355,14 +356,18 @@ def components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def keep_one(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``documents`` without near duplicates: of each component the rows of its smallest
-    doc_id stay, one row if they repeat each other. Empty texts all stay."""
-    found = components(documents, words, percent)
-    stay = found.where("doc = component_doc").groupBy("doc").agg(F.max(F.col("class").isNull().cast("int")).alias("empty"), F.max(F.col("class").isNotNull().cast("int")).alias("full"))
-    rows = documents.select(F.struct("*").alias("_row"), order_id("doc_id").alias("doc"), F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) > 0, F.lit(False)).alias("words"))
-    joined = rows.join(stay, "doc").where((F.col("words") & (F.col("full") == 1)) | (~F.col("words") & (F.col("empty") == 1)))
-    again = F.row_number().over(Window.partitionBy("doc", "words").orderBy(F.xxhash64("_row"), F.col("_row.text")))
-    return joined.withColumn("again", again).where("again = 1 or not words").select("_row.*")
+    """``documents`` without near duplicates: of each component one row stays, one of its
+    smallest doc_id. Rows of one doc_id, or without any, whose texts are not linked are
+    components of their own and all stay, as do all empty texts."""
+    classes = materialize(_classes(documents, words), "join_classes")
+    linked = class_components(documents, classes, words, percent)
+    by_class = classes.where("class is not null").groupBy("class").agg(F.min(F.struct("doc", "class", "digest")).alias("first"))
+    named = by_class.join(linked, "class", "left").groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("first").alias("first"))
+    stay = materialize(named.select("first.doc", "first.digest"), "join_stay")
+    rows = documents.select(F.struct("*").alias("_row"), order_id("doc_id").alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("digest"), F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) > 0, F.lit(False)).alias("words"))
+    # Rows of one doc_id and text shrink to one before they meet.
+    one = rows.where("words").groupBy("doc", "digest").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return one.join(stay, ["doc", "digest"]).select("_row.*").union(rows.where(~F.col("words")).select("_row.*"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

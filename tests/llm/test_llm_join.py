@@ -102,3 +102,17 @@ def test_odd_rows_and_split_blocks(spark, monkeypatch):
     want = {(i, c) for i, n, c in brute(rows, 4, 85) if i == c}
     assert kept.columns == df.columns and {str(r.doc_id) for r in kept.collect()} == {i for i, _ in want}
     assert nj.components(df.limit(0)).count() == 0 and nj.keep_one(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_stay_unless_linked(spark):
+    text = lambda k: " ".join(f"t{k}x{i}" for i in range(30))
+    rows = [(None, text(k)) for k in range(6)]  # six texts without an id
+    rows += [(None, text(0)), (None, text(1) + " tail"), (None, text(7)), (3, text(7))]  # copies of those and of a real id
+    rows += [(4, text(8)), (4, text(9)), (4, text(9)), (5, text(9)), (6, text(8) + " tail")]  # two texts under one id
+    rows += [(None, ""), (None, None), (4, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in nj.keep_one(df, 4, 85).collect()]
+    assert len(kept) == len(set(kept)) == 6 + 1 + 2 + 3
+    texts = {t: i for i, t in kept if t and t.strip()}
+    assert {k for k in range(10) if text(k) in texts or text(k) + " tail" in texts} == set(range(10)) - {6}
+    assert texts[text(7)] == 3 and texts[text(8)] == texts[text(9)] == 4
