@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from demandlens.llm.tables import labelled_sample, table
 from demandlens.llm.text import U64, Words, as_bytes, mix
+from demandlens.session import materialize
 
 # Fixed values of the query.
 FOLDS, HELD_OUT = 3, 1
@@ -45,6 +46,8 @@ MAX_ORDINARY = 5000
 EVIDENCE = 18.0
 LEAST_ODDS = 3.0
 STEM_CHARS = range(4, 8)
+#: Letters of the terms that match with one sign or digit wrong, too many or swapped only.
+MASKED_CHARS = 4
 #: Words before and after a hit that make its context.
 CONTEXT = 6
 EDIT_DISCOUNT = 0.7
@@ -64,6 +67,11 @@ def edits_allowed(term: str, stem: bool) -> int:
     return 0 if n < 5 else 1 if n < 10 else 2
 
 
+def own_edits(word: str, stem: str) -> bool:
+    """Whether a word has misspellings of its own that a stem it starts with does not match."""
+    return edits_allowed(word, False) > edits_allowed(stem, True) or len(word) == MASKED_CHARS
+
+
 # ------------------------------------------------------------------ automaton
 @dataclass
 class _Node:
@@ -81,6 +89,12 @@ class LexiconAutomaton:
 
     def __init__(self, terms: list[tuple[str, bool, float]]):
         self.nodes = [_Node()]
+        self.short = {term: weight for term, stem, weight in terms if not stem and len(term) == MASKED_CHARS}
+        self.masked: dict[tuple[int, str], float] = {}
+        for term, weight in self.short.items():
+            for i in range(MASKED_CHARS):
+                key = (i, term[:i] + term[i + 1 :])
+                self.masked[key] = max(weight, self.masked.get(key, weight))
         for term, stem, weight in terms:
             at, allowed, path = 0, edits_allowed(term, stem), [0]
             for c in term:
@@ -144,8 +158,22 @@ class LexiconAutomaton:
         self.steps[state][c] = out
         return out
 
+    def _masked(self, word: str) -> tuple[float, int] | None:
+        """A short term with one sign or digit in it that stands for a letter, is too many or
+        has changed places."""
+        found = []
+        for i, c in enumerate(word):
+            if not c.isalpha():
+                less = word[:i] + word[i + 1 :]
+                found += [self.masked.get((i, less)) if len(word) == MASKED_CHARS else self.short.get(less)]
+                found += [self.short.get(word[:j] + word[j + 1] + word[j] + word[j + 2 :]) for j in (i - 1, i) if 0 <= j < len(word) - 1]
+        best = max((w for w in found if w), default=None)
+        return (best, 1) if best else None
+
     def match(self, word: str) -> tuple[float, int] | None:
         state, best = self.start, None
+        if MASKED_CHARS <= len(word) <= MASKED_CHARS + 1 and word not in self.short and not word.isalpha():
+            best = self._masked(word)
         better = lambda a, b: a if a and (b is None or a[0] * EDIT_DISCOUNT ** a[1] > b[0] * EDIT_DISCOUNT ** b[1]) else b
         for c in word:
             following = self.steps[state].get(c)
@@ -253,16 +281,15 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
     if not n_toxic or not n_clean:
         return []
     counts = sample.select("text", "y").mapInArrow(_term_counts, "term string, stem boolean, toxic bigint, clean bigint").groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = materialize(counts.where("toxic >= 3"), "lexicon_counts")
     share = n_toxic / (n_toxic + n_clean)
     n = F.col("toxic") + F.col("clean")
     part = lambda k, p: F.when(k > 0, k * F.log(k / n / p)).otherwise(0.0)
     evidence = part(F.col("toxic"), share) + part(F.col("clean"), 1 - share)
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1)))
-    rows = (
-        counts.where("toxic >= 3").select("term", "stem", "toxic", evidence.alias("evidence"), odds.alias("odds"))
-        .where((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= LEAST_ODDS))
-        .orderBy(F.col("evidence").desc(), "term", "stem").limit(5 * MAX_TERMS).collect()
-    )
+    found = counts.select("term", "stem", "toxic", evidence.alias("evidence"), odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS)
+    # Of stems with the same evidence, the longest: it says most and allows edits.
+    rows = found.where(F.col("evidence") >= EVIDENCE).orderBy(F.col("evidence").desc(), F.length("term").desc(), "term", "stem").limit(5 * MAX_TERMS).collect()
     words = {r.term: r for r in rows if not r.stem}
     stems: dict[str, object] = {}
     for r in rows:
@@ -272,6 +299,11 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
                 stems[r.term] = r
     out = [(r.term, True, min(8.0, r.odds)) for r in stems.values()]
     out += [(w, False, min(8.0, r.odds)) for w, r in words.items() if not any(w.startswith(s) for s in stems)]
+    # The stem's evidence is that of its forms; they stay where they match misspellings that it does not.
+    if stems:
+        start = F.array(*[F.substring("term", 1, n) for n in STEM_CHARS])
+        forms = found.where(~F.col("stem") & F.arrays_overlap(start, F.array(*[F.lit(s) for s in stems]))).orderBy(F.col("toxic").desc(), "term").collect()
+        out += [(r.term, False, min(8.0, r.odds)) for r in forms if all(own_edits(r.term, s) for s in stems if r.term.startswith(s))]
     return out[:MAX_TERMS]
 
 

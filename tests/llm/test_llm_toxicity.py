@@ -66,3 +66,19 @@ def test_odd_rows(spark):
     assert len(got) == 7 and by[1] > 0.7 and by[2] > 0.3 and max(by[3], by[4], by[6], by[None]) < 0.2 and by[3] == by[4]
     none = tx.fit(df, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
     assert all(r.score < 1e-9 for r in tx.toxicity(odd, none).collect()) and tx.toxicity(odd.limit(0), none).count() == 0
+
+
+def test_masked_short_terms():
+    a = tx.LexiconAutomaton([("fool", False, 2.0)])
+    assert all(a.match(w) == (2.0, 1) for w in ("f0ol", "fo*l", "fo*ol", "1ool")) and a.match("fool") == (2.0, 0)
+    assert not any(a.match(w) for w in ("foul", "pool", "fol", "ofol", "f00l", "fooll", "f*o*l"))
+
+
+def test_inflected_terms_keep_their_edits(spark):
+    """Stems of equal evidence: the longest; forms of a stem without edits have theirs."""
+    forms = ["grobianly", "grobianic"], ["idiot", "idiots"]
+    rows = [(f"{forms[0][i % 2]} {forms[1][i % 2]} a{i}", 1) for i in range(40)] + [(f"plain words b{i}", 0) for i in range(40)]
+    terms = tx.learn_lexicon(spark.createDataFrame(rows, "text string, y int"), 40, 40)
+    assert {t for t, stem, _ in terms if stem} == {"grobian", "idio"}
+    a = tx.LexiconAutomaton(terms)
+    assert all(a.match(w)[1] == 1 for w in ("gxobianly", "robianic", "ixiot", "id*ots", "idi0t")) and a.match("idiotic")[1] == 0
