@@ -11,6 +11,7 @@ from demandlens.llm.ngram_join import OP8_SQL, op8_ngram_join
 from demandlens.llm.quality_rules import op10_quality_rules
 from demandlens.llm.sharding import OP1_SQL, op1_lookup_sharding
 from demandlens.llm.suffix_dedup import op4_suffix_dedup
+from demandlens.llm.token_align import op12_token_align
 from demandlens.llm.topk_search import OP5_SQL, op5_nra_topk
 from demandlens.llm.toxicity import op3_toxicity
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "op12_token_align": op12_token_align,
     "pipeline": corpus_pipeline.run,
 }
 
