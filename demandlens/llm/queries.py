@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from demandlens.llm.bpe import op9_byte_bpe
+from demandlens.llm.chat_repair import op13_chat_repair
 from demandlens.llm.chat_windows import op11_chat_windows
 from demandlens.llm.entropy_mix import op2_entropy_mix
 from demandlens.llm.line_dedup import OP7_SQL, op7_line_dedup
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_chat_windows": op11_chat_windows,
     "op12_token_align": op12_token_align,
+    "op13_chat_repair": op13_chat_repair,
     "pipeline": corpus_pipeline.run,
 }
 
