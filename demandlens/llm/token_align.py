@@ -29,6 +29,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,9 @@ VOCABULARY_B = "piece_bpe_32k.model"
 #: Characters of a lane, and of one round of lanes (a longer text takes several rounds).
 LANE_CHARS = 512
 SLICE_CHARS = 1 << 20
-#: Tokens of remembered units in a task; the store is emptied beyond that.
-STORED_TOKENS = 1 << 21
+#: Units that a task remembers, and their tokens; the store is emptied beyond that.
+STORED_UNITS = 1 << 19
+STORED_TOKENS = 1 << 24
 #: Pairs that are broadcast (17 bytes each); the others are joined by shuffle.
 FREQUENT_PAIRS = 1 << 20
 
@@ -105,39 +107,72 @@ def piece_model(path: str) -> Vocabulary:
     return Vocabulary(lambda units: model.encode(units, num_threads=1), token, not joins)
 
 
+class _Rows:
+    """Rows of 32-bit ids, appended in batches and read by number."""
+
+    def __init__(self):
+        self.ids, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+        self.n_ids = self.n = 0
+
+    def append(self, rows: list[list[int]]) -> np.ndarray:
+        """Add rows; returns their lengths."""
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        total = int(lengths.sum())
+        self.ids, self.ends = _room(self.ids, self.n_ids + total), _room(self.ends, self.n + len(rows))
+        self.ids[self.n_ids : self.n_ids + total] = np.fromiter(chain.from_iterable(rows), np.int32, total)
+        self.ends[self.n : self.n + len(rows)] = self.n_ids + np.cumsum(lengths)
+        self.n_ids, self.n = self.n_ids + total, self.n + len(rows)
+        return lengths
+
+    def read(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the rows in order, end of each row among them)."""
+        starts = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        lengths = self.ends[numbers] - starts
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])], ends
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+
 class Units:
     """The remembered units of a task: ids on both sides, and whether both give the bytes back."""
 
     def __init__(self, a: Vocabulary, b: Vocabulary):
-        self.sides = (a, b)
+        self.vocabularies = (a, b)
         self._empty()
 
     def _empty(self) -> None:
         self.at: dict[str, int] = {}
-        self.ids: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
-        self.ok: list[bool] = []
-        self.tokens = 0
+        self.sides = (_Rows(), _Rows())
+        self.ok = np.zeros(1 << 14, bool)
 
     def lookup(self, units: list[str]) -> np.ndarray:
         """Number of every unit in the store."""
-        if self.tokens > STORED_TOKENS:
+        if self.sides[0].n > STORED_UNITS or self.sides[0].n_ids + self.sides[1].n_ids > STORED_TOKENS:
             self._empty()
-        new = [u for u in dict.fromkeys(units) if u not in self.at]
-        found = [side.encode(new) for side in self.sides]
-        for u, ids_a, ids_b in zip(new, *found):
-            self.at[u] = len(self.ok)
-            want = b" " + u.encode()
-            self.ok.append(all(b"".join(map(s.token.__getitem__, ids)) == want for s, ids in zip(self.sides, (ids_a, ids_b))))
-            self.ids[0].append(np.array(ids_a, np.int32))
-            self.ids[1].append(np.array(ids_b, np.int32))
-            self.tokens += len(ids_a) + len(ids_b) + 8
-        return np.fromiter(map(self.at.__getitem__, units), np.int64, len(units))
-
-    def tokens_of(self, numbers: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids in order, end of each unit among them)."""
-        store = self.ids[side]
-        parts = [store[k] for k in numbers.tolist()]
-        return np.concatenate(parts), np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        at = self.at
+        new = [u for u in dict.fromkeys(units) if u not in at]
+        if new:
+            n = len(at)
+            at.update(zip(new, range(n, n + len(new))))
+            self.ok = _room(self.ok, n + len(new))
+            want = [b" " + u.encode() for u in new]
+            self.ok[n : n + len(new)] = np.logical_and(*[self._append(k, new, want) for k in (0, 1)])
+        return np.fromiter(map(at.__getitem__, units), np.int64, len(units))
+
+    def _append(self, side: int, new: list[str], want: list[bytes]) -> np.ndarray:
+        """Encode units on one side; tells which give their bytes back."""
+        v = self.vocabularies[side]
+        rows = v.encode(new)
+        lengths = self.sides[side].append(rows)
+        sizes = np.concatenate([[0], np.cumsum(v.size[np.fromiter(chain.from_iterable(rows), np.int64, int(lengths.sum()))])])
+        ends = np.cumsum(lengths)
+        same = sizes[ends] - sizes[ends - lengths] == np.fromiter(map(len, want), np.int64, len(want))
+        if same.all() and b"".join(map(v.token.__getitem__, chain.from_iterable(rows))) == b"".join(want):
+            return same
+        return np.fromiter((b"".join(map(v.token.__getitem__, ids)) == w for ids, w in zip(rows, want)), bool, len(want))
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, lanes_a: np.ndarray, lanes_b: np.ndarray):
@@ -186,7 +221,7 @@ class Aligner:
         """Align slices (lists of units); None for one that does not give its bytes back."""
         flat = [u for units in slices for u in units]
         numbers = self.units.lookup(flat)
-        ok = np.array(self.units.ok)[numbers]
+        ok = self.units.ok[numbers]
         first = np.concatenate([[0], np.cumsum([len(s) for s in slices])])
         good = np.logical_and.reduceat(ok, first[:-1])
         out: list[Slice | None] = [None] * len(slices)
@@ -196,8 +231,8 @@ class Aligner:
         keep = np.repeat(good, np.diff(first))
         numbers = numbers[keep]
         chars = np.fromiter(map(len, flat), np.int64, len(flat))[keep]
-        ids_a, ends_a = self.units.tokens_of(numbers, 0)
-        ids_b, ends_b = self.units.tokens_of(numbers, 1)
+        ids_a, ends_a = self.units.sides[0].read(numbers)
+        ids_b, ends_b = self.units.sides[1].read(numbers)
         # Units at which the used slices begin, and those at which lanes do.
         slice_at = np.concatenate([[0], np.cumsum(np.diff(first)[use])])
         within = np.cumsum(chars) - chars

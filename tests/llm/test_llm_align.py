@@ -69,7 +69,7 @@ def test_slices_and_lanes_do_not_change_the_result(monkeypatch):
     for lane, slice_, stored in ((8, 50, 10), (512, 300, 1 << 20), (1 << 20, 1 << 20, 0)):
         monkeypatch.setattr(ta, "LANE_CHARS", lane)
         monkeypatch.setattr(ta, "SLICE_CHARS", slice_)
-        monkeypatch.setattr(ta, "STORED_TOKENS", stored)
+        monkeypatch.setattr(ta, "STORED_UNITS", stored)
         assert [flat(r) for r in ta.Aligner(A, B).texts(texts)] == want
 
 
