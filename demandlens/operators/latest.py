@@ -98,3 +98,44 @@ def period_growth(
     prev = F.when(goes_on, F.col("_dl_carry")).otherwise(F.col("_dl_prev"))
     joined = local.join(F.broadcast(before), pid, "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(value) - prev).alias(name))
+
+
+def growth_from_last(
+    rows: DataFrame,
+    last: DataFrame | None,
+    entity,
+    time: str,
+    value: str,
+    tie=(),
+    name: str = "growth",
+) -> tuple[DataFrame, DataFrame]:
+    """(growth of ``rows``, the new last rows): one run of a growth that goes on between runs.
+
+    ``last`` holds each entity's greatest (time, *tie) row so far with ``value``, as the run
+    before returned it; it seeds the LAG, so no older row is read. Runs over slices in time
+    order give together what one run over all rows gives. Rows that are older than their
+    entity's last one would change growth that has been given out: :func:`late_entities`
+    finds them, their entities are to be rebuilt from all rows.
+    """
+    entity, order = as_list(entity), [time, *as_list(tie)]
+    kept = list(dict.fromkeys([*entity, *order, value]))
+    if last is not None:
+        seeds = last.select(*kept, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in kept])
+        both = rows.select("*", F.lit(False).alias("_dl_seed")).unionByName(seeds.withColumn("_dl_seed", F.lit(True)))
+    else:
+        both = rows.select("*", F.lit(False).alias("_dl_seed"))
+    out = period_growth(both, entity, time, value, tie=tie, name=name).where(~F.col("_dl_seed")).drop("_dl_seed")
+    place = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])  # the order of the LAG, NULLs last
+    carried = [c for c in kept if c not in entity]
+    ends = both.groupBy(*entity).agg(F.max_by(F.struct(*carried), place).alias("_dl_last"))
+    return out, ends.select(*entity, *[F.col(f"_dl_last.`{c}`").alias(c) for c in carried])
+
+
+def late_entities(rows: DataFrame, last: DataFrame, entity, time: str, tie=()) -> DataFrame:
+    """Entities with a row that is not after their last one (NULL times sort last)."""
+    entity, order = as_list(entity), [time, *as_list(tie)]
+    place = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
+    least = rows.groupBy(*entity).agg(F.min(place).alias("_dl_least"))
+    before = last.select(*[F.col(c).alias(f"_dl_of_{i}") for i, c in enumerate(entity)], place.alias("_dl_last"))
+    same = [F.col(c).eqNullSafe(F.col(f"_dl_of_{i}")) for i, c in enumerate(entity)]
+    return least.join(before, [*same, F.col("_dl_least") <= F.col("_dl_last")], "left_semi").select(*entity)

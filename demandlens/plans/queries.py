@@ -7,19 +7,23 @@ all the work after that is the library's own silver / gold / operator code.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.functions.durations import iso_duration_seconds
 from demandlens.functions.rates import comment_rate, engagement_rate, like_rate
-from demandlens.operators.checks import check_not_null, check_references, check_unique, union_checks
+from demandlens.operators.checks import check_references, check_table, union_checks
 from demandlens.operators.incremental import pending_keys, select_keys
 from demandlens.operators.keys import dedupe_first, dense_ids, request_batches
-from demandlens.operators.latest import latest_batch_top_k, latest_snapshot, period_growth
+from demandlens.operators.latest import growth_from_last, latest_batch_top_k, latest_snapshot, period_growth
+from demandlens.operators.sketches import distinct_sketches, estimate, merge_sketches
+from demandlens.operators.stable_ids import IdStore
 from demandlens.plans import gold, silver, standins
-from demandlens.session import materialize
+from demandlens.session import checkpoint_root, materialize
 from demandlens.sources.responses import ingest_search, ingest_statistics
 from demandlens.sources.sections import parse_sections, sections_to_bronze
 
@@ -272,21 +276,60 @@ def flatten_statistics_q(spark, sf_dir):
 
 
 def data_checks(spark, sf_dir):
-    """Not-null, uniqueness and reference checks over the silver tables, one aggregate job each."""
+    """Not-null, uniqueness and reference checks over the silver tables: one scan for all counts of
+    a table, one anti-join a reference."""
     s = Silver(spark, sf_dir)
     return union_checks([
-        check_not_null(s.search, ["video_id", "keyword_id", "searched_at"], "silver_search_results"),
-        check_not_null(s.stats, ["video_id", "retrieved_at"], "silver_video_statistics"),
-        check_unique(s.keywords, ["keyword_id"], "silver_keywords"),
-        check_unique(s.keywords, ["keyword"], "silver_keywords"),
-        check_unique(s.search, ["search_result_id"], "silver_search_results"),
-        check_unique(s.stats, ["video_id", "retrieved_at"], "silver_video_statistics"),
+        check_table(s.search, "silver_search_results", ["video_id", "keyword_id", "searched_at"], ["search_result_id"]),
+        check_table(s.stats, "silver_video_statistics", ["video_id", "retrieved_at"], [["video_id", "retrieved_at"]]),
+        check_table(s.keywords, "silver_keywords", [], ["keyword_id", "keyword"]),
         check_references(s.search, s.keywords, "keyword_id", "silver_search_results"),
         check_references(s.trends, s.census, "region_id", "silver_google_trends"),
         check_references(s.stats, s.search, "video_id", "silver_video_statistics"),
     ])
 
 
+def stable_ids(spark, sf_dir):
+    """Ids over two runs: the finished orders first, then all orders, which leaves the ids given before."""
+    orders = standins.table(spark, sf_dir, "orders")
+    store = IdStore(spark, f"{checkpoint_root(spark)}/demandlens/ids-{uuid.uuid4().hex}")
+    store.number(orders.where("o_orderstatus = 'F'"), ["o_orderdate", "o_orderkey"], "order_seq")
+    return store.number(orders, ["o_orderdate", "o_orderkey"], "order_seq")
+
+
+GROWTH_RUNS = 4
+
+
+def growth_in_runs(spark, sf_dir):
+    """Growth of events given out in runs over successive times, each seeded by the stored last rows."""
+    ev = standins.table(spark, sf_dir, "events")
+    bounds = ev.agg(F.min("ts").alias("least"), F.max("ts").alias("most"))
+    part = F.floor(F.lit(GROWTH_RUNS) * (F.col("ts").cast("timestamp").cast("double") - F.col("least").cast("timestamp").cast("double"))
+                   / (F.col("most").cast("timestamp").cast("double") - F.col("least").cast("timestamp").cast("double") + 1))
+    run = F.coalesce(part, F.lit(GROWTH_RUNS - 1))
+    dealt = ev.join(F.broadcast(bounds)).withColumn("run", run).drop("least", "most")
+    given, last = [], None
+    for k in range(GROWTH_RUNS):
+        rows, ends = growth_from_last(dealt.where(F.col("run") == k).drop("run"), last, "user_id", "ts", "value", tie=["event_id"])
+        last = materialize(ends, "growth_last")
+        given.append(materialize(rows, "growth_run"))
+    return reduce(DataFrame.unionByName, given)
+
+
+SKETCH_ERROR = 0.03
+
+
+def approx_distinct(spark, sf_dir):
+    """Distinct parts by return flag from monthly sketches: the exact count
+    and whether the merged sketches' estimate is within SKETCH_ERROR of it."""
+    li = standins.table(spark, sf_dir, "lineitem").withColumn("month", F.date_trunc("month", "l_shipdate"))
+    monthly = materialize(distinct_sketches(li, ["l_returnflag", "month"], "l_partkey"), "sketches")
+    merged = merge_sketches(monthly, ["l_returnflag"]).select("l_returnflag", estimate().alias("estimated"))
+    exact = li.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("distinct_parts"))
+    near = F.abs(F.col("estimated") - F.col("distinct_parts")) <= F.lit(SKETCH_ERROR) * F.col("distinct_parts")
+    return exact.join(merged, "l_returnflag").select("l_returnflag", "distinct_parts", near.alias("estimate_is_near"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_insights": channel_insights,
     "business_kpis": business_kpis,
@@ -317,6 +360,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_search": flatten_search_q,
     "flatten_statistics": flatten_statistics_q,
     "data_checks": data_checks,
+    "stable_ids": stable_ids,
+    "growth_in_runs": growth_in_runs,
+    "approx_distinct": approx_distinct,
 }
 
 __all__ = ["QUERIES", "Silver", "SilverLayer"]

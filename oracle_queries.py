@@ -311,6 +311,13 @@ FROM events"""
 DENSE_IDS = """SELECT ROW_NUMBER() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST) AS order_seq, *
 FROM orders"""
 
+STABLE_IDS = """SELECT ROW_NUMBER() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST)
+  + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') END AS order_seq, *
+FROM orders"""
+
+APPROX_DISTINCT = """SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS distinct_parts, TRUE AS estimate_is_near
+FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag"""
+
 DEDUPE_FIRST = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
   l_returnflag, l_linestatus, l_shipdate FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST,
@@ -570,6 +577,9 @@ def oracle_sql() -> dict[str, str]:
         "period_growth": PERIOD_GROWTH,
         "dense_ids": DENSE_IDS,
         "dedupe_first": DEDUPE_FIRST,
+        "stable_ids": STABLE_IDS,
+        "growth_in_runs": PERIOD_GROWTH,
+        "approx_distinct": APPROX_DISTINCT,
         "select_keywords": SELECT_KEYWORDS,
         "pending_ids": PENDING_IDS,
         "pending_ids_stale": PENDING_STALE,
