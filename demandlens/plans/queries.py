@@ -23,6 +23,7 @@ from demandlens.operators.latest import growth_from_last, latest_batch_top_k, la
 from demandlens.operators.sketches import distinct_sketches, estimate, merge_sketches
 from demandlens.operators.stable_ids import IdStore
 from demandlens.plans import gold, silver, standins
+from demandlens.plans.refresh import LiveReports
 from demandlens.session import checkpoint_root, materialize
 from demandlens.sources.responses import ingest_search, ingest_statistics
 from demandlens.sources.sections import parse_sections, sections_to_bronze
@@ -256,8 +257,7 @@ def stored_section_lines(spark, sf_dir):
 
 def section_lines_q(spark, sf_dir, lines=None):
     """Sectioned export lines -> header state, stop rule, score parsing -> first-wins de-duplication.
-
-    The parser reads its input twice (summary pass, row pass)."""
+    The parser reads its input once and writes the parsed rows before it settles them."""
     lines = lines or stored_section_lines(spark, sf_dir)
     rows = parse_sections(lines, order=standins.SECTION_ORDER)
     return sections_to_bronze(rows, order=standins.SECTION_ORDER, retrieved_at=standins.SECTIONS_RETRIEVED_AT)
@@ -330,6 +330,38 @@ def approx_distinct(spark, sf_dir):
     return exact.join(merged, "l_returnflag").select("l_returnflag", "distinct_parts", near.alias("estimate_is_near"))
 
 
+#: Fixture of the refreshed reports: search and statistics arrive in batches by these times.
+REFRESH_TIMES = ["1994-01-01 00:00:00", "1997-07-01 00:00:00"]
+
+
+def _batch_of(column: str):
+    at = F.col(column).cast("timestamp_ntz")
+    return reduce(lambda n, t: n + F.when(at >= F.lit(t).cast("timestamp_ntz"), 1).otherwise(0), REFRESH_TIMES, F.lit(0))
+
+
+def _refreshed(spark, sf_dir, report):
+    """A report that took all search rows and statistics in batches, one refresh each."""
+    s = Silver(spark, sf_dir)
+    dimensions = {n: materialize(f, f"refresh_{n}") for n, f in (("keywords", s.keywords), ("census", s.census), ("google_trends", s.trends))}
+    live = LiveReports(spark, f"{checkpoint_root(spark)}/demandlens/live-{uuid.uuid4().hex}", dimensions, growth_over="snapshots")
+    search, stats = standins.bronze_search_results(spark, sf_dir), standins.bronze_video_statistics(spark, sf_dir)
+    for k in range(len(REFRESH_TIMES) + 1):
+        live.refresh(search.where(_batch_of("searched_at") == k), stats.where(_batch_of("retrieved_at") == k), f"b{k}", as_of=AS_OF, reports=[report])
+    return live.report(report)
+
+
+def channel_insights_refreshed(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "channel_insights")
+
+
+def keyword_market_refreshed(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "keyword_market_analysis")
+
+
+def trending_refreshed(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "trending_analysis")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_insights": channel_insights,
     "business_kpis": business_kpis,
@@ -363,6 +395,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stable_ids": stable_ids,
     "growth_in_runs": growth_in_runs,
     "approx_distinct": approx_distinct,
+    "channel_insights_refreshed": channel_insights_refreshed,
+    "keyword_market_refreshed": keyword_market_refreshed,
+    "trending_refreshed": trending_refreshed,
 }
 
 __all__ = ["QUERIES", "Silver", "SilverLayer"]

@@ -31,14 +31,17 @@ def _cast(col, dtype: str, on_error: str):
     raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
 
 
-def silver_keywords(bronze_keywords: DataFrame, on_error: str = "fail") -> DataFrame:
-    """keyword_id, keyword, filename, ingested_at; ids follow (keyword, filename, ingested_at)."""
+def silver_keywords(bronze_keywords: DataFrame, on_error: str = "fail", number=dense_ids) -> DataFrame:
+    """keyword_id, keyword, filename, ingested_at; ids follow (keyword, filename, ingested_at).
+
+    ``number(rows, keys, name)`` gives the ids: dense ones of this rebuild, or those of an
+    :class:`~demandlens.operators.stable_ids.IdStore`, which stay between rebuilds."""
     base = bronze_keywords.select(
         "keyword",
         "filename",
         _cast(F.col("ingested_at"), TS, on_error).alias("ingested_at"),
     )
-    return dense_ids(base, ["keyword", "filename", "ingested_at"], "keyword_id")
+    return number(base, ["keyword", "filename", "ingested_at"], "keyword_id")
 
 
 def survey_year(columns: list[str]) -> int | None:
@@ -51,7 +54,7 @@ def survey_year(columns: list[str]) -> int | None:
     return None
 
 
-def silver_census(bronze_census: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_census(bronze_census: DataFrame, on_error: str = "fail", number=dense_ids) -> DataFrame:
     """Wide census headers renamed and cast; region_id follows (geography_id, area name).
 
     The year comes from the headers themselves (plan-time, from the schema), so a
@@ -73,7 +76,7 @@ def silver_census(bronze_census: DataFrame, on_error: str = "fail") -> DataFrame
             F.lit(year).cast("int").alias("survey_year"),
             *[name for _, name, _ in CENSUS_COLUMNS],
         )
-    return dense_ids(base, ["geography_id", "geographic_area_name", "total_population"], "region_id")
+    return number(base, ["geography_id", "geographic_area_name", "total_population"], "region_id")
 
 
 def silver_google_trends(
@@ -83,6 +86,7 @@ def silver_google_trends(
     normalize_keys: bool = False,
     on_error: str = "fail",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    number=dense_ids,
 ) -> DataFrame:
     """Interest rows keyed by keyword_id and region_id; unmatched names drop out."""
     t = lookup(bronze_trends, census, "region", "geographic_area_name", ["region_id"],
@@ -99,7 +103,7 @@ def silver_google_trends(
         _cast(F.col("retrieved_at"), TS, on_error).alias("retrieved_at"),
     )
     order = ["keyword_id", "region_id", "begin_date", "end_date", "filename", "retrieved_at", "interest_score"]
-    return dense_ids(base, order, "trend_id")
+    return number(base, order, "trend_id")
 
 
 def silver_search_results(
@@ -108,6 +112,7 @@ def silver_search_results(
     normalize_keys: bool = False,
     on_error: str = "fail",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    number=dense_ids,
 ) -> DataFrame:
     """Search rows keyed by keyword_id, times cast; ids follow (keyword, time, video, ...)."""
     s = lookup(bronze_search, keywords, "search_keyword", "keyword", ["keyword_id"],
@@ -124,7 +129,7 @@ def silver_search_results(
     )
     order = ["keyword_id", "searched_at", "video_id", "channel_id", "title", "description",
              "channel_title", "publish_time"]
-    return dense_ids(base, order, "search_result_id")
+    return number(base, order, "search_result_id")
 
 
 def silver_video_statistics(bronze_stats: DataFrame, strict_days: bool = False, on_error: str = "fail") -> DataFrame:

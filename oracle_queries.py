@@ -580,6 +580,9 @@ def oracle_sql() -> dict[str, str]:
         "stable_ids": STABLE_IDS,
         "growth_in_runs": PERIOD_GROWTH,
         "approx_distinct": APPROX_DISTINCT,
+        "channel_insights_refreshed": CHANNEL_INSIGHTS,
+        "keyword_market_refreshed": KEYWORD_MARKET,
+        "trending_refreshed": _trending("snapshots"),
         "select_keywords": SELECT_KEYWORDS,
         "pending_ids": PENDING_IDS,
         "pending_ids_stale": PENDING_STALE,
