@@ -21,14 +21,15 @@ result (it can turn that line into a header). The right strip of the last line
 cannot: it only matters when the line ends in " - " plus blanks, and such a
 line is the last one and never parses as a score.
 
-Scale: a file is never read into one row or one task. Lines are read split by
-split ("block"), and the input is read twice:
+Scale: a file is never read into one row or one task. Lines are read split by split
+("block"), once:
 
-* an aggregate pass builds one summary row per split (last header, stop flag,
-  whether it holds text, and the header reading of its first non-blank line);
-  a window over those small rows carries the state of all earlier splits;
-* a windowed pass over (file, split) carries the state line by line inside the
-  split and joins the carried state of the earlier splits.
+* a window over (file, split) carries the state line by line inside the split. Rows
+  before a split's first header go out as pending, and the split's last line carries its
+  summary (last header, stop flag, whether it holds text, the header reading of its first
+  non-blank line). Both are written, narrow, as one table;
+* a window over the summaries (one row a split) carries the state of all earlier splits. It is
+  joined to the written rows (broadcast while it is small) and settles them.
 
 A single huge file therefore spreads over as many tasks as it has splits.
 """
@@ -50,7 +51,9 @@ from demandlens.functions.text import (
     strip_ws,
 )
 from demandlens.functions.util import as_list
+from demandlens.operators.joins import bounded_broadcast
 from demandlens.operators.keys import dedupe_first
+from demandlens.session import materialize
 
 OUTPUT_COLUMNS = ["keyword", "region", "interest_score", "begin_date", "end_date", "filename", "retrieved_at"]
 DEDUP_KEYS = ["keyword", "region", "begin_date", "end_date"]
@@ -140,73 +143,80 @@ def parse_sections(
     """
     order = as_list(order)
     fb = [file_col, block_col]
-    pos = F.struct(*[F.col(c) for c in order])
-    line = F.col(line_col)
     # Parse every line once. A line with leading blanks is never a header as
     # read; only as the file's first non-blank line (left-stripped) can it be one,
     # so one reading of the left-stripped line serves both cases.
     lines = with_header(lines, line_col)
-    nonblank = F.col("_dl_nb")
-    raw_hdr = F.when(~F.col("_dl_lead"), F.col("_dl_hdr"))
-    raw_stop = ~F.col("_dl_lead") & F.col("_dl_stop")
-    adj_hdr = F.col("_dl_hdr")
-    adj_stop = F.col("_dl_stop")
-
-    # Pass 1: one summary row per split.
-    summary = lines.groupBy(*fb).agg(
-        F.max(nonblank.cast("int")).alias("_dl_has_text"),
-        F.max_by(raw_hdr, F.when(raw_hdr.isNotNull(), pos)).alias("_dl_raw_hdr"),
-        F.max(raw_stop.cast("int")).alias("_dl_raw_stop"),
-        F.min_by(F.struct(adj_hdr.alias("h"), adj_stop.alias("s")), F.when(nonblank, pos)).alias("_dl_first"),
-        F.min(F.when(nonblank, pos)).alias("_dl_first_pos"),
-    )
-    first_text_block = F.min(F.when(F.col("_dl_has_text") == 1, F.col(block_col))).over(Window.partitionBy(file_col))
-    is_first = F.coalesce(F.col(block_col) == first_text_block, F.lit(False))
-    blocks = summary.select(
-        *fb,
-        F.when(is_first, F.col("_dl_first_pos")).alias("_dl_l0"),  # the file's first non-blank line
-        # A raw header always follows the first non-blank line, so it wins when present.
-        F.coalesce(F.col("_dl_raw_hdr"), F.when(is_first, F.col("_dl_first.h"))).alias("_dl_blk_hdr"),
-        ((F.col("_dl_raw_stop") == 1) | (is_first & F.coalesce(F.col("_dl_first.s"), F.lit(False)))).alias("_dl_blk_stop"),
-    )
-    earlier = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select(
+    in_split = Window.partitionBy(*fb).orderBy(*order)
+    upto_here = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    nonblank = F.col("_dl_nb").cast("int")
+    state = lines.select(
         *fb,
-        "_dl_l0",
-        F.last("_dl_blk_hdr", ignorenulls=True).over(earlier).alias("_dl_hdr_carry"),
-        F.coalesce(F.max(F.col("_dl_blk_stop").cast("int")).over(earlier), F.lit(0)).alias("_dl_stop_carry"),
+        *order,
+        line_col,
+        "_dl_nb",
+        "_dl_hdr",
+        "_dl_stop",
+        F.last(F.when(~F.col("_dl_lead"), F.col("_dl_hdr")), ignorenulls=True).over(upto_here).alias("_dl_hdr_in"),
+        F.max((~F.col("_dl_lead") & F.col("_dl_stop")).cast("int")).over(upto_here).alias("_dl_stop_in"),
+        F.sum(nonblank).over(upto_here).alias("_dl_n_text"),
+        F.lead(F.lit(1)).over(in_split).isNull().alias("_dl_end"),
     )
-
-    # Pass 2: line by line inside each split, plus the carried state.
-    main = lines.join(carry, fb, "left")
-    is_l0 = F.coalesce(pos == F.col("_dl_l0"), F.lit(False))
-    row_hdr = F.when(is_l0, adj_hdr).otherwise(raw_hdr)
-    row_stop = F.when(is_l0, adj_stop).otherwise(raw_stop)
-    upto_here = Window.partitionBy(*fb).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    state = main.select(
+    # The first non-blank line of the split, read as the first one of its file.
+    leads = F.col("_dl_nb") & (F.col("_dl_n_text") == 1)
+    state = state.select(
         "*",
-        F.last(row_hdr, ignorenulls=True).over(upto_here).alias("_dl_hdr_in"),
-        F.max(row_stop.cast("int")).over(upto_here).alias("_dl_stop_in"),
+        F.last(F.when(leads, F.col("_dl_hdr")), ignorenulls=True).over(upto_here).alias("_dl_alt_hdr"),
+        F.coalesce(F.max(F.when(leads, F.col("_dl_stop").cast("int"))).over(upto_here), F.lit(0)).alias("_dl_alt_stop"),
     )
-    current = F.coalesce(F.col("_dl_hdr_in"), F.col("_dl_hdr_carry"))
-    stopped = (F.col("_dl_stop_in") == 1) | (F.coalesce(F.col("_dl_stop_carry"), F.lit(0)) == 1)
 
-    # Rules 5-7: data lines.
-    text = strip_ws(line)
+    # Rules 5-7, as far as they need no other split.
+    text = strip_ws(F.col(line_col))
     parts = split_last(text, ",")
     score = parse_score(strip_ws(parts["tail"]))
-    rows = state.where(~stopped & current.isNotNull() & (text != "")).select(
-        current["keyword"].alias("keyword"),
-        strip_ws(parts["head"]).alias("region"),
-        score.alias("interest_score"),
-        current["begin_date"].alias("begin_date"),
-        current["end_date"].alias("end_date"),
+    has_row = (F.col("_dl_stop_in") == 0) & (text != "") & parts.isNotNull()
+    read = state.select(
+        *fb,
+        *order,
+        "_dl_hdr_in",
+        "_dl_stop_in",
+        "_dl_alt_hdr",
+        "_dl_alt_stop",
+        (F.col("_dl_n_text") > 0).alias("_dl_has_text"),
+        "_dl_end",
+        F.when(has_row, strip_ws(parts["head"])).alias("region"),
+        F.when(has_row, score).alias("interest_score"),
+    )
+    read = materialize(read.where(F.col("_dl_end") | F.col("interest_score").isNotNull()), "section_rows")
+
+    # One row a split: the state of the splits before it.
+    splits = read.where("_dl_end")
+    first_text = F.min(F.when(F.col("_dl_has_text"), F.col(block_col))).over(Window.partitionBy(file_col))
+    splits = splits.select("*", F.coalesce(F.col(block_col) == first_text, F.lit(False)).alias("_dl_first"))
+    # A raw header always follows the first non-blank line, so it wins when present.
+    header = F.coalesce(F.col("_dl_hdr_in"), F.when(F.col("_dl_first"), F.col("_dl_alt_hdr")))
+    stop = F.greatest("_dl_stop_in", F.when(F.col("_dl_first"), F.col("_dl_alt_stop")).otherwise(0))
+    earlier = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    carry = splits.select(
+        *[F.col(c).alias(f"_dl_of_{i}") for i, c in enumerate(fb)],
+        "_dl_first",
+        F.last(header, ignorenulls=True).over(earlier).alias("_dl_hdr_carry"),
+        F.coalesce(F.max(stop).over(earlier), F.lit(0)).alias("_dl_stop_carry"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_dl_of_{i}")) for i, c in enumerate(fb)]
+    rows = read.where(F.col("interest_score").isNotNull()).join(bounded_broadcast(carry), same)
+    current = F.coalesce("_dl_hdr_in", F.when(F.col("_dl_first"), F.col("_dl_alt_hdr")), "_dl_hdr_carry")
+    stopped = (F.col("_dl_stop_carry") == 1) | (F.col("_dl_first") & (F.col("_dl_alt_stop") == 1))
+    return rows.select("*", current.alias("_dl_current")).where(~stopped & F.col("_dl_current").isNotNull()).select(
+        "_dl_current.keyword",
+        "region",
+        "interest_score",
+        "_dl_current.begin_date",
+        "_dl_current.end_date",
         F.col(file_col).alias("filename"),
         *[F.col(c) for c in fb if c != file_col],
         *[F.col(c) for c in order],
-        parts.isNotNull().alias("_dl_split"),
     )
-    return rows.where(F.col("_dl_split") & F.col("interest_score").isNotNull()).drop("_dl_split")
 
 
 def sections_to_bronze(
