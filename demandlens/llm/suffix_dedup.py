@@ -106,27 +106,27 @@ def anchors(texts: list[bytes], length: int = LENGTH):
 
 # ------------------------------------------------------------------ positions
 def version(text: bytes) -> int:
-    """23 bits that tell different texts of one doc_id apart."""
-    return int.from_bytes(hashlib.blake2b(text, digest_size=3).digest(), "big") >> 1
+    """64 bits that tell different texts of one doc_id apart; they also are their order."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
 
 
-def pack(version_, first, more):
-    """Version, window start and number of further windows in one BIGINT, in this order."""
-    return (version_ << 40) | (first << 8) | more
+def pack(first, more):
+    """Window start and number of further windows in one BIGINT, in this order."""
+    return (first << 8) | more
 
 
-def _local_first(key: np.ndarray, doc: np.ndarray, at: np.ndarray):
+def _local_first(key: np.ndarray, doc: np.ndarray, ver: np.ndarray, at: np.ndarray):
     """Of a batch's rows: (rows in order, is first of its key, repeats the first's key but
     not its position). Equal rows count once: of them neither holds but for one."""
-    order = np.lexsort((at, doc, key))
-    k, d, a = key[order], doc[order], at[order]
+    order = np.lexsort((at, ver, doc, key))
+    k, d, v, a = key[order], doc[order], ver[order], at[order]
     head = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
     lead = np.maximum.accumulate(np.where(head, np.arange(len(k)), 0)) if len(k) else np.zeros(0, np.int64)
-    later = (d != d[lead]) | (a != a[lead])
+    later = (d != d[lead]) | (v != v[lead]) | (a != a[lead])
     return order, head, later
 
 
-_ANCHOR = "rank bigint, run bigint, doc bigint, at bigint, kind int"
+_ANCHOR = "rank bigint, run bigint, doc bigint, version bigint, at bigint, kind int"
 # kinds: a run to be sorted; one dealt by run, its rank known to be shared by differing runs;
 # a mark that tells so to the other batches; a run known to repeat an earlier one
 SORTED, DEALT, MARK, REPEATED = range(4)
@@ -140,13 +140,13 @@ def _anchor_rows(batches):
             text, rank, run, first, more = anchors(texts[i:j])
             if len(text):
                 v = np.fromiter((version(t) for t in texts[i:j]), np.int64, j - i)
-                parts.append((rank, run, docs[i:j][text], pack(v[text], first, more)))
+                parts.append((rank, run, docs[i:j][text], v[text], pack(first, more)))
         if not parts:
             continue
-        rank, run, doc, at = (np.concatenate(x) for x in zip(*parts))
+        rank, run, doc, ver, at = (np.concatenate(x) for x in zip(*parts))
         key = mix(rank) + run
-        order, head, later = _local_first(key, doc, at)
-        rank, run, doc, at, key = rank[order], run[order], doc[order], at[order], key[order]
+        order, head, later = _local_first(key, doc, ver, at)
+        rank, run, doc, ver, at, key = rank[order], run[order], doc[order], ver[order], at[order], key[order]
         kind = np.where(later, REPEATED, SORTED).astype(np.int32)
         keep = head | later
         group = np.where(later, key ^ at.astype(np.uint64), rank)  # what is settled is dealt anywhere
@@ -164,15 +164,16 @@ def _anchor_rows(batches):
                 pa.array(np.concatenate([group[keep].view(np.int64), marks.view(np.int64)])),
                 pa.array(np.concatenate([run[keep].view(np.int64), two])),
                 pa.array(np.concatenate([doc[keep], zero])),
+                pa.array(np.concatenate([ver[keep], zero])),
                 pa.array(np.concatenate([at[keep], zero])),
                 pa.array(np.concatenate([kind[keep], np.full(len(marks), MARK, np.int32)])),
             ],
-            names=["rank", "run", "doc", "at", "kind"],
+            names=["rank", "run", "doc", "version", "at", "kind"],
         )
 
 
-_PIECE = "rank bigint, doc bigint, at bigint, piece binary, repeated boolean"
-_PIECES = pa.schema([("rank", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("piece", pa.binary()), ("repeated", pa.bool_())])
+_PIECE = "rank bigint, doc bigint, version bigint, at bigint, piece binary, repeated boolean"
+_PIECES = pa.schema([("rank", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("at", pa.int64()), ("piece", pa.binary()), ("repeated", pa.bool_())])
 
 
 def _edge_rows(batches):
@@ -180,15 +181,15 @@ def _edge_rows(batches):
     of their windows where the anchor's rank is crowded."""
     for batch in batches:
         cold, parts, held = [], [], 0
-        for doc, z, runs in zip(batch.column("doc").to_pylist(), batch.column("z").to_pylist(), batch.column("runs").to_pylist()):
+        for doc, ver, z, runs in zip(*[batch.column(c).to_pylist() for c in ("doc", "version", "z", "runs")]):
             text = zstandard.decompress(z)
             at = np.array([r["at"] for r in runs], np.int64)
             crowded = np.array([r["crowded"] for r in runs], bool)
             first, more = (at >> 8) & 0xFFFFFFFF, at & 0xFF
-            cold += [(r["rank"], doc, r["at"], text[f : f + m + LENGTH]) for r, f, m, c in zip(runs, first.tolist(), more.tolist(), crowded) if not c]
+            cold += [(r["rank"], doc, ver, r["at"], text[f : f + m + LENGTH]) for r, f, m, c in zip(runs, first.tolist(), more.tolist(), crowded) if not c]
             if crowded.any():
                 p = _windows(first[crowded], more[crowded])
-                parts.append((ranks(np.frombuffer(text, np.uint8), LENGTH)[p], np.full(len(p), doc, np.int64), pack(at[0] >> 40, p, 0)))
+                parts.append((ranks(np.frombuffer(text, np.uint8), LENGTH)[p], np.full(len(p), doc, np.int64), np.full(len(p), ver, np.int64), pack(p, 0)))
                 held += len(p)
             if len(cold) + held > 1 << 19:
                 yield from _edge_batches(cold, parts)
@@ -204,15 +205,15 @@ def _windows(first: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 def _edge_batches(cold, parts):
     if cold:
-        rank, doc, at, piece = zip(*cold)
-        yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(piece, pa.binary()), pa.array([False] * len(rank))], schema=_PIECES)
+        rank, doc, ver, at, piece = zip(*cold)
+        yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int64()), pa.array(doc, pa.int64()), pa.array(ver, pa.int64()), pa.array(at, pa.int64()), pa.array(piece, pa.binary()), pa.array([False] * len(rank))], schema=_PIECES)
     if parts:
-        rank, doc, at = (np.concatenate(x) for x in zip(*parts))
-        order, head, later = _local_first(rank, doc, at)
+        rank, doc, ver, at = (np.concatenate(x) for x in zip(*parts))
+        order, head, later = _local_first(rank, doc, ver, at)
         keep = head | later
-        rank, doc, at, later = (x[keep] for x in (rank[order], doc[order], at[order], later))
+        rank, doc, ver, at, later = (x[keep] for x in (rank[order], doc[order], ver[order], at[order], later))
         rank = np.where(later, rank ^ mix(at.astype(np.uint64)), rank)  # what is settled is dealt anywhere
-        yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(doc), pa.array(at), pa.nulls(len(rank), pa.binary()), pa.array(later)], schema=_PIECES)
+        yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(doc), pa.array(ver), pa.array(at), pa.nulls(len(rank), pa.binary()), pa.array(later)], schema=_PIECES)
 
 
 def _settle(batches):
@@ -238,30 +239,32 @@ def _settle(batches):
 
 
 def _repeats(batches):
-    rank, doc, at, repeated = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in batches]) for c in ("rank", "doc", "at", "repeated"))
+    rank, doc, ver, at, repeated = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in batches]) for c in ("rank", "doc", "version", "at", "repeated"))
     pieces = [x for b in batches for x in b.column("piece").to_pylist()]
     cold = np.array([x is not None for x in pieces], bool)
-    wr, wd, wa = [rank[~cold & ~repeated].view(np.uint64)], [doc[~cold & ~repeated]], [at[~cold & ~repeated]]
+    own_rank = ~cold & ~repeated
+    wr, wd, wv, wa = [rank[own_rank].view(np.uint64)], [doc[own_rank]], [ver[own_rank]], [at[own_rank]]
     if cold.any():
         own = [x for x in pieces if x is not None]
         starts = np.concatenate([[0], np.cumsum([len(x) for x in own])[:-1]]).astype(np.int64)
         first, more = (at[cold] >> 8) & 0xFFFFFFFF, at[cold] & 0xFF
         wr.append(ranks(np.frombuffer(b"".join(own), np.uint8), LENGTH)[_windows(starts, more)])
         wd.append(np.repeat(doc[cold], more + 1))
-        wa.append(pack(np.repeat(at[cold] >> 40, more + 1), _windows(first, more), 0))
-    wr, wd, wa = np.concatenate(wr), np.concatenate(wd), np.concatenate(wa)
-    order, _, later = _local_first(wr, wd, wa)
-    d, a = np.concatenate([wd[order][later], doc[repeated]]), np.concatenate([wa[order][later], at[repeated]])
+        wv.append(np.repeat(ver[cold], more + 1))
+        wa.append(pack(_windows(first, more), 0))
+    wr, wd, wv, wa = (np.concatenate(x) for x in (wr, wd, wv, wa))
+    order, _, later = _local_first(wr, wd, wv, wa)
+    d, v, a = (np.concatenate([w[order][later], x[repeated]]) for w, x in ((wd, doc), (wv, ver), (wa, at)))
     if not len(d):
         return
     # windows one after the other are one run (of 256 at most)
-    order = np.lexsort((a, d))
-    d, a = d[order], a[order]
-    cut_ = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1] + 256)])
+    order = np.lexsort((a, v, d))
+    d, v, a = d[order], v[order], a[order]
+    cut_ = np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1]) | (a[1:] != a[:-1] + 256)])
     lead = np.maximum.accumulate(np.where(cut_, np.arange(len(d)), 0))
     head = np.flatnonzero((np.arange(len(d)) - lead) % 256 == 0)
     more = np.diff(np.concatenate([head, [len(d)]])) - 1
-    yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(a[head] + more)], names=["doc", "at"])
+    yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(v[head]), pa.array(a[head] + more)], names=["doc", "version", "at"])
 
 
 def _packed_texts(documents: DataFrame) -> DataFrame:
@@ -284,15 +287,15 @@ def _ided(documents: DataFrame) -> DataFrame:
 
 def _by_text(rows: DataFrame, name: str) -> DataFrame:
     """(doc, version, name array): the positions of every text that has some."""
-    return rows.groupBy("doc", F.shiftright("at", 40).alias("version")).agg(F.collect_list("at").alias(name))
+    return rows.groupBy("doc", "version").agg(F.collect_list("at").alias(name))
 
 
 def repeated_windows(documents: DataFrame) -> DataFrame:
-    """(doc, at): runs of windows that start earlier too, in packed positions."""
-    place = F.struct("doc", "at")
+    """(doc, version, at): runs of windows that start earlier too, in packed positions."""
+    place = F.struct("doc", "version", "at")
     runs = _ided(documents).mapInArrow(_anchor_rows, _ANCHOR)
     of_rank = Window.partitionBy("rank")
-    of_run = Window.partitionBy("rank", "run").orderBy("doc", "at")
+    of_run = Window.partitionBy("rank", "run").orderBy("doc", "version", "at")
     seen = runs.withColumn("first", F.first(place).over(of_run))
     for name, value in (("least", F.min("run")), ("most", F.max("run")), ("marked", F.max(F.col("kind") == MARK)), ("size", F.count(F.lit(1)))):
         seen = seen.withColumn(name, value.over(of_rank))
@@ -300,14 +303,14 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     edge = (F.col("kind") == DEALT) | (F.col("least") != F.col("most"))
     crowded = (F.col("kind") == DEALT) | F.col("marked") | (F.col("size") > CROWD)
     settled = seen.where((F.col("kind") != MARK) & (repeated | edge)).select(
-        "doc", "at", repeated.alias("repeated"), F.when(~repeated, F.col("rank")).alias("rank"), crowded.alias("crowded")
+        "doc", "version", "at", repeated.alias("repeated"), F.when(~repeated, F.col("rank")).alias("rank"), crowded.alias("crowded")
     )
     settled = materialize(settled, "suffix_runs")
 
-    edges = settled.where("not repeated").distinct().groupBy("doc", F.shiftright("at", 40).alias("version")).agg(F.collect_list(F.struct("at", "rank", "crowded")).alias("runs"))
-    pieces = _packed_texts(documents).join(edges, ["doc", "version"]).select("doc", "z", "runs").mapInArrow(_edge_rows, _PIECE)
-    more = pieces.repartition("rank").sortWithinPartitions("rank", "doc", "at").mapInArrow(_settle, "doc bigint, at bigint")
-    return settled.where("repeated").select("doc", "at").union(more)
+    edges = settled.where("not repeated").distinct().groupBy("doc", "version").agg(F.collect_list(F.struct("at", "rank", "crowded")).alias("runs"))
+    pieces = _packed_texts(documents).join(edges, ["doc", "version"]).select("doc", "version", "z", "runs").mapInArrow(_edge_rows, _PIECE)
+    more = pieces.repartition("rank").sortWithinPartitions("rank", "doc", "version", "at").mapInArrow(_settle, "doc bigint, version bigint, at bigint")
+    return settled.where("repeated").select("doc", "version", "at").union(more)
 
 
 _RESULT = pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
@@ -317,7 +320,7 @@ def cut(text: bytes, runs) -> tuple[list[tuple[int, int]], bytes]:
     """(maximal removed spans, remaining bytes) of a text and its packed repeated runs."""
     if not runs:
         return [], text
-    runs = np.unique(np.array(runs, np.int64) & ((1 << 40) - 1))
+    runs = np.unique(np.array(runs, np.int64))
     cover = np.zeros(len(text) + 1, np.int64)
     first = runs >> 8
     np.add.at(cover, first, 1)

@@ -9,8 +9,10 @@ from demandlens.llm import tables
 
 
 def brute(rows):
-    """(id, bytes, removed, spans, digest) with a dictionary of all 100-byte strings."""
-    docs = sorted({(tables.NULL_ID if i is None else i, sd.version((t or "").encode()), (t or "").encode()) for i, t in rows})
+    """(id, bytes, removed, spans, digest) with a dictionary of all 100-byte strings. Texts of one
+    id go by their 8-byte BLAKE2 digest, a signed number."""
+    order = lambda b: int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "big", signed=True)
+    docs = sorted({(tables.NULL_ID if i is None else i, order((t or "").encode()), (t or "").encode()) for i, t in rows})
     seen, result = set(), {}
     for i, v, b in docs:
         gone = np.zeros(len(b), bool)
@@ -67,3 +69,11 @@ def test_odd_rows_match_brute_force(spark, monkeypatch, batch, crowd, many):
 def test_documents_match_brute_force(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert answer(df) == brute([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_many_texts_without_an_id(spark):
+    rng = random.Random(11)
+    shared = ["".join(rng.choices("abcdef", k=160)) for _ in range(40)]
+    rows = [(None, f"short {k}" if k % 3 else f"{k} " + rng.choice(shared) + "".join(rng.choices("ghijk", k=rng.choice([0, 40, 150])))) for k in range(5000)]
+    rows += [(7, rows[0][1]), (7, rows[3][1]), (7, rows[3][1])]
+    assert answer(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
