@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandlens.llm.tables import table
+from demandlens.operators.joins import bounded_broadcast
 from demandlens.session import materialize
 
 # Fixed values of the mix: weights by source order, budget share, most copies.
@@ -101,6 +102,10 @@ def solve_rates(sizes: DataFrame, targets: DataFrame, most: int = MOST) -> DataF
         state = materialize(s, "mix_dual")
         if step % 2 and (state.agg(F.max("error")).first()[0] or 0.0) <= TOLERANCE:
             break
+    else:
+        worst = state.agg(F.max("error")).first()[0] or 0.0
+        if worst > 1e-3:
+            raise RuntimeError(f"rates miss a target by {worst:.1%} after {NEWTON_STEPS} steps")
     return targets.join(state.select("key", "mean", "lam"), "key", "left")
 
 
@@ -109,7 +114,7 @@ _PASSES = "array<struct<n:int,sign:int,limit:double,level:int>>"
 
 
 def _uniform(n: Column) -> Column:
-    h = F.xxhash64(F.col("_id"), F.col("_size"), n)
+    h = F.xxhash64(F.col("_id"), F.col("_size"), F.col("_digest"), F.col("_copy"), n)
     return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) * F.lit(2.0**-53)
 
 
@@ -123,7 +128,7 @@ def _may_flip(copies: Column, sign: Column, limit: Column, most: int) -> Column:
 
 
 def _copies(most: int) -> Column:
-    """Copies of a document of the columns _id and _size beside its source's plan."""
+    """Copies of a document of the columns _id, _size, _digest and _copy beside its source's plan."""
     rate = F.when(F.col("_size") > 0, F.least(F.lit(float(most)), F.exp(F.col("lam") * F.col("_size") / F.col("mean")))).otherwise(0.0)
     first = (F.floor(rate) + (_uniform(F.lit(0)) < rate - F.floor(rate)).cast("int")).cast("int")
     flip = lambda c, q: F.when(_may_flip(c, q["sign"], q["limit"], most) & (_level(q["n"]) >= q["level"]), c + q["sign"]).otherwise(c)
@@ -133,10 +138,10 @@ def _copies(most: int) -> Column:
 def mix_plan(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MOST) -> DataFrame:
     """One row per source: target, rate parameters and the rounding passes.
 
-    ``sizes`` (doc_id, source, size) should be written: it is read a dozen times."""
+    ``sizes`` (see :func:`document_sizes`) should be written: it is read a dozen times."""
     plan = solve_rates(sizes, materialize(source_targets(sizes, weights, budget, most), "mix_targets"), most)
     plan = materialize(plan.withColumn("passes", F.array().cast(_PASSES)), "mix_rates")
-    rows = sizes.select(_key(F.col("source")).alias("key"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+    rows = sizes.select(_key(F.col("source")).alias("key"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("digest").alias("_digest"), F.col("copy").alias("_copy"))
     taken = rows.join(plan, "key").groupBy("key").agg(F.sum(_copies(most) * F.col("_size")).alias("taken"))
     plan = plan.join(taken, "key").withColumn("left", F.col("target") - F.col("taken")).drop("taken")
     for p in range(1, PASSES + 1):
@@ -152,24 +157,50 @@ def mix_plan(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: in
     return materialize(plan, "mix_plan")
 
 
-def with_copies(df: DataFrame, doc_id: Column, source: Column, size: Column, plan: DataFrame, most: int = MOST) -> DataFrame:
-    """(_row struct of the input row, _size, source_size, target, _copies) of every row."""
-    rows = df.select(F.struct("*").alias("_row"), doc_id.alias("_id"), size.alias("_size"), _key(source).alias("key"))
+def document_sizes(documents: DataFrame) -> DataFrame:
+    """(doc_id, source, size, digest, copy) of every row: the digest is that of the whole row, equal
+    rows are numbered (1..n) as copies, so that no two rows are rounded alike. Rows are
+    counted map-side before they are numbered."""
+    rows = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.struct("*")).alias("digest"))
+    counted = rows.groupBy("doc_id", "source", "size", "digest").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select("doc_id", "source", "size", "digest", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("copy"))
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, most: int = MOST) -> DataFrame:
+    """(_row, _size, source_size, target, _copies) of rows (_row, _id, _size, _digest, _copy, key)."""
     return rows.join(plan, "key").select("_row", "_size", "source_size", "target", _copies(most).alias("_copies"))
 
 
+def size_rows(sizes: DataFrame) -> DataFrame:
+    """The rows of :func:`document_sizes` as :func:`with_copies` takes them."""
+    return sizes.select(
+        F.struct("doc_id", "source", "size").alias("_row"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("digest").alias("_digest"),
+        F.col("copy").alias("_copy"), _key(F.col("source")).alias("key"))
+
+
+def _numbered(documents: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of ``documents`` as :func:`with_copies` takes them. Rows that have no equal are
+    number 1; only the others (found by ``sizes``, by digest) meet to be numbered."""
+    rows = documents.select(F.struct("*").alias("_row"), F.xxhash64(F.struct("*")).alias("_digest"))
+    again = bounded_broadcast(materialize(sizes.where("copy = 2").select(F.col("digest").alias("_digest")).distinct(), "mix_repeated"))
+    once = rows.join(again, "_digest", "left_anti").withColumn("_copy", F.lit(1).cast("bigint"))
+    more = rows.join(again, "_digest", "left_semi").groupBy("_row", "_digest").agg(F.count(F.lit(1)).alias("_n"))
+    more = more.select("_row", "_digest", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
+    size = word_count(F.col("_row.text")).alias("_size")
+    return once.select(*more.columns).union(more).select("_row", F.col("_row.doc_id").alias("_id"), size, "_digest", "_copy", _key(F.col("_row.source")).alias("key"))
+
+
 def mix(documents: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MOST) -> DataFrame:
     """The mixed rows of ``documents`` (doc_id, source, text and any other columns): each row
     as often as its copies say."""
-    sizes = materialize(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_documents")
-    plan = mix_plan(sizes, weights, budget, most)
-    rows = with_copies(documents, F.col("doc_id"), F.col("source"), word_count(F.col("text")), plan, most)
+    sizes = materialize(document_sizes(documents), "mix_documents")
+    rows = with_copies(_numbered(documents, sizes), mix_plan(sizes, weights, budget, most), most)
     return rows.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
 
 
 def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, beside its size and its source's target."""
     documents = table(spark, sf_dir, "documents")
-    sizes = materialize(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_documents")
-    rows = with_copies(sizes, F.col("doc_id"), F.col("source"), F.col("size"), mix_plan(sizes))
+    sizes = materialize(document_sizes(documents), "mix_documents")
+    rows = with_copies(size_rows(sizes), mix_plan(sizes))
     return rows.select("_row.doc_id", "_row.size", "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"), F.col("_row.source").alias("source"), F.col("_copies").alias("copies"))

@@ -89,14 +89,35 @@ def test_mix_of_documents(spark):
         assert abs(taken - want) <= 0.01 * want + 2, (s, taken, want)
 
 
+def taken_of(df):
+    sizes = em.materialize(em.document_sizes(df), "t")
+    return em.with_copies(em.size_rows(sizes), em.mix_plan(sizes)).select("_row.*", "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken")).collect()
+
+
+def test_rows_that_share_an_id_are_rounded_apart(spark):
+    text = " ".join(["word"] * 20)
+    probes = {
+        "shared ids, equal rows": [(k // 500, s, text) for s in "abc" for k in range(1500)],
+        "shared ids, other texts": [(k // 500, s, f"{text[:-5]} {k}") for s in "abc" for k in range(1500)],
+        "no id": [(None, s, text) for s in "abc" for k in range(1000)],
+        "own ids": [(k, s, text) for s in "abc" for k in range(1500)],
+    }
+    for name, rows in probes.items():
+        df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+        got = check_mix(taken_of(df))
+        for s, (taken, want) in got.items():
+            assert abs(taken - want) <= 0.01 * want, (name, s, taken, want)
+        mixed = {r.source: r["count"] * 20 for r in em.mix(df).groupBy("source").count().collect()}
+        assert mixed == {s: taken for s, (taken, _) in got.items()}, name
+
+
 def test_mix_odd_rows(spark):
     rows = [(i, "a" if i % 3 else None, "w " * (i % 7)) for i in range(60)] + [(1, "a", "w"), (None, "b", None), (None, "", "x y")] + [(7, "c", "z " * 5000)] * 2
     df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, source string, text string, key string")
-    sizes = em.materialize(df.select("doc_id", "source", em.word_count(F.col("text")).alias("size")), "t")
-    plan = em.mix_plan(sizes)
-    got = em.with_copies(sizes, F.col("doc_id"), F.col("source"), F.col("size"), plan).select("_row.*", "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken")).collect()
+    got = taken_of(df)
     assert len(got) == len(rows)
-    check_mix(got)
+    for s, (taken, want) in check_mix(got).items():  # off by less than the source's smallest text, or the one long text of c
+        assert abs(taken - want) <= (5000 if s == "c" else 6), (s, taken, want)
     mixed = em.mix(df)
     assert mixed.columns == df.columns and mixed.count() > 0
     assert em.mix(df.limit(0)).count() == 0
