@@ -180,11 +180,12 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_cla
     held = [r for r, f in zip(rows, fold) if f]
     if len({r.y for r in train}) < 2:
         return None
-    weights, bias = _logistic(*_csr(train), np.array([r.y for r in train], float))
     held = held if len({r.y for r in held}) == 2 else train
-    row, bucket, value = _csr(held)
-    score = np.bincount(row, weights=weights[bucket] * value, minlength=len(held)) + bias
-    slope, offset = platt(score, np.array([r.y for r in held], float))
+    y, y_held = (np.array([r.y for r in part], float) for part in (train, held))
+    fitted, calibrating = _csr(train), _csr(held)
+    del rows, train, held  # the features are held once
+    weights, bias = _logistic(*fitted, y)
+    slope, offset = platt(_scores(*calibrating, weights, len(y_held)) + bias, y_held)
     return QualityModel(weights.astype(np.float32), float(bias), slope, offset)
 
 
@@ -194,6 +195,19 @@ def _csr(rows):
     return row, np.concatenate(buckets), np.concatenate([np.frombuffer(r.value, np.float32) for r in rows])
 
 
+#: Features that one numpy call of the fit works on, so that its temporaries stay small.
+SLICE = 1 << 19
+
+
+def _scores(row, bucket, value, w, n: int) -> np.ndarray:
+    """Sum of weight times value of every row."""
+    out = np.zeros(n)
+    for k in range(0, len(row), SLICE):
+        s = slice(k, k + SLICE)
+        out += np.bincount(row[s], weights=w[bucket[s]] * value[s], minlength=n)
+    return out
+
+
 def _logistic(row, bucket, value, y, steps: int = 80, rate: float = 0.3, l2: float = 1e-4):
     """Full-batch logistic regression (Adagrad steps), classes weighted equally."""
     n = len(y)
@@ -201,9 +215,12 @@ def _logistic(row, bucket, value, y, steps: int = 80, rate: float = 0.3, l2: flo
     w, b = np.zeros(BUCKETS), 0.0
     gw, gb = np.full(BUCKETS, 1e-8), 1e-8
     for _ in range(steps):
-        z = np.bincount(row, weights=w[bucket] * value, minlength=n) + b
+        z = _scores(row, bucket, value, w, n) + b
         r = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight
-        g = np.bincount(bucket, weights=r[row] * value, minlength=BUCKETS) + l2 * w
+        g = l2 * w
+        for k in range(0, len(row), SLICE):
+            s = slice(k, k + SLICE)
+            g += np.bincount(bucket[s], weights=r[row[s]] * value[s], minlength=BUCKETS)
         gw += g * g
         gb += r.sum() ** 2
         w -= rate * g / np.sqrt(gw)
