@@ -12,8 +12,10 @@ are one class. The join runs in three steps.
    the following segments differs by one element at most. No linked pair is missed.
 2. Blocks. Classes that sent equal hashes form a block, named by its smallest class. Each
    class first joins its smallest block only; after the components of those links are
-   known, just the blocks that still hold several components are joined in full. Blocks
-   are split into chunks of bounded size; pairs of chunks are joined in tasks of their own.
+   known, just the blocks that still hold several components are joined in full, and of
+   them only the sets that their outlines (numbers of elements by cells of the hash) leave a
+   link with another component. Blocks are split into chunks of bounded size; pairs of chunks
+   are joined in tasks of their own.
 3. Trie. A task stores its sets, in global hash order, in a prefix tree with merged paths.
    Each set walks the tree once: an overlap counted on a shared path counts for every set
    below it, a subtree is left when its remaining lengths cannot bring the overlap to the
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from demandlens.llm.components import connected
 from demandlens.llm.tables import order_id, original_id, table
 from demandlens.llm.text import U64, Words, as_bytes, blocks, mix
+from demandlens.operators.joins import bounded_broadcast
 from demandlens.session import materialize
 
 #: n-gram words and least similarity in percent: of the query, and of near duplicates elsewhere.
@@ -276,7 +279,7 @@ def _routes(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _sets(documents: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """(class, elements) of the chosen classes (class, doc): the set of one of its documents."""
+    """(class, elements) of the chosen classes (class, doc, digest): the set of one of its texts."""
 
     def run(batches):
         for batch in batches:
@@ -286,15 +289,79 @@ def _sets(documents: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
                 rows = [(c, s.tobytes()) for c, s in zip(classes[i:j], sets) if len(s) and class_of(s) == c]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["class", "elements"])
 
-    one = _ided(documents).join(chosen, "doc").select("text", "class")
+    one = _ided(documents).join(chosen, ["doc", "digest"]).select("text", "class")
     return one.mapInArrow(run, "class bigint, elements binary").dropDuplicates(["class"])
 
 
 def _chunked(members: DataFrame) -> DataFrame:
-    """``members`` (block, class, n, ...) with ``chunks`` of the block and the row's ``chunk``."""
+    """``members`` (block, class, n, ...) with ``chunks`` of the block and the row's ``chunk``.
+    Only blocks of several chunks are joined: at most one for CHUNK_SETS members."""
     size = members.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("elements"))
     chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("elements") / CHUNK_ELEMENTS)).cast("int")
-    return members.join(size.select("block", chunks.alias("chunks")), "block").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    large = materialize(size.select("block", chunks.alias("chunks")).where("chunks > 1"), "join_large")
+    found = members.join(bounded_broadcast(large), "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    return found.withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+
+
+def outline(elements: np.ndarray) -> np.ndarray:
+    """Numbers of elements by their low bits, in a power of two of about n / 2 cells."""
+    cells = 1 << max(4, len(elements).bit_length() - 2)
+    return np.bincount((elements & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+
+
+def may_link(sizes: np.ndarray, outlines: list[np.ndarray], labels: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link with one of another label: two sets share at most the sum of the
+    lesser numbers of every cell, so no link is lost."""
+    out = np.zeros(len(sizes), bool)
+    order = np.argsort(sizes, kind="stable")
+    cells = np.fromiter(map(len, outlines), np.int64, len(outlines))
+    tables = {c: (own := order[cells[order] == c], np.stack([outlines[k] for k in own])) for c in np.unique(cells).tolist()}
+    for k in order.tolist():
+        line = outlines[k]
+        while len(line) >= 16:
+            # sets of this level that are no larger, but large enough
+            if len(line) in tables:
+                own, table = tables[len(line)]
+                fit = (sizes[own] <= sizes[k]) & (100 * sizes[own] >= percent * sizes[k]) & (labels[own] != labels[k])
+                if fit.any():
+                    both = np.minimum(table[fit], line).sum(axis=1)
+                    near = own[fit][100 * both >= percent * (sizes[own[fit]] + sizes[k] - both)]
+                    if len(near):
+                        out[k] = True
+                        out[near] = True
+            if 100 * 2 * len(line) < percent * sizes[k]:
+                break  # what has fewer cells is too small
+            line = line[: len(line) // 2] + line[len(line) // 2 :]
+    return out
+
+
+def _outlines(sets: DataFrame) -> DataFrame:
+    """(class, outline) of every set; a byte a cell, none where a cell holds more than that."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                lines = [outline(np.frombuffer(e, np.uint64)) for e in part.column("elements").to_pylist()]
+                cells = [x.astype(np.uint8).tobytes() if x.max(initial=0) < 256 else None for x in lines]
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(cells, pa.binary())], names=["class", "outline"])
+
+    return sets.mapInArrow(run, "class bigint, outline binary")
+
+
+def _near_tasks(rows: DataFrame, percent: int) -> DataFrame:
+    """Of the tasks (block, i, j) of ``rows`` (block, i, j, class, n, outline, label): the classes
+    that may link with one of another label, by their outlines."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("class")
+        bare = pdf["outline"].isna().to_numpy()
+        known = pdf[~bare]
+        keep = may_link(known["n"].to_numpy(np.int64), [np.frombuffer(x, np.uint8).astype(np.int64) for x in known["outline"]], known["label"].to_numpy(np.int64), percent)
+        out = pdf if bare.any() else known[keep]
+        return out[["block", "i", "j", "class", "label"]]
+
+    return rows.groupBy("block", "i", "j").applyInPandas(run, "block bigint, i int, j int, class bigint, label bigint")
 
 
 def _join_tasks(rows: DataFrame, percent: int) -> DataFrame:
@@ -316,8 +383,8 @@ def class_components(documents: DataFrame, classes: DataFrame, words: int, perce
     together = Window.partitionBy("route")
     met = sent.withColumn("block", F.min("class").over(together)).withColumn("last", F.max("class").over(together)).where("block <> last")
     members = materialize(met.select("block", "class", "n").distinct(), "join_members")
-    first_doc = classes.where("class is not null").groupBy("class").agg(F.min("doc").alias("doc"))
-    chosen = first_doc.join(members.select("class").distinct(), "class")
+    first_doc = classes.where("class is not null").groupBy("class").agg(F.min(F.struct("doc", "digest")).alias("first"))
+    chosen = first_doc.join(members.select("class").distinct(), "class").select("class", "first.doc", "first.digest")
     sets = materialize(_sets(documents, chosen, words), "join_sets")
 
     # First: every class in its smallest block, whose first class joins each chunk.
@@ -329,16 +396,20 @@ def class_components(documents: DataFrame, classes: DataFrame, words: int, perce
     links = materialize(_join_tasks(rows, percent), "join_links")
     known = connected(links)
 
-    # Then: the blocks that hold several components, in full.
+    # Then: the blocks that hold several components, in full. A set is in many of them, mostly
+    # beside others that share one passage with it, so outlines are sent first, and sets only
+    # where they leave a link possible.
     label = F.coalesce("label", F.col("class")).alias("label")
     labelled = members.join(known.withColumnRenamed("node", "class"), "class", "left").select("block", "class", "n", label)
     mixed = labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("block")
-    chunked = _chunked(labelled.join(mixed, "block"))
+    chunked = _chunked(materialize(labelled.join(mixed, "block"), "join_mixed"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    tasks = chunked.select("block", "chunk", "class", "label", other).select(
-        "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "class", "label"
+    tasks = chunked.select("block", "chunk", "class", "n", "label", other).select(
+        "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "class", "n", "label"
     )
-    rows = tasks.join(sets, "class").select("block", "i", "j", "class", "elements", "label")
+    outlines = materialize(_outlines(sets), "join_outlines")
+    near = materialize(_near_tasks(tasks.join(outlines, "class").select("block", "i", "j", "class", "n", "outline", "label"), percent), "join_near")
+    rows = near.join(sets, "class").select("block", "i", "j", "class", "elements", "label")
     more = materialize(_join_tasks(rows, percent), "join_links")
     return connected(links.union(more)).select(F.col("node").alias("class"), F.col("label").alias("component"))
 

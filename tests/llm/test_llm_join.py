@@ -63,6 +63,30 @@ def test_tree_links_give_the_components_of_all_pairs():
             assert len(nj.tree_links(sets, percent, labels)) + len(sets) - len(set(labels)) == len(sets) - len(set(comp))
 
 
+def test_outlines_lose_no_link():
+    rng = np.random.default_rng(9)
+    dropped = 0
+    for percent in (70, 80, 85):
+        for _ in range(25):
+            sets = [s for size in (1, 5, 40, 63, 64, 65, 130, 500, 520) for s in family(rng, size, 5, max(1, size // 3))]
+            labels = rng.integers(0, len(sets) // 2, len(sets))
+            keep = nj.may_link(np.array([len(s) for s in sets]), [nj.outline(s) for s in sets], labels, percent)
+            dropped += (~keep).sum()
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    if labels[i] != labels[j] and similar(a, b, percent):
+                        assert keep[i] and keep[j]
+    assert dropped > 1000
+
+
+def test_rows_without_an_id_meet_their_own_sets_only(spark):
+    texts = [" ".join(f"{k % 9}a{k}x{i}" if i % 7 else f"s{i}" for i in range(40)) for k in range(300)]
+    df = spark.createDataFrame([(None, t) for t in texts] * 2, "doc_id long, text string")
+    chosen = nj._classes(df, 4).groupBy("class").agg(nj.F.min(nj.F.struct("doc", "digest")).alias("f")).select("class", "f.doc", "f.digest")
+    joined = nj._ided(df).join(chosen, ["doc", "digest"])
+    assert joined.count() == 600 and nj._sets(df, chosen, 4).count() == 300
+
+
 def test_components_match_sql(spark):
     r = compare("op8", nj.op8_ngram_join(spark, SF), duck(SF), nj.OP8_SQL)
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
