@@ -159,7 +159,14 @@ def key_shard(keys: list[bytes], n_shards: int) -> np.ndarray:
 
 
 def _ided(documents: DataFrame) -> DataFrame:
-    return documents.select(order_id("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return documents.select(order_id("doc_id").alias("doc"), _part(text), text.alias("text"))
+
+
+def _part(text):
+    """Tells the rows of one document apart. Rows that share it lose the same keys, which is
+    right for all rows of a document."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("part")
 
 
 def _key_rows(batches):
@@ -174,7 +181,7 @@ def _key_rows(batches):
 
 def references(documents: DataFrame) -> DataFrame:
     """(doc, key): every key of every document (a document's rows may repeat it)."""
-    return _ided(documents).mapInArrow(_key_rows, "doc bigint, key binary")
+    return _ided(documents).drop("part").mapInArrow(_key_rows, "doc bigint, key binary")
 
 
 # ------------------------------------------------------------------ index
@@ -229,6 +236,9 @@ class LineIndex:
     def _changed(self, refs: DataFrame, merged: DataFrame) -> LineIndex:
         merged = materialize(merged, "line_merged")
         counts = merged.where("n_docs > 0").select("key", "n_docs", "first_doc")
+        need = -(-counts.where("n_docs >= 2").count() // KEYS_PER_SHARD)
+        if need > 2 * self.n_shards:  # the shards have outgrown their filters
+            return LineIndex(refs, counts, _filters(counts, need), need)
         moves = merged.where("(n_docs >= 2) <> (was >= 2)").select(
             _shard(F.col("key"), self.n_shards).alias("shard"), F.substring("key", 1, 8).alias("key"), (F.col("n_docs") >= 2).alias("added")
         )
@@ -256,21 +266,21 @@ class LineIndex:
         return {r.shard: bytes(r.data) for r in self.filters.collect()}
 
     def removals(self, documents: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-        """(doc, keys): the keys whose lines a document loses, because an earlier document
-        of the index holds them."""
-        maybe = materialize(_scan(documents, self._probe(max_filter_bytes), self.n_shards).select("doc", F.explode("keys").alias("key")), "line_maybe")
+        """(doc, part, gone): the keys whose lines a row loses, because an earlier document of
+        the index holds them. A group is one text's keys, however many rows a document has."""
+        maybe = materialize(_scan(documents, self._probe(max_filter_bytes), self.n_shards).select("doc", "part", F.explode("keys").alias("key")), "line_maybe")
         shared = self.counts.where("n_docs >= 2").select("key", "first_doc")
         # A hot key's documents meet its count on eight tasks, split on where still uneven.
         salt = F.explode(F.array(*[F.lit(i) for i in range(8)])).alias("salt")
-        salted = maybe.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(8)).cast("int"))
+        salted = maybe.withColumn("salt", F.pmod(F.xxhash64("doc", "part"), F.lit(8)).cast("int"))
         lost = salted.join(shared.select("key", "first_doc", salt), ["key", "salt"]).where("first_doc < doc")
-        return lost.groupBy("doc").agg(F.collect_set("key").alias("gone"))
+        return lost.groupBy("doc", "part").agg(F.collect_set("key").alias("gone"))
 
     def dedupe(self, documents: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
         """(doc_id, n_lines, n_dropped, kept): every row's text without the lines that an
         earlier document of the index holds; ``kept`` is UTF-8."""
         gone = self.removals(documents, max_filter_bytes)
-        return _ided(documents).join(gone, "doc", "left").mapInArrow(_drop_lines, "doc bigint, n_lines bigint, n_dropped bigint, kept binary").select(
+        return _ided(documents).join(gone, ["doc", "part"], "left").mapInArrow(_drop_lines, "doc bigint, n_lines bigint, n_dropped bigint, kept binary").select(
             original_id("doc").alias("doc_id"), "n_lines", "n_dropped", "kept"
         )
 
@@ -296,7 +306,7 @@ def _filters(counts: DataFrame, n_shards: int) -> DataFrame:
 
 
 def _scan(documents: DataFrame, filters: dict[int, bytes] | None, n_shards: int) -> DataFrame:
-    """(doc, keys): per row the distinct keys that a filter takes for shared."""
+    """(doc, part, keys): per row the distinct keys that a filter takes for shared."""
     shared = documents.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
@@ -313,9 +323,9 @@ def _scan(documents: DataFrame, filters: dict[int, bytes] | None, n_shards: int)
                             hit[shards == s] = own[s].contains(hashes[shards == s])
                     keys = [k for k, h in zip(keys, hit) if h]
                 out.append(keys)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.list_(pa.binary()))], names=["doc", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("part"), pa.array(out, pa.list_(pa.binary()))], names=["doc", "part", "keys"])
 
-    return _ided(documents).mapInArrow(run, "doc bigint, keys array<binary>")
+    return _ided(documents).mapInArrow(run, "doc bigint, part bigint, keys array<binary>")
 
 
 def _drop_lines(batches):
@@ -337,8 +347,9 @@ def drop_shared_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with the shared lines taken out of ``text`` and every other column kept.
     A text that loses no line stays as it is."""
     gone = LineIndex.build(documents).removals(documents)
-    rows = documents.select(F.struct("*").alias("_row"), order_id("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
-    joined = rows.join(gone, "doc", "left")
+    text = F.col("text").cast("string")
+    rows = documents.select(F.struct("*").alias("_row"), order_id("doc_id").alias("doc"), _part(text), text.alias("text"))
+    joined = rows.join(gone, ["doc", "part"], "left")
 
     def run(batches):
         for batch in batches:

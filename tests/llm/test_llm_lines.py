@@ -78,3 +78,23 @@ def test_insert_and_delete_equal_a_fresh_build(spark):
     again = index.insert(df.where("doc_id in (1, 6)"))
     assert result(again.dedupe(df)) == brute(ROWS)
     assert {tuple(r) for r in again.counts.collect()} == {tuple(r) for r in ld.LineIndex.build(df).counts.collect()}
+
+
+def test_rows_without_id_lose_their_own_lines_only(spark):
+    # a third of the rows has no id: each has lines of its own and lines of earlier documents
+    rows = [(i if i % 3 else None, f"own line number {i}\nshared by many {i % 7}\nshared with one {i // 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index = ld.LineIndex.build(df)
+    assert result(index.dedupe(df)) == brute(rows)
+    gone = index.removals(df)
+    assert gone.count() > 200 and max(len(r.gone) for r in gone.collect()) <= 3
+
+
+def test_insert_raises_the_number_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(ld, "KEYS_PER_SHARD", 10)
+    rows = [(i, f"shared line {i // 2}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index = ld.LineIndex.build(df.where("doc_id < 4"))
+    grown = index.insert(df.where("doc_id >= 4"))
+    assert (index.n_shards, grown.n_shards) == (1, 10)
+    assert result(grown.dedupe(df)) == brute(rows)
