@@ -10,7 +10,7 @@ of clean documents that are near a term are ordinary words, not misspellings of
 logistic regression on the document's sums of abusive and of quoted hits gives the score.
 
 Learning uses at most ``PER_CLASS`` labelled rows of each class, one of each group of near
-copies. Scoring reads whole texts.
+copies (of several texts of one id, the one with the least digest). Scoring reads whole texts.
 Defined results: NULL and empty texts score like a text without hits; a NULL doc_id is not
 held out and never learned from; repeated rows score alike; without labels of both classes
 every score is 0; an empty table gives an empty result; only ``doc_id`` and ``text`` of the
@@ -37,11 +37,11 @@ from demandlens.session import materialize
 FOLDS, HELD_OUT = 3, 1
 TOXIC_AT = 0.7
 
-#: Labelled rows of each class to learn from, and terms of the lexicon, at most.
+#: Labelled rows of each class to learn from, at most. What is learned from them (terms, words
+#: near terms) has no bound of its own.
 PER_CLASS = 6000
-MAX_TERMS = 2000
-#: Ordinary words near a term that are remembered, at most.
-MAX_ORDINARY = 5000
+#: Hashes of a sampled text's signature, and how many of them near copies share.
+SIGNATURE, ALIKE = 64, 0.8
 #: Evidence that a term must give (log likelihood ratio) and its least log odds.
 EVIDENCE = 18.0
 LEAST_ODDS = 3.0
@@ -277,7 +277,7 @@ def _term_counts(batches):
 
 
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, bool, float]]:
-    """Terms of ``sample`` (text, y) with enough evidence, the strongest MAX_TERMS at most."""
+    """Terms of ``sample`` (text, y) with enough evidence."""
     if not n_toxic or not n_clean:
         return []
     counts = sample.select("text", "y").mapInArrow(_term_counts, "term string, stem boolean, toxic bigint, clean bigint").groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -289,7 +289,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1)))
     found = counts.select("term", "stem", "toxic", evidence.alias("evidence"), odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS)
     # Of stems with the same evidence, the longest: it says most and allows edits.
-    rows = found.where(F.col("evidence") >= EVIDENCE).orderBy(F.col("evidence").desc(), F.length("term").desc(), "term", "stem").limit(5 * MAX_TERMS).collect()
+    rows = found.where(F.col("evidence") >= EVIDENCE).orderBy(F.col("evidence").desc(), F.length("term").desc(), "term", "stem").collect()
     words = {r.term: r for r in rows if not r.stem}
     stems: dict[str, object] = {}
     for r in rows:
@@ -304,7 +304,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
         start = F.array(*[F.substring("term", 1, n) for n in STEM_CHARS])
         forms = found.where(~F.col("stem") & F.arrays_overlap(start, F.array(*[F.lit(s) for s in stems]))).orderBy(F.col("toxic").desc(), "term").collect()
         out += [(r.term, False, min(8.0, r.odds)) for r in forms if all(own_edits(r.term, s) for s in stems if r.term.startswith(s))]
-    return out[:MAX_TERMS]
+    return out
 
 
 N_FEATURES = 3
@@ -323,7 +323,7 @@ def _features(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def _ordinary_words(clean: DataFrame, terms) -> frozenset[str]:
-    """Words of clean documents that differ from a term by edits, the most frequent ones."""
+    """Words of clean documents that differ from a term by edits."""
 
     def run(batches):
         automaton = LexiconAutomaton(terms)
@@ -331,35 +331,37 @@ def _ordinary_words(clean: DataFrame, terms) -> frozenset[str]:
             near = [w for t in batch.column("text").to_pylist() for w in set(WORD.findall((t or "").lower())) if (m := automaton.match(w)) and m[1]]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["word"])
 
-    counted = clean.select("text").mapInArrow(run, "word string").groupBy("word").count()
-    return frozenset(r.word for r in counted.orderBy(F.col("count").desc(), "word").limit(MAX_ORDINARY).collect())
+    return frozenset(r.word for r in clean.select("text").mapInArrow(run, "word string").distinct().collect())
 
 
 def _signatures(batches):
-    """Three smallest hashes of each text's five-word runs: near copies share most of them."""
+    """Least hashes of each text's five-word runs under SIGNATURE orders: two texts share one
+    with the probability of their sets' similarity."""
     for batch in batches:
         out = []
         for text in as_bytes(batch.column("text").to_pylist()):
             w = Words([text], lower=True)
             h = w.shingles(5)[1]
             h = h if len(h) else w.hash
-            out.append([int(mix(h + U64(k)).min().astype(np.int64)) for k in range(3)] if len(h) else [0, 0, 0])
+            out.append([int(mix(h + U64(k)).min().astype(np.int64)) for k in range(SIGNATURE)] if len(h) else [0] * SIGNATURE)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "y", "h"])
 
 
 def _unlike(sample: DataFrame) -> DataFrame:
-    """(doc_id, y) of one document of each group of near copies in the sample (bounded: three
-    hashes of each sampled row reach the driver)."""
+    """(doc_id, y) of the sample's rows that are no near copy (similarity 0.8, estimated by
+    signatures) of a row kept with the same label. Bounded: the driver gets one signature of
+    each sampled row."""
     rows = sample.select("doc_id", "y", "text").mapInArrow(_signatures, "doc_id bigint, y int, h array<bigint>").collect()
-    seen: set[tuple[int, int]] = set()
+    holders: dict[tuple[int, int, int], list[int]] = {}
     kept: list[tuple[int, int]] = []
-    ids: set[int] = set()
     for r in sorted(rows, key=lambda r: (r.y, r.doc_id)):
-        own = {(k, h) for k, h in enumerate(r.h)}
-        if r.doc_id not in ids and not own & seen:
-            kept.append((r.doc_id, r.y))
-            ids.add(r.doc_id)
-        seen |= own
+        own = [(r.y, k, h) for k, h in enumerate(r.h)]
+        shared = Counter(i for key in own for i in holders.get(key, ()))
+        if max(shared.values(), default=0) >= ALIKE * SIGNATURE:
+            continue
+        for key in own:
+            holders.setdefault(key, []).append(len(kept))
+        kept.append((r.doc_id, r.y))
     return sample.sparkSession.createDataFrame(kept, "doc_id bigint, y int")
 
 
@@ -367,8 +369,11 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", where=Non
     """Lexicon and score from the labelled rows that ``where`` allows."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = labelled_sample(labels, label, per_class, where).select("doc_id", F.col("y").cast("int").alias("y"))
-    unlike = _unlike(texts.join(F.broadcast(chosen), "doc_id"))
-    sample = texts.join(F.broadcast(unlike), "doc_id").dropDuplicates(["doc_id"])
+    # Of several texts of one id, the one with the least digest.
+    one = F.min_by("text", F.sha2("text", 256)).alias("text")
+    sample = materialize(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(one), "toxicity_sample")
+    unlike = _unlike(sample)
+    sample = sample.join(F.broadcast(unlike), ["doc_id", "y"])
     counts = {r.y: r["count"] for r in unlike.groupBy("y").count().collect()}
     terms = learn_lexicon(sample, counts.get(1, 0), counts.get(0, 0))
     if len(counts) < 2 or not terms:
@@ -391,7 +396,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", where=Non
 
 def toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, score) of every row of ``documents``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS terms at most
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # learned from PER_CLASS rows a class at most
 
     def run(batches):
         scanner = Scanner(shared.value.terms, shared.value.ordinary)

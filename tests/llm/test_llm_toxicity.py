@@ -82,3 +82,25 @@ def test_inflected_terms_keep_their_edits(spark):
     assert {t for t, stem, _ in terms if stem} == {"grobian", "idio"}
     a = tx.LexiconAutomaton(terms)
     assert all(a.match(w)[1] == 1 for w in ("gxobianly", "robianic", "ixiot", "id*ots", "idi0t")) and a.match("idiotic")[1] == 0
+
+
+def test_near_copies_of_the_sample(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = base[:198] + ["x", "y"]  # most five-word runs are shared
+    half = base[:100] + [f"z{i}" for i in range(100)]
+    rows = [(1, 0, base), (2, 1, near), (3, 1, base), (4, 1, half), (5, 0, half), (6, 0, near), (7, 0, [])]
+    df = spark.createDataFrame([(i, y, " ".join(w)) for i, y, w in rows], "doc_id long, y int, text string")
+    # copies go only within a label, and only those that are alike
+    assert {tuple(r) for r in tx._unlike(df).collect()} == {(1, 0), (2, 1), (4, 1), (5, 0), (7, 0)}
+
+
+def test_learned_terms_have_no_bound_and_reruns_agree(spark):
+    words = [f"{a}{b}{c}gr" for a in "bcdfghjklmnp" for b in "aeiouy" for c in "qrstvwxzbcdfghjklmnp"][:1100]
+    rows = [(" ".join(words[k] for k in range(i % 40, len(words), 40)) + f" t{i}", 1) for i in range(1600)] + [(f"plain text {i}", 0) for i in range(1600)]
+    terms = tx.learn_lexicon(spark.createDataFrame(rows, "text string, y int"), 1600, 1600)
+    assert all(any(w == t or (stem and w.startswith(t)) for t, stem, _ in terms) for w in words[:50] + words[-50:])
+    # several texts of one id: always the same one is learned from
+    docs = spark.createDataFrame([(i % 60, f"utter fool {i}" if i % 2 else f"plain words {i}") for i in range(240)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    a, b = [tx.fit(df, labels) for df in (docs, docs.repartition(7))]
+    assert (sorted(a.terms), a.bias, a.weights) == (sorted(b.terms), b.bias, b.weights)
