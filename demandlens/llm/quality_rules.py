@@ -164,17 +164,19 @@ _SPARSE = pa.schema([("y", pa.int32()), ("bucket", pa.binary()), ("value", pa.bi
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> QualityModel | None:
     """Fit and calibrate on at most ``per_class`` labelled rows of each class (whole texts);
-    None when a class has no row. The sample is the only thing that reaches the driver."""
+    None when a class has no row. Of several texts of one id, the one with the least digest is
+    taken, so reruns learn the same. The sample is the only thing that reaches the driver."""
     sample = labelled_sample(labels, label, per_class)
     rows = (
         documents.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "y")
+        .agg(F.min_by("text", F.sha2(F.col("text").cast("string"), 256)).alias("text"))
         .select("text", F.col("y").cast("int"))
         .mapInArrow(_sparse_rows, "y int, bucket binary, value binary")
         .collect()
     )
-    rows.sort(key=lambda r: (r.y, bytes(r.bucket)))
+    rows.sort(key=lambda r: (r.y, bytes(r.bucket), bytes(r.value)))
     fold = [(i % 4 == 3) for i in range(len(rows))]  # a quarter of each class calibrates
     train = [r for r, f in zip(rows, fold) if not f]
     held = [r for r, f in zip(rows, fold) if f]

@@ -53,3 +53,11 @@ def test_odd_rows(spark, tables):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 0)], "doc_id long, quality int")
     assert q.fit(rows, labels) is None
     assert q.keep_good(rows, labels).columns == rows.columns
+
+
+def test_several_texts_of_one_id_teach_the_same(spark):
+    rows = [(i % 40, f"good words of text {i} " * 6 if i % 2 else f"bad # $ things {i} " * 6) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    a, b = [q.fit(df, labels) for df in (docs, docs.repartition(5))]
+    assert (a.weights == b.weights).all() and (a.bias, a.slope, a.offset) == (b.bias, b.slope, b.offset)
