@@ -2,24 +2,23 @@
 
 Two bigram models are counted over whole texts: the target model over the documents with
 the target label, the background model over all documents. Every word (A-Z lower-cased) and
-every pair of neighbouring words of the corpus has counts of its own, in tables that Spark
-groups and that grow with the corpus. Both models have one vocabulary: the words of the
-background, ``VOCABULARY`` at least. They are matched in form too: the same interpolation of
-pair and word probabilities, the same additive smoothing. A document's losses are its mean
-negative log probabilities per word under each; its score is their difference (low: like the
-target).
-
-Tasks keep the counts of the most frequent words (``KEPT_WORDS``) and of pairs that many
-documents hold (``KEPT_PAIRS``, found in a sample). This bounds memory only: rarer words and
-pairs get their counts by joins on each text's distinct ones. With r = (1 - share) p(word)
-history / share, a pair's loss is -log(share / history) - log(count + r), so that the join
-moves r and no words.
+every pair of neighbouring words of the corpus has counts of its own. Both models have one
+vocabulary: the words of the background, ``vocabulary`` at least. They are matched in form
+too: the same interpolation of pair and word probabilities, the same additive smoothing. A
+document's losses are its mean negative log probabilities per word under each; its score is
+their difference (low: like the target).
+
+Counting and looking up are one exchange. Texts are written in chunks; a chunk sends each of
+its distinct words and pairs once, as sorted arrays by key range, with its own counts. A range
+sums the counts of all chunks and answers each chunk in the order of its keys, so that no
+keys travel back and no task or driver holds more than one range or chunk. A key in every
+text is one entry a chunk.
 
 Words, pairs and texts are equal where their 64-bit hashes are. Defined results: a NULL or
-empty text has no words and NULL losses; repeated rows count as often as they stand there and
-score alike; without target documents the target model is uniform; ids with contradicting
-labels and NULL ids are no target; an empty table gives an empty result; other columns are
-not read.
+empty text has no words and NULL losses; a text longer than a chunk is a chunk of its own;
+repeated rows count as often as they stand there and score alike; without target documents
+the target model is uniform; ids with contradicting labels and NULL ids are no target; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,258 +38,174 @@ from demandlens.session import materialize
 
 #: Least size of the shared vocabulary.
 VOCABULARY = 1 << 20
-#: Words and pairs whose counts every task keeps, at most; the others are joined.
-KEPT_WORDS = 1 << 22
-KEPT_PAIRS = 1 << 18
-#: Documents in which frequent pairs are looked for, about.
-SAMPLE_DOCS = 8000
+#: Bytes of text in a chunk (a longer text is one chunk), and keys that a range gathers, about.
+CHUNK_BYTES = 1 << 22
+RANGE_KEYS = 1 << 20
 #: Share of the pair probability, and the additive count of the word probability.
 PAIR_SHARE = 0.6
 ADD = 0.1
-#: Words that a counting task gathers before it sends their sums.
-_GATHERED = 1 << 21
 
+_CHUNK = "chunk bigint, bytes bigint, ids array<bigint>, texts array<string>, targets array<boolean>"
+_ASKED = "part bigint, chunk bigint, answered boolean, keys binary, target binary, background binary"
+_ANSWER = "part bigint, chunk bigint, target binary, background binary, words bigint, target_words bigint, background_words bigint"
+_SCORE = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
 
-def entries(texts: list[bytes]):
-    """(text index, word, word before, pair, is first) of every word of a block of texts; the
-    word before and the pair of a text's first word have no meaning."""
-    w = Words(texts, lower=True)
-    first = np.zeros(len(w.text), bool)
-    first[w.first[:-1][w.counts > 0]] = True
-    before = np.concatenate([np.zeros(1, np.uint64), w.hash[:-1]]) if len(w.hash) else w.hash
-    return w.text, w.hash, before, mix(mix(before) * U64(3) + w.hash), first
 
+def _chunked(rows: DataFrame, chunk_bytes: int) -> DataFrame:
+    """``rows`` (doc_id, text, is_target) in chunks, one row each, written once."""
 
-def _distinct(text: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of one occurrence, occurrences) of each text's distinct pairs."""
-    order = np.lexsort((pair, text))
-    t, p = text[order], pair[order]
-    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(t)), bool), (t[1:] != t[:-1]) | (p[1:] != p[:-1])]))
-    return order[new], np.diff(np.append(new, len(t)))
-
+    def run(batches):
+        number, ids, texts, targets, size = TaskContext.get().partitionId() << 32, [], [], [], 0
 
-@dataclass
-class Kept:
-    """Counts [2, n] of sorted keys: row 0 the target's, row 1 the background's."""
+        def chunk():
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())), pa.array([targets], pa.list_(pa.bool_()))], names=["chunk", "bytes", "ids", "texts", "targets"])
 
-    keys: np.ndarray
-    counts: np.ndarray
+        for batch in batches:
+            for doc, text, target in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "is_target"))):
+                n = len((text or "").encode())
+                if ids and size + n > chunk_bytes:
+                    yield chunk()
+                    number, ids, texts, targets, size = number + 1, [], [], [], 0
+                ids.append(doc)
+                texts.append(text or "")
+                targets.append(target)
+                size += n
+        if ids:
+            yield chunk()
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, is kept) of each key."""
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return at, self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+    return materialize(rows.mapInArrow(run, _CHUNK), "lm_chunks")
 
-    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(counts [2, len(keys)], is kept); 0 where a key is not kept."""
-        at, known = self.find(keys)
-        out = np.zeros((2, len(keys)))
-        out[:, known] = self.counts[:, at[known]]
-        return out, known
 
+def _entries(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, word, pair with the word before, is first) of every word; the pair of a
+    text's first word has no meaning."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool))]
+    for i, j in blocks(texts):
+        w = Words(texts[i:j], lower=True)
+        first = np.zeros(len(w.text), bool)
+        first[w.first[:-1][w.counts > 0]] = True
+        before = np.concatenate([np.zeros(1, np.uint64), w.hash[:-1]]) if len(w.hash) else w.hash
+        out.append((w.text + i, w.hash, mix(mix(before) * U64(3) + w.hash), first))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
-@dataclass
-class NgramModels:
-    """``rows`` (text, is_target) are the counted documents; ``rare_words`` (word, target,
-    background) has the words beyond ``words``, None if there are none."""
 
-    rows: DataFrame
-    totals: np.ndarray
-    vocabulary: int
-    words: Kept
-    pairs: Kept
-    rare_words: DataFrame | None
+def _distinct(texts: list[bytes]):
+    """The entries of a chunk, and per kind (words, pairs) its sorted distinct keys and each
+    occurrence's place among them."""
+    text, word, pair, first = _entries(texts)
+    return text, first, [np.unique(word, return_inverse=True), np.unique(pair[~first], return_inverse=True)]
 
 
-def _summed(kind: bool, keys: np.ndarray, own: np.ndarray):
-    u, at = np.unique(keys, return_inverse=True)
-    target, background = np.bincount(at, own, len(u)).astype(np.int64), np.bincount(at, minlength=len(u)).astype(np.int64)
-    for k in range(0, len(u), 1 << 17):
-        part = slice(k, k + (1 << 17))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u[part]), kind)), pa.array(u[part].view(np.int64)), pa.array(target[part]), pa.array(background[part])], names=["is_pair", "key", "target", "background"])
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return (((keys >> U64(32)) * U64(ranges)) >> U64(32)).astype(np.int64)
 
 
-def _counts(rows: DataFrame, hot, count_words: bool) -> DataFrame:
-    """(is_pair, key, target, background): of words and the pairs in ``hot`` (a broadcast of
-    sorted keys), or of all pairs beyond those."""
+def _asked(chunks: DataFrame, ranges: int, counted: bool, answered: bool) -> DataFrame:
+    """Each chunk's distinct keys by range (pairs stand in the parts after the words'), with the
+    chunk's own counts if it is counted."""
 
     def run(batches):
-        kept = Kept(hot.value, np.zeros((2, len(hot.value)), np.int64))
-        keys, own, gathered = [], [], 0
         for batch in batches:
-            texts = as_bytes(batch.column("text").to_pylist())
-            target = np.array(batch.column("is_target").to_pylist(), bool)
-            for i, j in blocks(texts):
-                text, word, _, pair, first = entries(texts[i:j])
-                mine = target[i:j][text]
-                at, known = kept.find(pair)
-                if count_words:
-                    known &= ~first
-                    np.add.at(kept.counts[1], at[known], 1)
-                    np.add.at(kept.counts[0], at[known & mine], 1)
-                    keys.append(word)
-                    own.append(mine)
-                else:
-                    rare = ~first & ~known
-                    keys.append(pair[rare])
-                    own.append(mine[rare])
-                gathered += len(keys[-1])
-                if gathered >= _GATHERED:
-                    yield from _summed(not count_words, np.concatenate(keys), np.concatenate(own))
-                    keys, own, gathered = [], [], 0
-        if gathered:
-            yield from _summed(not count_words, np.concatenate(keys), np.concatenate(own))
-        met = np.flatnonzero(kept.counts[1])
-        if len(met):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(met), bool)), pa.array(kept.keys[met].view(np.int64)), pa.array(kept.counts[0][met]), pa.array(kept.counts[1][met])], names=["is_pair", "key", "target", "background"])
-
-    found = rows.mapInArrow(run, "is_pair boolean, key bigint, target bigint, background bigint")
-    return found.groupBy("is_pair", "key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def _rank(n: str):
-    """A step that grows with a count, exact for small ones: few steps for any counts."""
-    return F.when(F.col(n) < 1024, F.col(n)).otherwise(F.floor(F.log2(F.col(n) / 1024) * 8) + 1024)
-
-
-def _least_rank(counts: DataFrame, n: str, limit: int) -> int:
-    """The least rank from which on there are ``limit`` rows at most."""
-    total, least = 0, 1 << 62
-    for r in sorted(counts.groupBy(_rank(n).cast("bigint").alias("rank")).count().collect(), reverse=True):
-        total += r["count"]
-        if total > limit:
-            break
-        least = r["rank"]
-    return least
-
-
-def _packed(counts: DataFrame) -> Kept:
-    """The rows (key, target, background), bounded by the caller, as sorted arrays."""
-
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([np.stack([b.column(c).to_numpy() for c in ("key", "target", "background")]).tobytes()], pa.binary())], names=["part"])
-
-    parts = [np.frombuffer(r.part, np.int64).reshape(3, -1) for r in counts.select("key", "target", "background").mapInArrow(run, "part binary").collect()]
-    key, target, background = np.concatenate([*parts, np.zeros((3, 0), np.int64)], axis=1)
-    order = np.argsort(key.view(np.uint64))
-    return Kept(key.view(np.uint64)[order], np.stack([target[order], background[order]]).astype(np.float64))
+            for number, values, targets in zip(*(batch.column(c).to_pylist() for c in ("chunk", "texts", "targets"))):
+                text, first, kinds = _distinct(as_bytes(values))
+                mine = np.array(targets, bool)[text]
+                for kind, ((keys, at), own) in enumerate(zip(kinds, (mine, mine[~first]))):
+                    background = np.bincount(at, minlength=len(keys)).astype(np.int32)
+                    target = np.bincount(at, own, len(keys)).astype(np.int32)
+                    part = _range_of(keys, ranges)
+                    begin = np.flatnonzero(np.diff(part, prepend=-1))
+                    cut = [slice(i, j) for i, j in zip(begin, [*begin[1:], len(keys)])]
+                    of = lambda x, wanted=True: pa.array([x[c].tobytes() if wanted else None for c in cut], pa.binary())  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part[begin] + kind * ranges), pa.array([number] * len(cut), pa.int64()), pa.array([answered] * len(cut), pa.bool_()), of(keys), of(target, counted), of(background, counted)],
+                        names=["part", "chunk", "answered", "keys", "target", "background"],
+                    )
+
+    return chunks.select("chunk", "texts", "targets").mapInArrow(run, _ASKED)
+
+
+def _answers(asked: DataFrame) -> DataFrame:
+    """Per part one row of its sums (chunk NULL: distinct words or pairs that are counted,
+    their occurrences), and one row for each chunk that is answered: both models' counts in
+    the order of its keys."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        own = [np.concatenate([np.zeros(len(k), np.int32) if r[c] is None else np.frombuffer(r[c], np.int32) for r, k in zip(rows, keys)]) for c in ("target", "background")]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        target, background = (np.bincount(at, x, len(distinct)).astype(np.int64) for x in own)
+        part = rows[0]["part"]
+        out = [{"part": part, "words": int((background > 0).sum()), "target_words": int(target.sum()), "background_words": int(background.sum())}]
+        for r, k, end in zip(rows, keys, ends):
+            if r["answered"]:
+                mine = at[end - len(k) : end]
+                out.append({"part": part, "chunk": r["chunk"], "target": target[mine].tobytes(), "background": background[mine].tobytes()})
+        whole = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("target", pa.binary()), ("background", pa.binary()), ("words", pa.int64()), ("target_words", pa.int64()), ("background_words", pa.int64())])
+        return pa.Table.from_pylist(out, schema=whole)
+
+    return materialize(asked.groupBy("part").applyInArrow(run, _ANSWER), "lm_answers")
 
 
-def _frequent_pairs(rows: DataFrame, limit: int) -> np.ndarray:
-    """Sorted pairs that several documents of a sample hold, the most frequent ones."""
-    n = rows.count()
+@dataclass
+class NgramModels:
+    """The counted ``documents`` in ``chunks``, the ``answers`` to them, and what both models
+    share: ``totals`` (words of the target and the background) and the vocabulary's size."""
+
+    documents: DataFrame
+    chunks: DataFrame
+    answers: DataFrame
+    ranges: int
+    chunk_bytes: int
+    totals: np.ndarray
+    vocabulary: int
 
-    def run(batches):
-        for batch in batches:
-            texts = as_bytes(batch.column("text").to_pylist())
-            for i, j in blocks(texts):
-                text, _, _, pair, first = entries(texts[i:j])
-                text, pair = text[~first], pair[~first]
-                yield pa.RecordBatch.from_arrays([pa.array(pair[_distinct(text, pair)[0]].view(np.int64))], names=["key"])
 
-    sample = rows.select("text").sample(min(1.0, SAMPLE_DOCS / max(n, 1)), 7)
-    held = materialize(sample.mapInArrow(run, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1"), "lm_sample")
-    frequent = held.where(_rank("docs") >= _least_rank(held, "docs", limit))
-    return _packed(frequent.select("key", F.col("docs").alias("target"), F.col("docs").alias("background"))).keys
+def _rows(documents: DataFrame, is_target) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), is_target.alias("is_target"))
 
 
-def count_models(documents: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY, kept_pairs: int = KEPT_PAIRS, kept_words: int = KEPT_WORDS) -> NgramModels:
+def count_models(documents: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY, chunk_bytes: int = CHUNK_BYTES, range_keys: int = RANGE_KEYS) -> NgramModels:
     """The two models of ``documents``; ``targets`` (doc_id) names the target's documents."""
     flags = bounded_broadcast(targets.where("doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True)))
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(flags, "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    hot = documents.sparkSession.sparkContext.broadcast(_frequent_pairs(rows, kept_pairs))
-    counted = materialize(_counts(rows, hot, True), "lm_counts")
-    words, pairs = counted.where("not is_pair"), counted.where("is_pair")
-    n, target, background = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
-    frequent = _rank("background") >= (_least_rank(words, "background", kept_words) if n > kept_words else 0)
-    rare = words.where(~frequent).select(F.col("key").alias("word"), "target", "background") if n > kept_words else None
-    # A frequent pair that the counted rows do not hold has counts of 0 there.
-    have = _packed(pairs)
-    all_hot = Kept(hot.value, have.of(hot.value)[0])
-    return NgramModels(rows, np.array([target, background], float), max(vocabulary, n), _packed(words.where(frequent)), all_hot, rare)
-
-
-def _rare_words(texts: DataFrame, kept, rare: DataFrame) -> DataFrame:
-    """(digest, rare): the counts of each text's rare words, as packed keys and counts."""
-
-    def run(batches):
-        for batch in batches:
-            values, digest = as_bytes(batch.column("text").to_pylist()), np.array(batch.column("digest").to_pylist(), np.int64)
-            for i, j in blocks(values):
-                text, word, _, _, _ = entries(values[i:j])
-                other = ~kept.value[0].find(word)[1]
-                text, word = text[other], word[other]
-                one = _distinct(text, word)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(digest[i:j][text[one]]), pa.array(word[one].view(np.int64))], names=["digest", "word"])
-
-    asked = texts.mapInArrow(run, "digest bigint, word bigint").distinct()
-    return asked.join(rare, "word").groupBy("digest").agg(F.collect_list(F.struct("word", "target", "background")).alias("rare"))
+    chunks = _chunked(_rows(documents.select("doc_id", "text").join(flags, "doc_id", "left"), F.coalesce("is_target", F.lit(False))), chunk_bytes)
+    # A word of a corpus has some five bytes, and hardly any pair of it is met twice in a chunk.
+    ranges = 1 + (chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] // 5) // max(1, range_keys)
+    answers = _answers(_asked(chunks, ranges, True, True))
+    sums = answers.where((F.col("part") < ranges) & F.col("chunk").isNull()).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "target_words", "background_words"))).first()
+    return NgramModels(documents, chunks, answers, ranges, chunk_bytes, np.array(sums[1:], float), max(vocabulary, sums[0]))
 
 
 def score(documents: DataFrame, models: NgramModels) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``documents``."""
-    context = documents.sparkSession.sparkContext
-    kept = context.broadcast((models.words, models.pairs))  # KEPT_WORDS and KEPT_PAIRS at most
-    hot, totals, vocabulary = context.broadcast(models.pairs.keys), models.totals, models.vocabulary
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = documents.select(F.xxhash64(text).alias("digest"), text.alias("text"))
-    if models.rare_words is not None:
-        texts = texts.join(_rare_words(texts, kept, models.rare_words), "digest", "left")
-    has_rare = models.rare_words is not None
-
-    def run(batches):
-        words, pairs = kept.value
-        for number, batch in enumerate(batches):
-            values, digest = as_bytes(batch.column("text").to_pylist()), np.array(batch.column("digest").to_pylist(), np.int64)
-            rare = batch.column("rare").to_pylist() if has_rare else []
-            for i, j in blocks(values):
-                text, word, before, pair, first = entries(values[i:j])
-                count, _ = words.of(word)
-                if has_rare and (more := {r["word"]: (r["target"], r["background"]) for x in rare[i:j] for r in x or ()}):
-                    keys = np.array(list(more), np.int64).view(np.uint64)
-                    order = np.argsort(keys)
-                    count += Kept(keys[order], np.array(list(more.values()), float).T[:, order]).of(word)[0]
-                history = np.concatenate([np.zeros((2, 1)), count[:, :-1]], axis=1) if len(word) else count
-                seen = ~first & (history > 0)
-                both, known = pairs.of(pair)
-                local, r = [], []
-                for k in range(2):
-                    p = (count[k] + ADD) / (totals[k] + ADD * vocabulary)
-                    h = np.maximum(history[k], 1)
-                    part = np.where(seen[k], np.where(known, PAIR_SHARE * both[k] / h + (1 - PAIR_SHARE) * p, PAIR_SHARE / h), p)
-                    local.append(group_sums(text, -np.log(part), j - i))
-                    r.append(np.where(seen[k], (1 - PAIR_SHARE) / PAIR_SHARE * p * h, -1))
-                asked = np.flatnonzero(seen.any(axis=0) & ~known)
-                one, n = _distinct(text[asked], pair[asked])
-                one = asked[one]
-                # Each text's own sums stand on its first row; a text without others gets a row that asks for nothing.
-                none = np.setdiff1d(np.arange(j - i), text[one])
-                at = np.concatenate([text[one], none])
-                lead = np.ones(len(at), bool)
-                lead[1:] = at[1:] != at[:-1]
-                zeros = np.zeros(len(none))
-                spread = mix(digest[i:j][none].view(np.uint64) + mix((none + i + (number << 32)).astype(np.uint64)))
-                tokens = np.bincount(text, minlength=j - i).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(digest[i:j][at]), pa.array(np.concatenate([pair[one], spread]).view(np.int64)), pa.array(np.concatenate([n, zeros]).astype(np.int32)),
-                        *[pa.array(np.concatenate([x[one], zeros - 1]).astype(np.float32)) for x in r],
-                        pa.array(tokens[at], mask=~lead), *[pa.array(np.where(lead, x[at], 0.0)) for x in local],
-                    ],
-                    names=["digest", "key", "n", "r0", "r1", "tokens", "l0", "l1"],
-                )
-
-    asked = texts.mapInArrow(run, "digest bigint, key bigint, n int, r0 float, r1 float, tokens bigint, l0 double, l1 double")
-    counts = _counts(models.rows, hot, False).select("key", "target", "background")
-    met = lambda k, c: F.col(f"l{k}") - F.when(F.col(f"r{k}") > 0, F.col("n") * F.log(F.coalesce(c, F.lit(0)) + F.col(f"r{k}").cast("double"))).otherwise(0.0)
-    sums = asked.join(counts, "key", "left").groupBy("digest").agg(F.sum("tokens").alias("tokens"), F.count("tokens").alias("copies"), F.sum(met(0, F.col("target"))).alias("l0"), F.sum(met(1, F.col("background"))).alias("l1"))
-    loss = lambda k: F.when(F.col("tokens") > 0, F.col(f"l{k}") / F.col("tokens"))
-    # Copies of a text were summed together; their means are those of one.
-    of_text = materialize(sums.select("digest", (F.col("tokens") / F.col("copies")).cast("bigint").alias("n_tokens"), loss(0).alias("target_loss"), loss(1).alias("background_loss")), "lm_scores")
-    ids = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("digest"))
-    return ids.join(of_text, "digest").select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+    """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``documents``.
+    The counted documents have their answers already; others ask the counted chunks' counts."""
+    chunks, answers, totals, vocabulary = models.chunks, models.answers, models.totals, models.vocabulary
+    if documents is not models.documents:
+        chunks = _chunked(_rows(documents, F.lit(False)), models.chunk_bytes)
+        answers = _answers(_asked(chunks, models.ranges, False, True).union(_asked(models.chunks, models.ranges, True, False)))
+
+    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        ids, values = (chunk.column(c).to_pylist()[0] for c in ("ids", "texts"))
+        text, first, kinds = _distinct(as_bytes(values))
+        given = sorted(found.to_pylist(), key=lambda r: r["part"])
+        counts = [np.frombuffer(b"".join(r[c] for r in given), np.int64) for c in ("target", "background")]
+        n_words, place = len(kinds[0][0]), np.zeros(len(text), np.int64)
+        place[~first] = n_words + kinds[1][1]
+        tokens, losses = np.bincount(text, minlength=len(ids)), []
+        for count, total in zip(counts, totals):
+            word = count[kinds[0][1]].astype(float)
+            p = (word + ADD) / (total + ADD * vocabulary)
+            history = np.concatenate([np.zeros(1), word[:-1]]) if len(word) else word
+            seen = ~first & (history > 0)
+            p[seen] = PAIR_SHARE * count[place[seen]] / history[seen] + (1 - PAIR_SHARE) * p[seen]
+            losses.append(group_sums(text, -np.log(p), len(ids)) / np.maximum(tokens, 1))
+        none = tokens == 0
+        columns = [pa.array(ids, pa.int64()), pa.array(tokens.astype(np.int64)), *(pa.array(x, mask=none) for x in (*losses, losses[0] - losses[1]))]
+        return pa.Table.from_arrays(columns, names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    found = answers.where("chunk is not null").select("chunk", "part", "target", "background")
+    return materialize(chunks.select("chunk", "ids", "texts").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, _SCORE), "lm_scores")
 
 
 def good_ids(labels: DataFrame, label: str = "quality") -> DataFrame:

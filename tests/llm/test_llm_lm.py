@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandlens.llm import lm_score as lm
 
@@ -68,3 +69,15 @@ def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, kept):
     for a, b in zip(got, want):
         assert a[:2] == b[:2]
         assert a[2:] == b[2:] if b[2] is None else a[2:] == pytest.approx(b[2:], rel=1e-6)
+
+
+def test_other_documents_are_scored_by_the_same_models(spark):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    models = lm.count_models(df, spark.createDataFrame([(1,), (5,)], "doc_id long"), W, 64, 4)
+    own = {(r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in lm.score(df, models).collect()}
+    other = df.where("doc_id in (1, 2, 3, 7)").withColumn("bytes", F.lit("x"))
+    got = [(r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in lm.score(other, models).collect()]
+    assert len(got) == 5 and set(got) <= own
+    new = lm.score(spark.createDataFrame([(9, "unseen words here")], "doc_id long, text string"), models).first()
+    uniform = [math.log((n + lm.ADD * W) / lm.ADD) for n in models.totals]
+    assert new.n_tokens == 3 and [new.target_loss, new.background_loss] == pytest.approx(uniform)
