@@ -9,7 +9,8 @@ document's losses are its mean negative log probabilities per word under each; i
 their difference (low: like the target).
 
 Counting and looking up are one exchange. Texts are written in chunks; a chunk sends each of
-its distinct words and pairs once, as sorted arrays by key range, with its own counts. A range
+its distinct words and pairs once, as sorted arrays by key range (steps between keys in byte
+planes, compressed), with its own counts. A range
 sums the counts of all chunks and answers each chunk in the order of its keys, so that no
 keys travel back and no task or driver holds more than one range or chunk. A key in every
 text is one entry a chunk.
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +102,22 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return (((keys >> U64(32)) * U64(ranges)) >> U64(32)).astype(np.int64)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on by byte planes, so that the planes of small ones compress to nothing."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as the first one and the steps to the next."""
+    return np.diff(keys, prepend=U64(0))
+
+
 def _asked(chunks: DataFrame, ranges: int, counted: bool, answered: bool) -> DataFrame:
     """Each chunk's distinct keys by range (pairs stand in the parts after the words'), with the
     chunk's own counts if it is counted."""
@@ -115,9 +133,10 @@ def _asked(chunks: DataFrame, ranges: int, counted: bool, answered: bool) -> Dat
                     part = _range_of(keys, ranges)
                     begin = np.flatnonzero(np.diff(part, prepend=-1))
                     cut = [slice(i, j) for i, j in zip(begin, [*begin[1:], len(keys)])]
-                    of = lambda x, wanted=True: pa.array([x[c].tobytes() if wanted else None for c in cut], pa.binary())  # noqa: B023, E731
+                    of = lambda x, wanted=True: pa.array([_packed(x[c]) if wanted else None for c in cut], pa.binary())  # noqa: B023, E731
+                    sorted_keys = pa.array([_packed(_steps(keys[c])) for c in cut], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[begin] + kind * ranges), pa.array([number] * len(cut), pa.int64()), pa.array([answered] * len(cut), pa.bool_()), of(keys), of(target, counted), of(background, counted)],
+                        [pa.array(part[begin] + kind * ranges), pa.array([number] * len(cut), pa.int64()), pa.array([answered] * len(cut), pa.bool_()), sorted_keys, of(target, counted), of(background, counted)],
                         names=["part", "chunk", "answered", "keys", "target", "background"],
                     )
 
@@ -131,8 +150,8 @@ def _answers(asked: DataFrame) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
-        own = [np.concatenate([np.zeros(len(k), np.int32) if r[c] is None else np.frombuffer(r[c], np.int32) for r, k in zip(rows, keys)]) for c in ("target", "background")]
+        keys = [np.cumsum(_unpacked(r["keys"]), dtype=np.uint64) for r in rows]
+        own = [np.concatenate([np.zeros(len(k), np.uint64) if r[c] is None else _unpacked(r[c]) for r, k in zip(rows, keys)]) for c in ("target", "background")]
         ends = np.cumsum([len(k) for k in keys])
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         target, background = (np.bincount(at, x, len(distinct)).astype(np.int64) for x in own)
@@ -141,7 +160,7 @@ def _answers(asked: DataFrame) -> DataFrame:
         for r, k, end in zip(rows, keys, ends):
             if r["answered"]:
                 mine = at[end - len(k) : end]
-                out.append({"part": part, "chunk": r["chunk"], "target": target[mine].tobytes(), "background": background[mine].tobytes()})
+                out.append({"part": part, "chunk": r["chunk"], "target": _packed(target[mine]), "background": _packed(background[mine])})
         whole = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("target", pa.binary()), ("background", pa.binary()), ("words", pa.int64()), ("target_words", pa.int64()), ("background_words", pa.int64())])
         return pa.Table.from_pylist(out, schema=whole)
 
@@ -189,7 +208,7 @@ def score(documents: DataFrame, models: NgramModels) -> DataFrame:
         ids, values = (chunk.column(c).to_pylist()[0] for c in ("ids", "texts"))
         text, first, kinds = _distinct(as_bytes(values))
         given = sorted(found.to_pylist(), key=lambda r: r["part"])
-        counts = [np.frombuffer(b"".join(r[c] for r in given), np.int64) for c in ("target", "background")]
+        counts = [np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r[c]) for r in given)]) for c in ("target", "background")]
         n_words, place = len(kinds[0][0]), np.zeros(len(text), np.int64)
         place[~first] = n_words + kinds[1][1]
         tokens, losses = np.bincount(text, minlength=len(ids)), []
