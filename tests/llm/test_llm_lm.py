@@ -54,13 +54,13 @@ def test_good_documents_score_lower(spark):
     assert mean[1] < mean[0] and got.count() == 399
 
 
-@pytest.mark.parametrize("kept", [(16, 1000), (16, 3, 5), (16, 0, 0)])
-def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, kept):
-    """More words and pairs than any table was given room for, kept by the tasks or joined."""
+@pytest.mark.parametrize("sizes", [(16, 1000), (16, 3, 5), (16, 0, 0)])
+def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, sizes):
+    """Vocabulary, bytes of a chunk, keys of a range: many chunks and ranges, down to one text and one key."""
     rows = [(i, " ".join(f"w{(i * k * k + k) % 211}" for k in range(40))) for i in range(60)] + ROWS[:6] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string")
     targets = set(range(0, 60, 3))
-    got = lm.score(df, lm.count_models(df, spark.createDataFrame([(i,) for i in targets], "doc_id long"), *kept)).collect()
+    got = lm.score(df, lm.count_models(df, spark.createDataFrame([(i,) for i in targets], "doc_id long"), *sizes)).collect()
     words = {w for _, t in rows for w in (t or "").lower().split()}
     monkeypatch.setitem(globals(), "W", len(words))
     got = sorted(((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in got), key=str)
