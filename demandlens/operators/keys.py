@@ -14,7 +14,6 @@ _PID = "_dl_pid"
 _MID = "_dl_mid"
 _CNT = "_dl_cnt"
 _OFF = "_dl_off"
-_SALT = "_dl_salt"
 
 
 def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None = None) -> DataFrame:
@@ -40,10 +39,10 @@ def dense_ids(df: DataFrame, order, name: str = "id", num_partitions: int | None
     # Rows that tie on every order key are interchangeable; a hash of the whole row
     # as the last key lets the range bounds split a large group of such ties over
     # several partitions (deterministic, so a re-run map task places rows the same way).
-    salted = df.withColumn(_SALT, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    keys = [*sort_keys(order), F.col(_SALT)]
+    # It is a key only: the rows travel and are written without it.
+    keys = [*sort_keys(order), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     n = num_partitions or partitions_for(df)
-    ranged = salted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = materialize(
         ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID)),
         "dense_ids",

@@ -52,7 +52,7 @@ def bronze_search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     orders = table(spark, sf_dir, "orders")
-    j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)  # the texts join last
     return j.select(
         _video_id(F.col("l_orderkey")).alias("video_id"),
         F.lower("p_brand").alias("search_keyword"),

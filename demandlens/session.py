@@ -164,5 +164,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/demandlens/{name}-{uuid.uuid4().hex}"
     if _SCOPES.get():
         _SCOPES.get()[-1].append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
