@@ -165,7 +165,8 @@ _SPARSE = pa.schema([("y", pa.int32()), ("bucket", pa.binary()), ("value", pa.bi
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> QualityModel | None:
     """Fit and calibrate on at most ``per_class`` labelled rows of each class (whole texts);
     None when a class has no row. Of several texts of one id, the one with the least digest is
-    taken, so reruns learn the same. The sample is the only thing that reaches the driver."""
+    taken, so reruns learn the same. The features of the sample, which is bounded, are fitted
+    in a task; the fitted model alone reaches the driver."""
     sample = labelled_sample(labels, label, per_class)
     rows = (
         documents.select("doc_id", "text")
@@ -174,27 +175,43 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_cla
         .agg(F.min_by("text", F.sha2(F.col("text").cast("string"), 256)).alias("text"))
         .select("text", F.col("y").cast("int"))
         .mapInArrow(_sparse_rows, "y int, bucket binary, value binary")
-        .collect()
     )
-    rows.sort(key=lambda r: (r.y, bytes(r.bucket), bytes(r.value)))
-    fold = [(i % 4 == 3) for i in range(len(rows))]  # a quarter of each class calibrates
-    train = [r for r, f in zip(rows, fold) if not f]
-    held = [r for r, f in zip(rows, fold) if f]
-    if len({r.y for r in train}) < 2:
-        return None
-    held = held if len({r.y for r in held}) == 2 else train
-    y, y_held = (np.array([r.y for r in part], float) for part in (train, held))
+    # in one order, whatever the partitions were
+    ordered = rows.repartition(1).sortWithinPartitions("y", "bucket", "value")
+    model = ordered.mapInArrow(_fit_rows, "weights binary, bias double, slope double, offset double").first()
+    return None if model is None else QualityModel(np.frombuffer(model.weights, np.float32), model.bias, model.slope, model.offset)
+
+
+def _fit_rows(batches):
+    """The model (one row) of all rows (y, bucket, value), or no row when a class has none."""
+    ys, train, held, n = [], [], [], 0
+    for batch in batches:
+        y = batch.column("y").to_pylist()
+        ys += y
+        buckets, values = batch.column("bucket"), batch.column("value")
+        for i in range(len(y)):  # a quarter of each class calibrates
+            (held if (n + i) % 4 == 3 else train).append((np.frombuffer(buckets[i].as_buffer(), np.int32), np.frombuffer(values[i].as_buffer(), np.float32)))
+        n += len(y)
+    y = np.array(ys, float)
+    out = np.arange(n) % 4 == 3
+    y, y_held = y[~out], y[out]
+    if len(set(y)) < 2:
+        return
+    if len(set(y_held)) < 2:
+        held, y_held = train, y
     fitted, calibrating = _csr(train), _csr(held)
-    del rows, train, held  # the features are held once
+    del train, held  # the features are held once
     weights, bias = _logistic(*fitted, y)
     slope, offset = platt(_scores(*calibrating, weights, len(y_held)) + bias, y_held)
-    return QualityModel(weights.astype(np.float32), float(bias), slope, offset)
+    yield pa.RecordBatch.from_pydict({"weights": [weights.astype(np.float32).tobytes()], "bias": [float(bias)], "slope": [slope], "offset": [offset]}, schema=_MODEL)
+
+
+_MODEL = pa.schema([("weights", pa.binary()), *[(c, pa.float64()) for c in ("bias", "slope", "offset")]])
 
 
 def _csr(rows):
-    buckets = [np.frombuffer(r.bucket, np.int32) for r in rows]
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b in buckets])
-    return row, np.concatenate(buckets), np.concatenate([np.frombuffer(r.value, np.float32) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b, _ in rows])
+    return row, np.concatenate([b for b, _ in rows]), np.concatenate([v for _, v in rows])
 
 
 #: Features that one numpy call of the fit works on, so that its temporaries stay small.

@@ -61,3 +61,20 @@ def test_several_texts_of_one_id_teach_the_same(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
     a, b = [q.fit(df, labels) for df in (docs, docs.repartition(5))]
     assert (a.weights == b.weights).all() and (a.bias, a.slope, a.offset) == (b.bias, b.slope, b.offset)
+
+
+def test_features_of_the_sample_do_not_come_to_the_driver(spark, monkeypatch):
+    texts = {i: f"good words of text {i} " * 6 if i % 2 else f"bad # $ things {i} " * 6 if i else "" for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    parts = [b for i, t in texts.items() for b in q._sparse_rows([q.pa.RecordBatch.from_pydict({"text": [t], "y": [i % 2]})])]
+    rows = sorted((r["y"], r["bucket"], r["value"]) for b in parts for r in b.to_pylist())
+    again = list(q._fit_rows([q.pa.RecordBatch.from_pylist([dict(zip(("y", "bucket", "value"), r)) for r in rows[k : k + 7]], schema=q._SPARSE) for k in range(0, len(rows), 7)]))
+
+    def here(*_):
+        raise AssertionError("fitted in the driver")
+
+    for name in ("_csr", "_logistic", "_scores"):
+        monkeypatch.setattr(q, name, here)
+    got = q.fit(docs.repartition(3), labels)
+    assert len(again) == 1 and again[0].to_pylist()[0] == {"weights": got.weights.tobytes(), "bias": got.bias, "slope": got.slope, "offset": got.offset}
