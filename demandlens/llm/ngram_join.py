@@ -12,10 +12,11 @@ are one class. The join runs in three steps.
    the following segments differs by one element at most. No linked pair is missed.
 2. Blocks. Classes that sent equal hashes form a block, named by its smallest class. Each
    class first joins its smallest block only; after the components of those links are
-   known, just the blocks that still hold several components are joined in full, and of
-   them only the sets that their outlines (numbers of elements by cells of the hash) leave a
-   link with another component. Blocks are split into chunks of bounded size; pairs of chunks
-   are joined in tasks of their own.
+   known, just the blocks that still hold several components are joined in full. Blocks are
+   split into chunks of bounded size; pairs of chunks are joined in tasks of their own. Before
+   either join a task sees the outlines of its sets (numbers of elements by cells of the
+   hash); only the sets that these leave a link with another component are made again from
+   their texts and travel.
 3. Trie. A task stores its sets, in global hash order, in a prefix tree with merged paths.
    Each set walks the tree once: an overlap counted on a shared path counts for every set
    below it, a subtree is left when its remaining lengths cannot bring the overlap to the
@@ -55,6 +56,9 @@ WORDS, PERCENT = 5, 80
 CHUNK_SETS = 192
 CHUNK_ELEMENTS = 400_000
 
+#: Logarithms of the bits of the filter of wanted texts, at most, and of its parts.
+MAX_FILTER_BITS, PAGE_BITS = 29, 19
+
 
 # ------------------------------------------------------------------ sets
 def ngram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -235,19 +239,22 @@ def tree_links(sets: list[np.ndarray], percent: int, labels: list[int] | None =
 
 # ------------------------------------------------------------------ Spark
 def _classes(documents: DataFrame, words: int) -> DataFrame:
-    """(doc, n, class, digest of the text) of every row; an empty set has no class."""
+    """(doc, n, class, digest of the text, outline) of every row; an empty set has no class.
+    Outlines have a byte a cell; there is none where a cell holds more than that."""
 
     def run(batches):
         for batch in batches:
             texts, docs = as_bytes(batch.column("text").to_pylist()), batch.column("doc").to_pylist()
             for i, j in blocks(texts):
                 sets = ngram_sets(texts[i:j], words)
+                lines = [outline(s) if len(s) else None for s in sets]
+                cells = [x.astype(np.uint8).tobytes() if x is not None and x.max() < 256 else None for x in lines]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[i:j], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), batch.column("digest").slice(i, j - i)],
-                    names=["doc", "n", "class", "digest"],
+                    [pa.array(docs[i:j], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), batch.column("digest").slice(i, j - i), pa.array(cells, pa.binary())],
+                    names=["doc", "n", "class", "digest", "outline"],
                 )
 
-    return _ided(documents).mapInArrow(run, "doc bigint, n bigint, class bigint, digest bigint")
+    return _ided(documents).mapInArrow(run, "doc bigint, n bigint, class bigint, digest bigint, outline binary")
 
 
 def _ided(documents: DataFrame) -> DataFrame:
@@ -278,19 +285,53 @@ def _routes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "route bigint, class bigint, n int")
 
 
+def _key_filter(keys: DataFrame):
+    """A column function that tells whether a row's (doc, digest) may be among ``keys``: a Bloom
+    filter of about 16 bits a key and 64 MB at most. It lets some others pass, more when full."""
+    bits = 1 << min(MAX_FILTER_BITS, max(PAGE_BITS, (16 * keys.count()).bit_length()))
+    places = [F.pmod(F.xxhash64(F.lit(k), "doc", "digest"), F.lit(bits)).alias(f"p{k}") for k in range(3)]
+
+    def page(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(1 << PAGE_BITS, bool)
+        held[pdf["bit"].to_numpy(np.int64) & ((1 << PAGE_BITS) - 1)] = True
+        return pd.DataFrame({"page": [int(pdf["page"].iloc[0])], "held": [np.packbits(held).tobytes()]})
+
+    each = keys.select(F.explode(F.array(*places)).alias("bit")).withColumn("page", F.shiftright("bit", PAGE_BITS).cast("int"))
+    table = np.zeros(bits // 8, np.uint8)
+    for r in each.groupBy("page").applyInPandas(page, "page int, held binary").toLocalIterator():
+        table[r.page << (PAGE_BITS - 3) : (r.page + 1) << (PAGE_BITS - 3)] = np.frombuffer(r.held, np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    def may_hold(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        out = np.ones(len(a), bool)
+        for x in (a, b, c):
+            at = x.to_numpy(np.int64)
+            out &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+        return pd.Series(out)
+
+    return F.pandas_udf(may_hold, "boolean")(*places)
+
+
 def _sets(documents: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """(class, elements) of the chosen classes (class, doc, digest): the set of one of its texts."""
+    """The rows of ``chosen`` (class, doc, digest, ...; written) with the elements of their class,
+    made from one text. Texts that no row asks for are left before the exchange."""
 
     def run(batches):
         for batch in batches:
             texts, classes = as_bytes(batch.column("text").to_pylist()), batch.column("class").to_pylist()
+            kept = batch.drop_columns(["text"])
             for i, j in blocks(texts):
                 sets = ngram_sets(texts[i:j], words)
-                rows = [(c, s.tobytes()) for c, s in zip(classes[i:j], sets) if len(s) and class_of(s) == c]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["class", "elements"])
+                right = [len(s) > 0 and class_of(s) == c for c, s in zip(classes[i:j], sets)]
+                part = kept.slice(i, j - i).filter(pa.array(right, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([s.tobytes() for s, r in zip(sets, right) if r], pa.binary())], names=[*part.schema.names, "elements"])
 
-    one = _ided(documents).join(chosen, ["doc", "digest"]).select("text", "class")
-    return one.mapInArrow(run, "class bigint, elements binary").dropDuplicates(["class"])
+    of_text = ["doc", "digest"]
+    # Rows of one doc_id and text shrink to one before they meet.
+    one = _ided(documents).where(_key_filter(chosen.select(*of_text).distinct())).dropDuplicates(of_text)
+    rows = one.join(chosen, of_text).drop(*of_text)
+    others = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(run, f"{others}, elements binary")
 
 
 def _chunked(members: DataFrame) -> DataFrame:
@@ -335,23 +376,9 @@ def may_link(sizes: np.ndarray, outlines: list[np.ndarray], labels: np.ndarray,
     return out
 
 
-def _outlines(sets: DataFrame) -> DataFrame:
-    """(class, outline) of every set; a byte a cell, none where a cell holds more than that."""
-
-    def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                lines = [outline(np.frombuffer(e, np.uint64)) for e in part.column("elements").to_pylist()]
-                cells = [x.astype(np.uint8).tobytes() if x.max(initial=0) < 256 else None for x in lines]
-                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(cells, pa.binary())], names=["class", "outline"])
-
-    return sets.mapInArrow(run, "class bigint, outline binary")
-
-
 def _near_tasks(rows: DataFrame, percent: int) -> DataFrame:
-    """Of the tasks (block, i, j) of ``rows`` (block, i, j, class, n, outline, label): the classes
-    that may link with one of another label, by their outlines."""
+    """Of the tasks (block, i, j) of ``rows`` (block, i, j, class, label, doc, digest, n, outline):
+    the classes that may link with one of another label, by their outlines."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("class")
@@ -359,9 +386,9 @@ def _near_tasks(rows: DataFrame, percent: int) -> DataFrame:
         known = pdf[~bare]
         keep = may_link(known["n"].to_numpy(np.int64), [np.frombuffer(x, np.uint8).astype(np.int64) for x in known["outline"]], known["label"].to_numpy(np.int64), percent)
         out = pdf if bare.any() else known[keep]
-        return out[["block", "i", "j", "class", "label"]]
+        return out[["block", "i", "j", "class", "label", "doc", "digest"]]
 
-    return rows.groupBy("block", "i", "j").applyInPandas(run, "block bigint, i int, j int, class bigint, label bigint")
+    return rows.groupBy("block", "i", "j").applyInPandas(run, "block bigint, i int, j int, class bigint, label bigint, doc bigint, digest bigint")
 
 
 def _join_tasks(rows: DataFrame, percent: int) -> DataFrame:
@@ -383,34 +410,33 @@ def class_components(documents: DataFrame, classes: DataFrame, words: int, perce
     together = Window.partitionBy("route")
     met = sent.withColumn("block", F.min("class").over(together)).withColumn("last", F.max("class").over(together)).where("block <> last")
     members = materialize(met.select("block", "class", "n").distinct(), "join_members")
-    first_doc = classes.where("class is not null").groupBy("class").agg(F.min(F.struct("doc", "digest")).alias("first"))
-    chosen = first_doc.join(members.select("class").distinct(), "class").select("class", "first.doc", "first.digest")
-    sets = materialize(_sets(documents, chosen, words), "join_sets")
+    first = classes.where("class is not null").groupBy("class").agg(F.min(F.struct("doc", "digest", "n", "outline")).alias("first"))
+    chosen = materialize(first.join(members.select("class").distinct(), "class").select("class", "first.*"), "join_chosen")
+
+    def links_of(tasks: DataFrame) -> DataFrame:
+        """The links within tasks (block, i, j, class, label)."""
+        near = materialize(_near_tasks(tasks.join(chosen, "class"), percent), "join_near")
+        return materialize(_join_tasks(_sets(documents, near, words), percent), "join_links")
 
     # First: every class in its smallest block, whose first class joins each chunk.
     small = members.groupBy("class", "n").agg(F.min("block").alias("block"))
     chunked = _chunked(small)
     heads = chunked.select("block", "chunk").distinct().select(F.col("block"), F.col("chunk"), F.col("block").alias("class"))
-    tasks = chunked.select("block", "chunk", "class").union(heads).distinct().join(sets, "class")
-    rows = tasks.select("block", F.col("chunk").alias("i"), F.col("chunk").alias("j"), "class", "elements", F.col("class").alias("label"))
-    links = materialize(_join_tasks(rows, percent), "join_links")
+    tasks = chunked.select("block", "chunk", "class").union(heads).distinct()
+    links = links_of(tasks.select("block", F.col("chunk").alias("i"), F.col("chunk").alias("j"), "class", F.col("class").alias("label")))
     known = connected(links)
 
     # Then: the blocks that hold several components, in full. A set is in many of them, mostly
-    # beside others that share one passage with it, so outlines are sent first, and sets only
-    # where they leave a link possible.
+    # beside others that share one passage with it.
     label = F.coalesce("label", F.col("class")).alias("label")
     labelled = members.join(known.withColumnRenamed("node", "class"), "class", "left").select("block", "class", "n", label)
     mixed = labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("block")
     chunked = _chunked(materialize(labelled.join(mixed, "block"), "join_mixed"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    tasks = chunked.select("block", "chunk", "class", "n", "label", other).select(
-        "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "class", "n", "label"
+    tasks = chunked.select("block", "chunk", "class", "label", other).select(
+        "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "class", "label"
     )
-    outlines = materialize(_outlines(sets), "join_outlines")
-    near = materialize(_near_tasks(tasks.join(outlines, "class").select("block", "i", "j", "class", "n", "outline", "label"), percent), "join_near")
-    rows = near.join(sets, "class").select("block", "i", "j", "class", "elements", "label")
-    more = materialize(_join_tasks(rows, percent), "join_links")
+    more = links_of(tasks)
     return connected(links.union(more)).select(F.col("node").alias("class"), F.col("label").alias("component"))
 
 

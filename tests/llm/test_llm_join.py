@@ -140,3 +140,35 @@ def test_rows_that_share_an_id_or_have_none_stay_unless_linked(spark):
     texts = {t: i for i, t in kept if t and t.strip()}
     assert {k for k in range(10) if text(k) in texts or text(k) + " tail" in texts} == set(range(10)) - {6}
     assert texts[text(7)] == 3 and texts[text(8)] == texts[text(9)] == 4
+
+
+def test_only_texts_that_may_link_travel(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    common = [f"c{i}" for i in range(60)]  # a passage, so that unlike documents meet in segments
+    rows = [(k, " ".join(common + [f"w{k}x{i}" for i in range(int(rng.integers(50, 70)))])) for k in range(400)]
+    rows += [(1000 + k, rows[k][1] + " tail") for k in range(0, 400, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    asked, sets = [], nj._sets
+
+    def counted(documents, chosen, words):
+        asked.append({r["class"] for r in chosen.select("class").collect()})
+        return sets(documents, chosen, words)
+
+    met = nj._routes(df, 4, 85).groupBy("route").agg(nj.F.collect_set("class").alias("c")).where("size(c) > 1")
+    assert met.select(nj.F.explode("c")).distinct().count() > 300
+    monkeypatch.setattr(nj, "_sets", counted)
+    got = {r.doc_id: r.component_id for r in nj.components(df, 4, 85).select(nj.original_id("doc").alias("doc_id"), nj.original_id("component_doc").alias("component_id")).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+    assert all(len(c) <= 60 for c in asked) and len(set().union(*asked)) >= 20
+
+
+def test_the_filter_of_wanted_texts_loses_none(spark, monkeypatch):
+    keys = spark.range(20_000).selectExpr("nullif(id % 7000, -1) AS doc", "xxhash64(id) AS digest")
+    others = spark.range(20_000, 60_000).selectExpr("id AS doc", "xxhash64(id) AS digest")
+    passed = lambda: (keys.where(nj._key_filter(keys)).count(), others.where(nj._key_filter(keys)).count())
+    held, more = passed()
+    assert held == 20_000 and more < 2_000
+    monkeypatch.setattr(nj, "PAGE_BITS", 10)
+    assert passed()[0] == 20_000
+    monkeypatch.setattr(nj, "MAX_FILTER_BITS", 12)  # full: nearly all pass, none is lost
+    assert passed()[0] == 20_000
