@@ -6,6 +6,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 # One multiplier for range hashes, one random value per byte value.
@@ -42,10 +44,23 @@ def blocks(items: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def text_blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of ``batch`` with about ``limit`` bytes in its column ``text`` each (at least one
+    row), and their texts: Python objects are made for one slice at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < batch.num_rows:
+        before = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        part = batch.slice(i, j - i)
+        yield part, as_bytes(part.column("text").to_pylist())
+        i = j
+
+
 def _powers(name: str, base, n: int) -> np.ndarray:
     have = _POWERS.get(name)
     if have is None or len(have) < n:
-        size = max(n, 2 * BLOCK_BYTES)
+        size = max(n, min(2 * BLOCK_BYTES, 1 << max(16, n.bit_length())))
         p = np.full(size, base, dtype=np.uint64)
         p[0] = 1
         np.multiply.accumulate(p, out=p)

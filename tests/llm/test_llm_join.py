@@ -1,13 +1,15 @@
 import os
 import sys
+import tracemalloc
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle_compare import compare, duck
 
-from demandlens.llm import ngram_join as nj
+from demandlens.llm import ngram_join as nj, text
 
 SF = "/root/testdata/sf0.01"
 
@@ -172,3 +174,30 @@ def test_the_filter_of_wanted_texts_loses_none(spark, monkeypatch):
     assert passed()[0] == 20_000
     monkeypatch.setattr(nj, "MAX_FILTER_BITS", 12)  # full: nearly all pass, none is lost
     assert passed()[0] == 20_000
+
+
+def test_workers_hold_one_slice_of_texts(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [None if k % 50 == 0 else " ".join(f"{x:x}" for x in rng.integers(0, 2**40, 8 * (k % 40))) + "é" for k in range(6000)]
+    texts[7] = "long " * 100_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array(texts)], names=["doc", "text"])
+    parts = [(p.column("doc").to_pylist(), t) for p, t in text.text_blocks(batch, nj.SET_BYTES)]
+    assert [d for docs, _ in parts for d in docs] == list(range(6000))
+    assert [t for _, of in parts for t in of] == text.as_bytes(texts)
+    assert all(len(of) == 1 or sum(map(len, of)) <= nj.SET_BYTES for _, of in parts) and len(parts) < 100
+    assert not list(text.text_blocks(batch.slice(0, 0)))
+    monkeypatch.setattr(text, "_POWERS", {})
+    small = batch.slice(8)  # without the long one
+    tracemalloc.start()
+    for _, of in text.text_blocks(small, nj.SET_BYTES):
+        nj.ngram_sets(of, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert small.nbytes > 8 << 20 and peak < 32 << 20
+
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], nj.materialize
+    monkeypatch.setattr(nj, "materialize", lambda df, name: seen.append((name, spark.conf.get(key, None))) or write(df, name))
+    before = spark.conf.get(key, None)
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    assert nj.keep_one(df).count() == 1 and spark.conf.get(key, None) == before
+    assert {c for n, c in seen if n in ("join_classes", "join_members", "join_near", "join_links")} == {nj.BATCHES[key]}
