@@ -36,13 +36,21 @@ from pyspark.sql import functions as F
 from demandlens.llm.tables import table
 from demandlens.llm.text import U64, Words, as_bytes, blocks, group_sums, mix
 from demandlens.operators.joins import bounded_broadcast
-from demandlens.session import materialize
+from demandlens.session import materialize, settings
 
 #: Least size of the shared vocabulary.
 VOCABULARY = 1 << 20
 #: Bytes of text in a chunk (a longer text is one chunk), and keys that a range gathers, about.
 CHUNK_BYTES = 1 << 22
 RANGE_KEYS = 1 << 20
+#: Chunks in a file, and what a reader and a Python worker get at once: a chunk is one row of some
+#: megabytes, so that the usual row groups and batches would be as large as a task's input.
+FILE_CHUNKS = 8
+BATCHES = {
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 #: Share of the pair probability, and the additive count of the word probability.
 PAIR_SHARE = 0.6
 ADD = 0.1
@@ -75,7 +83,7 @@ def _chunked(rows: DataFrame, chunk_bytes: int) -> DataFrame:
         if ids:
             yield chunk()
 
-    return materialize(rows.mapInArrow(run, _CHUNK), "lm_chunks")
+    return materialize(rows.mapInArrow(run, _CHUNK), "lm_chunks", FILE_CHUNKS)
 
 
 def _entries(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -187,18 +195,24 @@ def _rows(documents: DataFrame, is_target) -> DataFrame:
 
 def count_models(documents: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY, chunk_bytes: int = CHUNK_BYTES, range_keys: int = RANGE_KEYS) -> NgramModels:
     """The two models of ``documents``; ``targets`` (doc_id) names the target's documents."""
-    flags = bounded_broadcast(targets.where("doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True)))
-    chunks = _chunked(_rows(documents.select("doc_id", "text").join(flags, "doc_id", "left"), F.coalesce("is_target", F.lit(False))), chunk_bytes)
-    # A word of a corpus has some five bytes, and hardly any pair of it is met twice in a chunk.
-    ranges = 1 + (chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] // 5) // max(1, range_keys)
-    answers = _answers(_asked(chunks, ranges, True, True))
-    sums = answers.where((F.col("part") < ranges) & F.col("chunk").isNull()).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "target_words", "background_words"))).first()
-    return NgramModels(documents, chunks, answers, ranges, chunk_bytes, np.array(sums[1:], float), max(vocabulary, sums[0]))
+    with settings(documents.sparkSession, BATCHES):
+        flags = bounded_broadcast(targets.where("doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True)))
+        chunks = _chunked(_rows(documents.select("doc_id", "text").join(flags, "doc_id", "left"), F.coalesce("is_target", F.lit(False))), chunk_bytes)
+        # A word of a corpus has some five bytes, and hardly any pair of it is met twice in a chunk.
+        ranges = 1 + (chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] // 5) // max(1, range_keys)
+        answers = _answers(_asked(chunks, ranges, True, True))
+        sums = answers.where((F.col("part") < ranges) & F.col("chunk").isNull()).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "target_words", "background_words"))).first()
+        return NgramModels(documents, chunks, answers, ranges, chunk_bytes, np.array(sums[1:], float), max(vocabulary, sums[0]))
 
 
 def score(documents: DataFrame, models: NgramModels) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``documents``.
     The counted documents have their answers already; others ask the counted chunks' counts."""
+    with settings(documents.sparkSession, BATCHES):
+        return _scored(documents, models)
+
+
+def _scored(documents: DataFrame, models: NgramModels) -> DataFrame:
     chunks, answers, totals, vocabulary = models.chunks, models.answers, models.totals, models.vocabulary
     if documents is not models.documents:
         chunks = _chunked(_rows(documents, F.lit(False)), models.chunk_bytes)

@@ -168,8 +168,10 @@ def delete_folders(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows_per_file: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+    ``rows_per_file`` bounds what a writer or reader holds of very large rows: Parquet looks
+    at the size of a row group only every hundred rows.
 
     Cuts lineage (a lost executor re-reads the files instead of recomputing the plan) and
     gives the planner exact file sizes, so later joins pick broadcast or shuffle from real
@@ -180,5 +182,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/demandlens/{name}-{uuid.uuid4().hex}"
     if _SCOPES.get():
         _SCOPES.get()[-1].append(path)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file or 0).parquet(path)
     return spark.read.parquet(path)

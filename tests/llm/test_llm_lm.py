@@ -81,3 +81,16 @@ def test_other_documents_are_scored_by_the_same_models(spark):
     new = lm.score(spark.createDataFrame([(9, "unseen words here")], "doc_id long, text string"), models).first()
     uniform = [math.log((n + lm.ADD * W) / lm.ADD) for n in models.totals]
     assert new.n_tokens == 3 and [new.target_loss, new.background_loss] == pytest.approx(uniform)
+
+
+def test_files_and_batches_hold_few_chunks(spark, monkeypatch):
+    """A chunk is one row of megabytes: neither a file nor a batch may hold all those of a task."""
+    held, real = [], lm.materialize
+    monkeypatch.setattr(lm, "materialize", lambda *a: held.append([spark.conf.get(k) for k in lm.BATCHES]) or real(*a))
+    df = spark.createDataFrame([(i, "some text here") for i in range(100)], "doc_id long, text string").coalesce(1)
+    models = lm.count_models(df, df.select("doc_id"), W, 1)
+    assert models.chunks.count() == lm.score(df, models).count() == 100
+    files = models.chunks.groupBy(F.input_file_name()).count().collect()
+    assert max(r[1] for r in files) <= lm.FILE_CHUNKS
+    assert held == [list(lm.BATCHES.values())] * 3
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
