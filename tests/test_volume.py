@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from demandlens.operators import stable_ids
 from demandlens.operators.keys import dense_ids
 from demandlens.plans import gold as G
 from demandlens.plans import refresh
+from demandlens.session import materialize
 
 SEARCH = "video_id string, keyword_id long, title string, description string, channel_id string, channel_title string, publish_time timestamp_ntz, searched_at timestamp_ntz, search_result_id long"
 STATS = "video_id string, view_count long, like_count long, comment_count long, duration string, duration_seconds long, retrieved_at timestamp_ntz"
@@ -100,3 +102,21 @@ def test_report_groups_are_written_once(spark, tmp_dir, monkeypatch):
     refresh.replace_groups(spark, f"{tmp_dir}/once/r", "k", spark.createDataFrame([(5,), (6,)], "k long"), spark.createDataFrame([(5, "new")], "k long, v string"))
     got = {r.k: r.v for r in spark.read.parquet(f"{tmp_dir}/once/r").collect()}
     assert got.pop(5) == "new" and sorted(got) == [i for i in range(300) if i not in (5, 6)] and set(got.values()) == {"old"}
+
+
+def test_exchanges_go_when_their_frame_is_written(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    shuffles = lambda: {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = shuffles()
+    rows = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "exchanges")
+    deadline = time.time() + 20
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert rows.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_ids_travel_only_where_they_count(spark):
+    *_, s, t, k = _tables(spark)
+    plan = lambda mode: G.gold_trending_analysis(s, t, k, growth_over=mode)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_dl_least" in plan("joined") and "_dl_least" not in plan("snapshots")
