@@ -120,3 +120,14 @@ def test_ids_travel_only_where_they_count(spark):
     *_, s, t, k = _tables(spark)
     plan = lambda mode: G.gold_trending_analysis(s, t, k, growth_over=mode)._jdf.queryExecution().optimizedPlan().toString()
     assert "_dl_least" in plan("joined") and "_dl_least" not in plan("snapshots")
+
+
+def test_multiplied_rows_are_written_where_they_are(spark, tmp_dir):
+    *_, s, t, k = _tables(spark)
+    rows = G.gold_trending_analysis(s, t, k, growth_over="snapshots", ordered=None, dealt=refresh.dealt_by(spark, "video_id"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" not in plan and "_dl_part_of_bucket" in plan
+    refresh.replace_groups(spark, f"{tmp_dir}/dealt", "video_id", rows.select("video_id").distinct(), rows, dealt=True)
+    files = spark.read.parquet(f"{tmp_dir}/dealt").select(refresh.BUCKET, "_metadata.file_name").distinct().groupBy(refresh.BUCKET).count().collect()
+    assert files and {r[1] for r in files} == {1}  # a bucket's rows met in one task
+    assert sorted(map(repr, spark.read.parquet(f"{tmp_dir}/dealt").drop(refresh.BUCKET).collect())) == sorted(map(repr, rows.collect()))
